@@ -62,7 +62,7 @@ def _hard(text: str, a: int, b: int, room: int) -> list[int]:
     cuts, at = [], a
     while b - at > room:
         nxt = at + room
-        while nxt > at + 1 and (unicodedata.combining(text[nxt]) or text[nxt] in "‌‍️"):
+        while nxt > at + 1 and (unicodedata.combining(text[nxt]) or text[nxt] in "\u200c\u200d\ufe0f"):
             nxt -= 1
         cuts.append(nxt)
         at = nxt
