@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from codexmill.llm import queries_forms, queries_leaks, queries_markup, queries_names, queries_neardup, queries_split
+from codexmill.llm import queries_forms, queries_leaks, queries_markup, queries_names, queries_neardup, queries_packing, queries_split
 
-_MODULES = [queries_neardup, queries_markup, queries_names, queries_split, queries_forms, queries_leaks]
+_MODULES = [queries_neardup, queries_markup, queries_names, queries_split, queries_forms, queries_leaks, queries_packing]
 
 
 def queries() -> dict:
