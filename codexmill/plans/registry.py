@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from codexmill.plans import orphan_queries
+from codexmill.plans import orphan_queries, profile_queries, store_queries, structure_queries
 
-_MODULES = [orphan_queries]
+_MODULES = [orphan_queries, structure_queries, profile_queries, store_queries]
 
 
 def queries() -> dict:
@@ -15,4 +15,4 @@ def oracles() -> dict:
     return {k: v for m in _MODULES for k, v in m.ORACLES.items()}
 
 
-FLAGSHIP = orphan_queries.p6_cascade_report
+FLAGSHIP = structure_queries.full_tree
