@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -32,3 +33,22 @@ def cut(df: DataFrame) -> DataFrame:
     """
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package, wherever the driver was started.
+
+    The package's folder goes on the workers' path; on a cluster of machines the package itself is sent
+    along, once for each application.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_codexmill_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = [p for p in sc.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        sc.environment["PYTHONPATH"] = os.pathsep.join([root, *known])
+    if not sc.master.startswith("local"):
+        base = os.path.join(tempfile.mkdtemp(), "codexmill")
+        sc.addPyFile(shutil.make_archive(base, "zip", root, "codexmill"))
+    sc._codexmill_shipped = True
