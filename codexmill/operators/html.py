@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
-    r"|<(/?)([A-Za-z][\w:.-]*)((?:[^<>\"']|\"[^\"<>]*\"|'[^'<>]*')*)>"
+    r"|<(/?)([A-Za-z][\w:.-]*)((?:[^<>\"']|\"[^\"]{0,2000}\"|'[^']{0,2000}')*)>"
     r"|<(/?)([A-Za-z][\w:.-]*)([^<>]*)>",
     re.DOTALL,
 )
