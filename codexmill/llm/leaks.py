@@ -4,9 +4,10 @@ Method: word n-grams of the test items that are rare in the corpus are the seeds
 join training documents to items, and a Smith-Waterman alignment scores each pair, so
 partial and edited copies are found as well as whole ones.
 
-Every window of ``run`` words of an item gives its rarest n-gram (by occurrences over
-the whole corpus) as a seed. A document that holds ``run`` consecutive words of an item
-therefore holds one of its seeds: for exact runs nothing is missed.
+Every window of ``SEED_RUN`` words of an item gives its rarest n-gram (by occurrences over
+the whole corpus) as a seed. A document that holds that many consecutive words of an item
+therefore holds one of its seeds: of longer runs nothing is missed, and edited copies are
+found by what the edits left.
 
 Defined results
 * Words are maximal runs of letters and digits in lower case; everything between is ignored.
@@ -31,6 +32,7 @@ from codexmill.session import cut
 
 N_GRAM = 5
 RUN = 20
+SEED_RUN = 10
 MAX_BROADCAST = 500_000
 
 _WORD = re.compile(r"[^\W_]+")
@@ -101,7 +103,7 @@ def align_udf(text: pd.Series, item: pd.Series, first: pd.Series, last: pd.Serie
     return pd.DataFrame(out, columns=["score", "longest_run", "n_words"])
 
 
-def leaks(corpus: DataFrame, doc_key: str, text: str, items: DataFrame, item_key: str, item_text: str, n: int = N_GRAM, run: int = RUN, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
+def leaks(corpus: DataFrame, doc_key: str, text: str, items: DataFrame, item_key: str, item_text: str, n: int = N_GRAM, run: int = SEED_RUN, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """Document-item pairs that share a rare seed, with their alignment.
 
     ``doc_key, item_key, score, longest_run, n_words``. One pass over the corpus makes the n-gram hits,
@@ -127,7 +129,7 @@ def leaks(corpus: DataFrame, doc_key: str, text: str, items: DataFrame, item_key
     near = hits.join(hint(seeds), "gram").groupBy("__doc", "__item").agg(F.min(F.col("pos") - F.col("item_pos")).alias("first"), F.max(F.col("pos") - F.col("item_pos")).alias("last"))
     sized = item_rows.withColumn("__size", F.size(words(F.col("__passage"))))
     pairs = near.join(hint(sized) if small else sized, "__item")
-    slack = F.lit(run)
+    slack = F.lit(2 * run)
     aligned = docs.join(pairs, "__doc").select(
         "__doc", "__item", align_udf("__text", "__passage", (F.col("first") - slack).cast("int"), (F.col("last") + F.col("__size") + slack).cast("int")).alias("a")
     )

@@ -123,20 +123,30 @@ def is_plain(cp: int) -> bool:
     return unicodedata.category(c) not in ("Mn", "Mc", "Me", "Cn") and unicodedata.is_normalized("NFC", c)
 
 
-def suspect_class() -> str:
-    """A Java character class of every code point not known to be plain.
+def plain_ranges() -> str:
+    """Ranges of plain code points for a Java character class, without the space.
 
-    Negated, of a few ranges, because the pattern engine tests the ranges one by one.
+    Few ranges, because the pattern engine tests them one by one.
     """
-    ranges: list[list[int]] = [[0xA, 0xA], [0xD, 0xD]]
+    ranges: list[list[int]] = []
     for first, last in PLAIN_BLOCKS:
         for cp in range(first, last + 1):
-            if is_plain(cp):
-                if ranges[-1][1] == cp - 1:
+            if cp != 0x20 and is_plain(cp):
+                if ranges and ranges[-1][1] == cp - 1:
                     ranges[-1][1] = cp
                 else:
                     ranges.append([cp, cp])
-    return "[^" + "".join(f"\\x{{{a:x}}}" + (f"-\\x{{{b:x}}}" if b > a else "") for a, b in ranges) + "]"
+    return "".join(f"\\x{{{a:x}}}" + (f"-\\x{{{b:x}}}" if b > a else "") for a, b in ranges)
+
+
+def suspect_class() -> str:
+    """A Java character class of every code point not known to be plain."""
+    return rf"[^ \n\r{plain_ranges()}]"
+
+
+def suspect_word() -> str:
+    """A pattern of whole words that hold a suspect character; each word is read once."""
+    return rf"(?<![^ \n])[\r{plain_ranges()}]*+{suspect_class()}[^ \n]*"
 
 
 _MAPPING = T.StructType(
@@ -162,16 +172,20 @@ def recompose(c: pd.Series) -> pd.Series:
 
 
 def word_forms(words: DataFrame) -> DataFrame:
-    """``word, form`` for the words (column ``word``) whose one form differs."""
-    points = words.select("word", F.posexplode(F.regexp_extract_all("word", F.lit(r"(?s)."), F.lit(0))).alias("pos", "ch"))
+    """``word, form`` for the words (column ``word``, distinct) whose one form differs.
+
+    Code points carry a digest of their word instead of the word, so a long word does not repeat itself.
+    """
+    words = words.select("word", F.unhex(F.md5("word")).alias("id"))
+    points = words.select("id", F.posexplode(F.regexp_extract_all("word", F.lit(r"(?s)."), F.lit(0))).alias("pos", "ch"))
     points = points.join(F.broadcast(mapping(words.sparkSession)), "ch", "left")
     script = F.coalesce("script", F.lit(""))
-    own = W.partitionBy("word")
+    own = W.partitionBy("id")
     hidden = F.size("parts") == 0  # an invisible character does not part a word
-    is_mark = F.coalesce(F.element_at("classes", 1) > 0, F.lit(False)) & (script == "")
+    is_mark = F.coalesce(F.get("classes", F.lit(0)) > 0, F.lit(False)) & (script == "")
     parts_word = (script == "") & ~F.coalesce(hidden, F.lit(False)) & ~is_mark
     points = points.withColumn("run", F.sum(parts_word.cast("int")).over(own.orderBy("pos")))
-    run = W.partitionBy("word", "run")
+    run = W.partitionBy("id", "run")
     has = lambda cond: F.max(F.coalesce(cond, F.lit(False))).over(run)
     points = points.withColumns(
         {
@@ -180,53 +194,44 @@ def word_forms(words: DataFrame) -> DataFrame:
             "true_greek": has((script == "G") & F.col("as_latin").isNull()),
         }
     )
+    other = F.when(script == "C", F.col("true_cyrillic")).otherwise(F.col("true_greek"))
     swapped = (
-        F.when(F.col("as_latin").isNotNull() & F.col("latin") & ~F.when(script == "C", F.col("true_cyrillic")).otherwise(F.col("true_greek")), F.array("as_latin"))
+        F.when(F.col("as_latin").isNotNull() & F.col("latin") & ~other, F.array("as_latin"))
         .when(F.col("as_cyrillic").isNotNull() & F.col("true_cyrillic"), F.array("as_cyrillic"))
         .otherwise(F.coalesce("parts", F.array("ch")))
     )
     points = points.withColumn("out", swapped)
-    units = points.select(
-        "word",
-        "pos",
-        F.posexplode(F.arrays_zip(F.col("out").alias("out"), F.coalesce("classes", F.array(F.lit(0))).alias("classes"))).alias("sub", "unit"),
-    ).filter(F.col("unit.out").isNotNull())
-    units = units.select("word", "pos", "sub", F.col("unit.out").alias("ch"), F.coalesce("unit.classes", F.lit(0)).alias("ccc"))
+    zipped = F.arrays_zip(F.col("out").alias("out"), F.coalesce("classes", F.array(F.lit(0))).alias("classes"))
+    units = points.select("id", "pos", F.posexplode(zipped).alias("sub", "unit")).filter(F.col("unit.out").isNotNull())
+    units = units.select("id", "pos", "sub", F.col("unit.out").alias("ch"), F.coalesce("unit.classes", F.lit(0)).alias("ccc"))
+    # Marks are ordered by class behind their starter; equal classes keep their order.
     starter = F.sum((F.col("ccc") == 0).cast("int")).over(own.orderBy("pos", "sub"))
-    ordered = units.withColumn("starter", starter).groupBy("word").agg(F.array_sort(F.collect_list(F.struct("starter", "ccc", "pos", "sub", "ch"))).alias("u"))
-    rebuilt = ordered.select("word", recompose(F.concat_ws("", F.transform("u", lambda x: x["ch"]))).alias("form"))
+    ordered = units.withColumn("starter", starter).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("starter", "ccc", "pos", "sub", "ch"))).alias("u"))
+    rebuilt = ordered.select("id", recompose(F.concat_ws("", F.transform("u", lambda x: x["ch"]))).alias("form"))
     # A word of nothing but invisible characters has no unit left; its form is empty.
-    return words.join(rebuilt, "word", "left").select("word", F.coalesce("form", F.lit("")).alias("form")).filter(F.col("form") != F.col("word"))
-
-
-def _suspect_rows(df: DataFrame, key, text: str) -> tuple[DataFrame, str]:
-    klass = suspect_class()
-    rows = df.select(key.alias("row_key"), F.col(text).alias("text"))
-    return rows.filter(F.col("text").rlike(klass)), klass
+    return words.join(rebuilt, "id", "left").select("word", F.coalesce("form", F.lit("")).alias("form")).filter(F.col("form") != F.col("word"))
 
 
-def _suspect_words(rows: DataFrame, klass: str) -> DataFrame:
+def _suspect_words(rows: DataFrame) -> DataFrame:
     """``row_key, word`` for the distinct words of each row that hold a suspect character."""
-    pattern = rf"(?<![^ \n])(?:(?!{klass})[^ \n])*+{klass}[^ \n]*"
-    return rows.select("row_key", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(pattern), F.lit(0)))).alias("word"))
+    return rows.select("row_key", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(suspect_word()), F.lit(0)))).alias("word"))
 
 
 def differing_rows(df: DataFrame, key, text: str) -> DataFrame:
     """``row_key`` of the rows whose text differs from its one form; each key once."""
-    rows, klass = _suspect_rows(df, key, text)
-    words = cut(_suspect_words(rows, klass))  # used twice, and far smaller than the texts
+    rows = df.select(key.alias("row_key"), F.col(text).alias("text"))
+    words = cut(_suspect_words(rows))  # used twice, and far smaller than the texts
     forms = word_forms(words.select("word").distinct()).select("word")
     return words.join(forms, "word", "left_semi").select("row_key").distinct()
 
 
 def one_form(df: DataFrame, key, text: str) -> DataFrame:
     """``row_key, text_form, changed`` for every row."""
-    klass = suspect_class()
     rows = df.select(key.alias("row_key"), F.col(text).alias("text"))
-    is_suspect = F.coalesce(F.col("text").rlike(klass), F.lit(False))
+    is_suspect = F.coalesce(F.col("text").rlike(suspect_class()), F.lit(False))
     clean = rows.filter(~is_suspect).select("row_key", F.col("text").alias("text_form"), F.lit(False).alias("changed"))
     suspect = rows.filter(is_suspect)
-    words = _suspect_words(suspect, klass).distinct()
+    words = _suspect_words(suspect).distinct()
     forms = word_forms(words.select("word").distinct())
     maps = words.join(forms, "word").groupBy("row_key").agg(F.map_from_entries(F.collect_list(F.struct("word", "form"))).alias("m")).withColumnRenamed("row_key", "__key")
     pieces = F.split("text", r"(?<=[ \n])|(?=[ \n])")

@@ -81,7 +81,9 @@ class Paths:
 
         length = smooth([self.sums[p][1] / self.sums[p][0] for p in paths])
         marks = smooth([(self.sums[p][2] + 1) / self.sums[p][0] for p in paths])
-        fused = [a * b for a, b in zip(length, marks)]
+        own = [self.sums[p][1] * (self.sums[p][2] + 1) / self.sums[p][0] ** 2 for p in paths]
+        # A short path beside a long one is lifted by smoothing, but not above its own ratios.
+        fused = [min(a * b, c) for a, b, c in zip(length, marks, own)]
         level = threshold * (sum(fused) / len(fused) if fused else 0)
         keep = set()
         for p, score in zip(paths, fused):
@@ -166,14 +168,12 @@ def clean_html(source: str | None) -> str | None:
     line, cells, verbatim = "", 0, False
     for path, role, text, _ in segments:
         if role == "line":
+            if re.search("/t[dh](?:/|$)", path):  # inside a cell a line is a blank
+                line += "" if line.endswith((" ", "| ")) or not line else " "
+                continue
             if line.strip():
                 lines.append(line.rstrip() if verbatim else line.strip())
-            if "/tr" not in path or path.endswith("/tr") or path.endswith("/table"):
-                cells = 0
-            elif path.rsplit("/", 1)[-1] in LINE_TAGS and line:
-                line = ""
-                continue
-            line, verbatim = "", False
+            line, verbatim, cells = "", False, 0
         elif role == "cell":
             if cells and line:
                 line = line.rstrip() + " | "
@@ -201,7 +201,7 @@ _SENTINEL = re.compile("\ue000(\\d+)\ue001")
 _FENCE = re.compile(r"^[ \t]*(```+|~~~+)[^\n`]*\n(.*?)(?:^[ \t]*\1[ \t]*$|\Z)", re.MULTILINE | re.DOTALL)
 _INLINE_CODE = re.compile(r"(?<!`)`([^`\n]+)`(?!`)")
 _COMMENT = re.compile(r"<!--.*?-->|<!DOCTYPE[^>]*>|<!\[CDATA\[|\]\]>", re.DOTALL | re.IGNORECASE)
-_TAG = re.compile(r"<(/?)([A-Za-z][\w:-]*)(\s+[^<>]*|\s*)/?>")
+_TAG = re.compile(r"<(/?)([A-Za-z][\w:-]*)(\s+[^<>=]*=[^<>]*|(?:\s+(?:disabled|checked|selected|nowrap|noshade|hidden|required|readonly|multiple))*\s*)/?>")
 _ENTITY = re.compile(r"&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});")
 _MATH = re.compile(r"\\\((.+?)\\\)|\\\[(.+?)\\\]|(?<![\\$\w])\$\$([^$]+?)\$\$(?!\$)|(?<![\\$\w])\$(?=[^\s$])([^$\n]*?[\\^_={][^$\n]*?)(?<=[^\s$\\])\$(?![\d$])", re.DOTALL)
 _ENV = re.compile(r"\\(begin|end)\s*\{([A-Za-z]+\*?)\}(?:\[[^\]\n]*\])?(?:\{[lcr|]+\})?")
@@ -212,11 +212,11 @@ _WIKI_LINK = re.compile(r"\[\[([^\[\]\n]+)\]\]")
 _WIKI_TEMPLATE = re.compile(r"\{\{([^{}]+)\}\}")
 _WIKI_HEAD = re.compile(r"^[ \t]*(={2,6})[ \t]*([^=\n].*?)[ \t]*\1[ \t]*$", re.MULTILINE)
 _WIKI_QUOTE = re.compile(r"('{2,5})(?=[^\s'])([^\n]*?[^\s'])\1(?!')")
-_WIKI_OPEN = re.compile(r"(?<!')'{2,5}(?!')")
+_WIKI_OPEN = re.compile(r"(?<!')'{3,5}(?!')")
 _WIKI_URL = re.compile(r"(?<!\[)\[(?:https?|ftp)://[^\s\]]+(?:\s+([^\]\n]+))?\](?!\()")
-_MD_HEAD = re.compile(r"^[ ]{0,3}(#{1,6})[ \t]+(\S.*?)[ \t]*#*[ \t]*$", re.MULTILINE)
+_MD_HEAD = re.compile(r"^[ ]{0,3}(#{1,6})[ \t]+(?=[^\n]*[^\W\d_])(\S.*?)[ \t]*#*[ \t]*$", re.MULTILINE)
 _MD_QUOTE = re.compile(r"^[ ]{0,3}(?:>[ \t]?)+(?=\S)", re.MULTILINE)
-_MD_LINK = re.compile(r"!?\[([^\[\]\n]*)\]\(([^()\s]+(?:\s+\"[^\"\n]*\")?)\)")
+_MD_LINK = re.compile(r"!?\[([^\[\]\n]*)\]\(((?:[#/.]|https?:|ftp:|mailto:|www\.|[\w-]+[./])[^()\s]*(?:\s+\"[^\"\n]*\")?)\)")
 _MD_STRONG = re.compile(r"(?<![*\w\\])(\*\*\*?)(?=[^\s*])([^\n]*?[^\s*])\1(?!\*)|(?<![_\w\\])(___?)(?=[^\s_])([^\n]*?[^\s_])\3(?![_\w])")
 _MD_STRIKE = re.compile(r"~~(?=[^\s~])([^~\n]*?[^\s~])~~")
 _MD_EM = re.compile(r"(?:(?<=\s)|(?<=^))\*(?=[^\W_])([^*\n()]*[^\s*()])\*(?=[\s.,;:!?]|$)|(?:(?<=\s)|(?<=^))_(?=[^\W_])([^_\n]*[^\s_])_(?=[\s.,;:!?]|$)", re.MULTILINE)
