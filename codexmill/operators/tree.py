@@ -75,27 +75,34 @@ def build_tree(classified: DataFrame, slug: str = "doc_slug") -> DataFrame:
     One row for each node with ids, path, breadcrumb, text and rolled-up text.
     """
     marked = mark_nodes(classified)
-    texts = marked.groupBy(*PART, "target").agg(F.array_sort(F.collect_list(F.struct("dom_order", "text", "html_raw"))).alias("__b"))
-    texts = texts.select(
-        *PART,
-        F.col("target").alias("order_index"),
-        F.array_join(F.transform("__b", lambda b: b["text"]), "\n").alias("full_own"),
-        F.array_join(F.transform("__b", lambda b: F.coalesce(b["html_raw"], F.lit(""))), "").alias("html_all"),
+    # The block that creates a node is the first of those that belong to it, so one grouping gives
+    # both the node and its text, in the partitioning that the windows already have.
+    first = lambda c: F.min_by(c, "dom_order")
+    nodes = marked.groupBy(*PART, F.col("target").alias("order_index")).agg(
+        first("part_id").alias("part_id"),
+        first(slug).alias("__slug"),
+        first("role").alias("role"),
+        first("node_type").alias("__type"),
+        first("number_raw").alias("__number"),
+        first("text").alias("first_text"),
+        first("confidence").alias("__confidence"),
+        first("classified_by").alias("__by"),
+        F.array_sort(F.collect_list(F.struct("dom_order", "text", "html_raw"))).alias("__b"),
     )
     k0 = F.col("role") == "khoan0"
     other = F.col("role").isin("footer", "preamble")
-    kind = F.when(k0, "khoan").when(other, F.col("role")).otherwise(F.col("node_type"))
-    number = F.when(k0, "0").when(~other, F.col("number_raw"))
-    nodes = marked.filter(F.col("role").isin("push", "khoan0", "footer", "preamble")).select(
+    nodes = nodes.select(
         *PART,
         "part_id",
-        F.col(slug).alias("__slug"),
+        "__slug",
         "order_index",
-        kind.alias("node_type"),
-        number.alias("number_raw"),
-        F.col("text").alias("first_text"),
-        F.when(k0, 0.5).when(other, 0.6).otherwise(F.col("confidence")).alias("confidence"),
-        F.when(k0, "style").when(other, "regex").otherwise(F.col("classified_by")).alias("classified_by"),
+        F.when(k0, "khoan").when(other, F.col("role")).otherwise(F.col("__type")).alias("node_type"),
+        F.when(k0, "0").when(~other, F.col("__number")).alias("number_raw"),
+        "first_text",
+        F.when(k0, 0.5).when(other, 0.6).otherwise(F.col("__confidence")).alias("confidence"),
+        F.when(k0, "style").when(other, "regex").otherwise(F.col("__by")).alias("classified_by"),
+        F.array_join(F.transform("__b", lambda b: b["text"]), "\n").alias("full_own"),
+        F.array_join(F.transform("__b", lambda b: F.coalesce(b["html_raw"], F.lit(""))), "").alias("html_all"),
     )
     nodes = nodes.withColumns({"rank": rank_of(F.col("node_type")), "number_norm": F.when(F.col("node_type") == "diem", F.lower("number_raw")).otherwise(F.col("number_raw"))})
     nodes = nodes.withColumn("__parent", F.element_at(F.concat(F.array(F.lit(-1)), F.transform(ancestors_by_window(nodes, []), lambda x: x["order_index"])), -1))
@@ -123,11 +130,16 @@ def build_tree(classified: DataFrame, slug: str = "doc_slug") -> DataFrame:
             "heading": F.when(F.col("node_type").isin("dieu", "chuong", "muc", "tieu_muc", "phan"), F.col("first_text")),
         }
     )
-    nodes = nodes.join(texts, [*PART, "order_index"])
     # Every node gives its text to itself and to its ancestors, in order of creation.
-    given = nodes.select(*PART, F.explode(F.concat(F.array("order_index"), F.transform("__anc", lambda x: x["order_index"]))).alias("to"), F.struct("order_index", "full_own").alias("t"))
-    rolled = given.groupBy(*PART, "to").agg(F.array_join(F.transform(F.array_sort(F.collect_list("t")), lambda t: t["full_own"]), "\n").alias("text_full")).withColumnRenamed("to", "order_index")
-    return nodes.join(rolled, [*PART, "order_index"]).select(
+    kept = ["node_id", "part_id", "parent_id", "path", "depth", "node_type", "number_raw", "number_norm", "heading", "full_own", "breadcrumb", "html_all", "confidence", "classified_by"]
+    own = F.struct(*kept)
+    up = F.transform("__anc", lambda x: F.struct(x["order_index"].alias("to"), F.lit(False).alias("is_own")))
+    given = nodes.select(*PART, own.alias("__own"), F.struct("order_index", "full_own").alias("t"), F.explode(F.concat(F.array(F.struct(F.col("order_index").alias("to"), F.lit(True).alias("is_own"))), up)).alias("g"))
+    rolled = given.groupBy(*PART, F.col("g.to").alias("order_index")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list("t")), lambda t: t["full_own"]), "\n").alias("text_full"),
+        F.first(F.when(F.col("g.is_own"), F.col("__own")), ignorenulls=True).alias("n"),
+    )
+    return rolled.select("order_index", "text_full", *PART, "n.*").select(
         "node_id", "doc_id", "part_no", "part_id", "parent_id", "path", F.col("depth").cast("int").alias("depth"), "order_index", "node_type", "number_raw", "number_norm", "heading",
         F.col("full_own").alias("text"), "text_full", "breadcrumb", F.col("html_all").alias("html_raw"), "confidence", "classified_by",
     )

@@ -13,6 +13,7 @@ from codexmill.operators.html import explode_blocks, flatten_documents
 from codexmill.operators.sequence import context, mask_quotes, split_parts
 from codexmill.operators.tree import build_tree
 from codexmill.operators.validate import quality
+from codexmill.session import cut
 from codexmill.sources.tables import latest_per_key
 
 
@@ -25,21 +26,30 @@ def classify_blocks(blocks: DataFrame, class_map: DataFrame | None = None, provi
 
 
 def nodes_of(classified: DataFrame, metadata: DataFrame | None = None) -> DataFrame:
-    """Nodes of classified blocks; ``metadata`` (``id, so_ky_hieu``) gives the readable part of ids, its last row counts."""
+    """Nodes of classified blocks; ``metadata`` (``id, so_ky_hieu``) gives the readable part of ids, its last row counts.
+
+    Slugs are made once a document, not once a block, and join by ``doc_id``, so the blocks keep their partitioning.
+    """
+    docs = classified.select(F.col("doc_id").alias("__doc")).distinct()
     number = F.lit(None).cast("string")
     if metadata is not None:
         order = ["doc_id"] if "doc_id" in metadata.columns else ["so_ky_hieu"]
-        last = latest_per_key(metadata, "id", order).select(F.col("id").alias("__id"), F.col("so_ky_hieu").alias("__number"))
-        classified = classified.join(last, classified["doc_id"] == last["__id"], "left").drop("__id")
+        last = latest_per_key(metadata.select(*{"id", "so_ky_hieu", *order}), "id", order).select(F.col("id").alias("__id"), F.col("so_ky_hieu").alias("__number"))
+        docs = docs.join(last, docs["__doc"] == last["__id"], "left")
         number = F.col("__number")
-    return build_tree(classified.withColumn("doc_slug", doc_slug(number, F.col("doc_id"))))
+    slugs = docs.select("__doc", doc_slug(number, F.col("__doc")).alias("doc_slug"))
+    return build_tree(classified.join(slugs, classified["doc_id"] == slugs["__doc"]).drop("__doc"))
 
 
 def parse_documents(content: DataFrame, key: str, source: str, metadata: DataFrame | None = None, class_map: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Nodes and quality of HTML documents. ``content`` is read by Python once if the caller persists it."""
-    flat = flatten_documents(content, key, source)
+    """Nodes and quality of HTML documents.
+
+    HTML is read once and nodes are built once: both are written to the shared folder, because the measures
+    of quality look at them several times.
+    """
+    flat = cut(flatten_documents(content, key, source))
     classified = classify_blocks(explode_blocks(flat), class_map)
-    nodes = nodes_of(classified, metadata)
+    nodes = cut(nodes_of(classified, metadata))
     measures = flat.select("doc_id", "flat.n_tables", "flat.n_chars", "flat.template_family")
     return nodes, quality(measures, classified, nodes)
 
