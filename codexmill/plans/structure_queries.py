@@ -238,3 +238,30 @@ SELECT doc_id, NOT coalesce(bool_or(CASE WHEN node_type = 'diem' THEN step <= 0
     "hierarchy_check": """WITH j AS (SELECT n.doc_id, n.node_type, coalesce(p.node_type, '') AS pt, coalesce(bool_or(n.node_type = 'dieu') OVER (PARTITION BY n.doc_id), false) AS art FROM nodes n LEFT JOIN nodes p ON n.parent_id = p.node_id)
 SELECT doc_id, NOT bool_or((node_type = 'diem' AND pt <> 'khoan') OR (node_type = 'khoan' AND NOT (pt = 'dieu' OR (pt = '' AND NOT art)))) AS hierarchy_ok FROM j GROUP BY 1""",
 }
+
+_SLUG = r"coalesce(nullif(lower(trim(regexp_replace(regexp_replace(strip_accents({x}), '[^\x00-\x7F]', '', 'g'), '[^a-zA-Z0-9]+', '-', 'g'), '-')), ''), 'doc')"
+_PARTS = rf"""RECURSIVE b AS (
+  SELECT doc_id, dom_order, text, row_number() OVER (PARTITION BY doc_id ORDER BY dom_order) - 1 AS i,
+    {_HEADING} AND max({_MARKER}::int) OVER (PARTITION BY doc_id ORDER BY dom_order ROWS BETWEEN CURRENT ROW AND 5 FOLLOWING) = 1 AS head,
+    {_MARKER} OR {_HEADING} AS mark,
+    try_cast(nullif(regexp_extract(text, '(?i)^[\s\p{{Z}}]*Điều[\s\p{{Z}}]+([0-9]+)[a-zđ]?[.\s\p{{Z}}]', 1), '') AS int) AS num
+  FROM blocks
+), m AS (SELECT doc_id, coalesce(list(i) FILTER (mark), []) AS marks FROM b GROUP BY 1),
+ev AS (SELECT doc_id, i, head, num, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM b WHERE head OR num IS NOT NULL),
+st AS (
+  SELECT doc_id, 0::bigint AS k, [0::bigint] AS bounds, NULL::int AS last, marks FROM m
+  UNION ALL
+  SELECT doc_id, k, CASE WHEN head AND i > edge THEN list_append(bounds, i) WHEN num IS NOT NULL AND last > 1 AND num = 1 AND spot > edge THEN list_append(bounds, spot) ELSE bounds END,
+    CASE WHEN head AND i > edge THEN NULL WHEN num IS NULL THEN last ELSE num END, marks
+  FROM (SELECT e.doc_id, e.k, e.i, e.head, e.num, s.bounds, s.last, s.marks, s.bounds[-1] AS edge,
+      coalesce(list_max(list_filter(s.marks, lambda j: j < e.i AND j >= greatest(e.i - 9, s.bounds[-1]))), e.i) AS spot
+    FROM st s JOIN ev e ON s.doc_id = e.doc_id AND e.k = s.k + 1) x
+), fin AS (SELECT doc_id, arg_max(bounds, k) AS bounds FROM st GROUP BY 1),
+placed AS (SELECT b.doc_id, b.dom_order, b.text, len(list_filter(f.bounds, lambda x: x <= b.i))::int AS part_no FROM b JOIN fin f ON b.doc_id = f.doc_id),
+named AS (SELECT doc_id, dom_order, part_no, 'p' || part_no AS part_id, CASE WHEN part_no > 1 THEN first_value(text) OVER (PARTITION BY doc_id, part_no ORDER BY dom_order) END AS part_heading, part_no = 1 AS is_main FROM placed)"""
+
+ORACLES |= {
+    "slugs": f"SELECT doc_id, CASE WHEN coalesce(so_ky_hieu, '') <> '' THEN {_SLUG.format(x='so_ky_hieu')} || '-' ELSE '' END || {_SLUG.format(x='id')} AS slug FROM documents",
+    "parts": f"WITH {_PARTS} SELECT * FROM named",
+    "part_ranges": f"WITH {_PARTS} SELECT doc_id, part_no, min(dom_order) AS start_block, max(dom_order) AS end_block, min(part_heading) AS heading FROM named GROUP BY 1, 2",
+}
