@@ -28,4 +28,10 @@ def p8_leak_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {"p8_found": p8_found, "p8_leak_report": p8_leak_report}
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "p8_found": r"""WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM documents WHERE text IS NOT NULL),
+i AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM benchmark_items WHERE text IS NOT NULL),
+ig AS (SELECT DISTINCT item_id, hash(array_to_string(w[p:p + 19], ' ')) AS h FROM (SELECT item_id, w, unnest(range(1, len(w) - 18)) AS p FROM i) x),
+dg AS (SELECT doc_id, hash(array_to_string(w[p:p + 19], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS p FROM d) x)
+SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (h)"""
+}

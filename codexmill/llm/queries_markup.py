@@ -26,4 +26,14 @@ def p2_clean_sources(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {"p2_found": p2_found, "p2_clean_text": p2_clean_text, "p2_clean_sources": p2_clean_sources}
-ORACLES: dict[str, str] = {}
+_HTML = r"</?(?i:a|b|br|code|div|em|font|h[1-6]|i|img|li|o:p|ol|p|pre|s|small|span|strong|sub|sup|table|tbody|td|th|tr|u|ul)(?:\s+[^<>=]*=[^<>]*)?\s*/?>|<!--|&(?:nbsp|lt|gt|amp|quot|#[0-9]+);"
+_MARKDOWN = r"(?m)```|`[^`\n]+`|\*\*[^\s*][^\n]*?\*\*|(?:^|[^_\pL\pN])__[^\s_][^\n]*?[^\s_]?__(?:[^_\pL\pN]|$)|~~[^~\n]+~~|^ {0,3}#{1,6}[ \t]+[^\n]*\pL|^ {0,3}>[ \t]?\S|\]\([#/.]|\]\(https?:"
+_WIKI = r"(?m)'{2,5}[^\s'][^\n]*?[^\s']'{2,5}|(?:^|[^'])'{3,5}(?:[^']|$)|^[ \t]*={2,6}[ \t]*[^=\n]+?[ \t]*={2,6}[ \t]*$|\[\[[^\[\]\n]+\]\]|\{\{[^{}]+\}\}|^[ \t]*\{\|"
+_LATEX = r"(?:^|[^:\\])\\(?:begin|end|textbf|emph|textit|section|footnote|underline|frac)\*?\s*\{|\\\(|\\\[|(?:^|[^\pL\pN:\\])\\item(?:[^a-zA-Z{]|$)|\$[^\s$][^$\n]*[\\^_={][^$\n]*\$"
+
+ORACLES = {
+    "p2_found": " UNION ALL ".join(
+        f"SELECT node_id, '{kind}' AS markup FROM nodes WHERE regexp_matches(text, '{pattern.replace(chr(39), chr(39) * 2)}')"
+        for kind, pattern in (("html", _HTML), ("markdown", _MARKDOWN), ("wiki", _WIKI), ("latex", _LATEX))
+    )
+}

@@ -28,4 +28,15 @@ def p1_classes(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {"p1_found": p1_found, "p1_classes": p1_classes}
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "p1_found": r"""WITH t AS (
+  SELECT 'nodes.text_full' AS field, node_id AS k, text_full AS t FROM nodes WHERE node_type = 'dieu' AND length(text_full) >= 300
+  UNION SELECT 'documents.title', id, title FROM documents WHERE title IS NOT NULL AND id IS NOT NULL
+), n AS (SELECT row_number() OVER () AS r, field, k, trim(regexp_replace(lower(t), '[\s\p{Z}\x{85}]+', ' ', 'g')) AS t FROM t),
+g AS (SELECT DISTINCT r, hash(field, substr(t, p, 5)) AS h FROM (SELECT r, field, t, unnest(range(1, length(t) - 3)) AS p FROM n) x),
+c AS (SELECT r, count(*) AS n FROM g GROUP BY 1),
+b AS (SELECT a.r AS x, b.r AS y, count(*) AS shared FROM g a JOIN g b ON a.h = b.h AND a.r < b.r GROUP BY 1, 2)
+SELECT DISTINCT n1.field, least(n1.k, n2.k) AS key_a, greatest(n1.k, n2.k) AS key_b
+FROM b JOIN c c1 ON c1.r = x JOIN c c2 ON c2.r = y JOIN n n1 ON n1.r = x JOIN n n2 ON n2.r = y
+WHERE shared * 10 >= 7 * (c1.n + c2.n - shared) AND n1.field = n2.field AND n1.k <> n2.k"""
+}
