@@ -185,7 +185,8 @@ def terms_of(key: str, body: bool) -> dict[str, float]:
 
     def add(word: str, weight: float) -> None:
         w = f"^{word.rstrip('.')}" + ("" if word.endswith(".") else "$")
-        for g in [w[:2], *(w[k : k + 3] for k in range(len(w) - 2))]:
+        # The set of letters stays when two are swapped or one is doubled.
+        for g in [w[:2], *(w[k : k + 3] for k in range(len(w) - 2)), "z:" + "".join(sorted(set(word)))]:
             out[g] = out.get(g, 0.0) + weight
 
     if body and "|" in key:
