@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -79,12 +80,13 @@ def apply_mask(masked: DataFrame) -> DataFrame:
     )
 
 
-def judge(classified: DataFrame, provider: Callable[[str, str, str], dict | None] | None = None) -> DataFrame:
+def judge(classified: DataFrame, provider: Callable[[str, str, str], dict | None] | None = None, threads: int = 10, patience: float = 45.0) -> DataFrame:
     """Ask ``provider(before, text, after)`` about blocks without a type or with a conflict.
 
     The rows need ``before, shown, after`` (see ``sequence.context``). The provider gives ``node_type``,
-    ``number_raw`` and ``confidence``, or None. A type outside the permitted ones, an exception or a
-    missing answer keeps the old classification. Without a provider nothing is asked.
+    ``number_raw`` and ``confidence``, or None. A type outside the permitted ones, an exception, a missing
+    answer or one later than ``patience`` seconds keeps the old classification. Up to ``threads`` questions
+    of a task are open at once, since they wait for a network. Without a provider nothing is asked.
     """
     if provider is None:
         return classified
@@ -92,18 +94,23 @@ def judge(classified: DataFrame, provider: Callable[[str, str, str], dict | None
     permitted = set(JUDGED_TYPES)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pool = ThreadPoolExecutor(threads)
         for pdf in batches:
             pdf = pdf.copy()
-            for i in pdf.index[pdf["node_type"].isna() | pdf["conflict"]]:
+            rows = pdf.index[pdf["node_type"].isna() | pdf["conflict"]]
+            asked = [(i, pool.submit(provider, pdf.at[i, "before"] or "", pdf.at[i, "shown"] or "", pdf.at[i, "after"] or "")) for i in rows]
+            for i, future in asked:
                 try:
-                    answer = provider(pdf.at[i, "before"] or "", pdf.at[i, "shown"] or "", pdf.at[i, "after"] or "")
-                except Exception:  # noqa: BLE001 - a failing judge leaves the block as it was
-                    answer = None
+                    answer = future.result(timeout=patience)
+                except Exception:  # noqa: BLE001 - a failing or late judge leaves the block as it was
+                    future.cancel()
+                    continue
                 if answer and answer.get("node_type") in permitted:
                     pdf.at[i, "node_type"] = answer["node_type"]
                     pdf.at[i, "number_raw"] = answer.get("number_raw")
                     pdf.at[i, "confidence"] = float(answer.get("confidence") or 0.0)
                     pdf.at[i, "classified_by"] = "llm"
             yield pdf
+        pool.shutdown(wait=False, cancel_futures=True)
 
     return classified.mapInPandas(run, schema)

@@ -13,6 +13,7 @@ from codexmill.operators.profile import class_map, crosstab
 from codexmill.operators.sequence import context, heading_signals, mask_quotes, split_parts
 from codexmill.operators.tree import FOOTER, ancestors_by_window, outline, rank_of, subtree
 from codexmill.operators.validate import hierarchy_ok, sequence_ok
+from codexmill.plans.profiling import CorpusProfile
 from codexmill.plans.pipeline import classify_blocks, nodes_of, parse_documents
 from codexmill.sources.tables import table
 
@@ -161,6 +162,21 @@ def full_quality(spark: SparkSession, d: str) -> DataFrame:
     return parse_documents(_content(spark, d), "doc_id", "content_html", table(spark, d, "documents"))[1]
 
 
+def corpus_profile(spark: SparkSession, d: str) -> DataFrame:
+    return CorpusProfile(_content(spark, d), "doc_id", "content_html").summary()
+
+
+def profile_class_map(spark: SparkSession, d: str) -> DataFrame:
+    """Class map learned from raw HTML."""
+    return CorpusProfile(_content(spark, d), "doc_id", "content_html").class_map()
+
+
+def full_tree_with_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Trees with the class tier: the map is learned from the same blocks."""
+    blocks = _blocks(spark, d, "text", "tag", "classes", "style_indent", "is_bold", "is_table", "html_raw")
+    return nodes_of(classify_blocks(blocks, class_map(crosstab(blocks))), table(spark, d, "documents"))
+
+
 def masked_types(spark: SparkSession, d: str) -> DataFrame:
     """Types that quotation masks take away."""
     parted = split_parts(_blocks(spark, d, "text")).withColumn("class_type", F.lit(None).cast("string"))
@@ -173,7 +189,7 @@ QUERIES = {
     for f in (
         normalize_text, line_blocks, heading_lookahead, parts, part_ranges, quote_parity_mask, pattern_types, classify_cascade, judge_context, footer_lines,
         parent_previous_smaller, text_full_rollup, node_breadcrumbs, sibling_numbers, subtree_prefix, subtree_lookup, outlines, sequence_check, hierarchy_check,
-        slugs, full_tree, full_parse, full_quality, masked_types,
+        slugs, full_tree, full_tree_with_classes, full_parse, corpus_profile, profile_class_map, full_quality, masked_types,
     )
 }
 

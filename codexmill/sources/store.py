@@ -42,6 +42,10 @@ class Store:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.schema(DDL.get(name, "doc_id string")).parquet(self.path(name))
 
+    def has_rows(self, name: str) -> bool:
+        """Whether a table holds anything; reads one row at most."""
+        return bool(self.read(name).take(1))
+
     def load(self, name: str, df: DataFrame) -> None:
         """Replace a table; columns go by name."""
         df.select(*columns(name)).write.mode("overwrite").parquet(self.path(name))
@@ -83,3 +87,17 @@ def with_missing(ids: DataFrame, blocks: DataFrame) -> DataFrame:
     """Blocks of the wanted ids as arrays; an id without blocks has an empty one."""
     grouped = blocks.join(ids.select("doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("dom_order", "text"))).alias("b"))
     return ids.select("doc_id").join(grouped, "doc_id", "left").select("doc_id", F.coalesce(F.size("b"), F.lit(0)).alias("n_blocks"), F.to_json(F.coalesce("b", F.array())).alias("blocks"))
+
+
+def write_blocks_json(blocks: DataFrame, ids: DataFrame, folder: str) -> None:
+    """Blocks of the wanted documents as JSON, one folder for each document; a document without blocks has ``[]``."""
+    with_missing(ids, blocks).select("doc_id", "blocks").repartition("doc_id").write.mode("overwrite").partitionBy("doc_id").text(folder)
+
+
+def load_class_map(spark: SparkSession, path: str) -> DataFrame:
+    """Class map from JSON lines (``class, type, purity, n``); a missing file is an empty map."""
+    ddl = "class string, type string, purity double, n long"
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found):
+        return spark.createDataFrame([], ddl)
+    return spark.read.schema(ddl).json(path)

@@ -77,3 +77,47 @@ def test_samples_are_disjoint_balanced_and_repeatable(spark):
 def test_markdown_cells_are_escaped(spark):
     text = to_markdown(spark.createDataFrame([("a|b\nc", None)], "x string, y int"), "T")
     assert "| a/b c |  |" in text and text.startswith("## T")
+
+
+def test_profile_and_reports(spark, tmp_path):
+    from codexmill.plans.profiling import CorpusProfile, write_profile
+    from codexmill.plans.quality_report import profile_report, quality_report
+    from codexmill.sources.store import load_class_map
+
+    html = "<div class='box'><p class='art'>Điều 1. a</p><p class='art'>Điều 2. b</p><p>1. c</p></div><table></table>"
+    profile = CorpusProfile(spark.createDataFrame([("a", html), ("b", None), ("c", "")], HTML), "id", "html")
+    got = {(r.metric, r["name"]): r.value for r in profile.summary().collect()}
+    assert got["presence", "n_docs"] == 3 and abs(got["presence", "with_table"] - 1 / 3) < 1e-9
+    assert got["types", "n_docs"] == 3 and abs(got["types", "rate_dieu"] - 1 / 3) < 1e-9
+    # The outer element repeats the text of the inner ones, so its class is seen with an article as well.
+    assert {(r["class"], r.type, r.purity) for r in profile.class_map().collect()} == {("art", "dieu", 1.0), ("box", "dieu", 1.0)}
+    assert "## Templates" in profile_report(profile)
+    write_profile(profile, str(tmp_path / "p"))
+    assert load_class_map(spark, str(tmp_path / "p/class_map")).count() == 2 and load_class_map(spark, str(tmp_path / "none")).count() == 0
+    q = spark.createDataFrame([("a", "clean", "", "Luật", "1990s", "x"), ("b", "warn", "sequence", None, "", "x")], "doc_id string, verdict string, issues string, loai_van_ban string, decade string, template_family string")
+    text = quality_report(q)
+    assert "| clean | 1 | 50.0% |" in text and "| unknown | 0 | 1 | 0 | 1 |" in text and "| sequence | 1 | b |" in text
+
+
+def test_blocks_as_json(spark, tmp_path):
+    import json
+
+    from codexmill.sources.store import write_blocks_json
+
+    blocks = spark.createDataFrame([("a", 1, "y"), ("a", 0, "x"), ("c", 0, "z")], "doc_id string, dom_order int, text string")
+    write_blocks_json(blocks, spark.createDataFrame([("a",), ("b",)], "doc_id string"), str(tmp_path / "g"))
+    got = {r.doc_id: json.loads(r.value) for r in spark.read.text(str(tmp_path / "g")).collect()}
+    assert got == {"a": [{"dom_order": 0, "text": "x"}, {"dom_order": 1, "text": "y"}], "b": []}
+
+
+def test_judge_answers_and_settings(tmp_path, monkeypatch):
+    from codexmill.sources.judge_http import HttpJudge, load_env, parse_answer
+
+    assert parse_answer('```json\n{"node_type": "dieu", "number_raw": "3", "confidence": 0.7}\n```') == {"node_type": "dieu", "number_raw": "3", "confidence": 0.7}
+    assert parse_answer('{"node_type": "poem"}') is None and parse_answer("no json") is None and parse_answer("[1]") is None
+    assert HttpJudge("http://127.0.0.1:9", "m", timeout=0.2)("", "x", "") is None
+    path = tmp_path / "env"
+    path.write_text("# note\nA_TEST_KEY = 'v'\nbroken\n")
+    monkeypatch.delenv("A_TEST_KEY", raising=False)
+    assert load_env(str(path)) == {"A_TEST_KEY": "v"} and load_env(str(tmp_path / "none")) == {}
+    monkeypatch.delenv("A_TEST_KEY", raising=False)
