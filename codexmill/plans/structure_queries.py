@@ -11,7 +11,7 @@ from codexmill.operators.classify import apply_mask, cascade, class_tier, patter
 from codexmill.operators.html import clean_text
 from codexmill.operators.profile import class_map, crosstab
 from codexmill.operators.sequence import context, heading_signals, mask_quotes, split_parts
-from codexmill.operators.tree import FOOTER, ancestors_by_window, outline, rank_of, subtree
+from codexmill.operators.tree import FOOTER, ancestors_by_window, mark_nodes, outline, rank_of, subtree
 from codexmill.operators.validate import hierarchy_ok, sequence_ok
 from codexmill.plans.profiling import CorpusProfile
 from codexmill.plans.pipeline import classify_blocks, nodes_of, parse_documents
@@ -51,7 +51,7 @@ def part_ranges(spark: SparkSession, d: str) -> DataFrame:
 
 
 def quote_parity_mask(spark: SparkSession, d: str) -> DataFrame:
-    one = _blocks(spark, d, "text").withColumn("part_no", F.lit(1))
+    one = _blocks(spark, d, "text").withColumns({"part_no": F.lit(1), "text": F.translate("text", "“”", '""')})
     return mask_quotes(one).filter("is_masked").select("doc_id", "dom_order")
 
 
@@ -162,6 +162,11 @@ def full_quality(spark: SparkSession, d: str) -> DataFrame:
     return parse_documents(_content(spark, d), "doc_id", "content_html", table(spark, d, "documents"))[1]
 
 
+def tree_marks(spark: SparkSession, d: str) -> DataFrame:
+    """What each block does in its tree and which node it belongs to."""
+    return mark_nodes(classify_blocks(_blocks(spark, d, "text"))).select("doc_id", "dom_order", "part_no", "role", "target")
+
+
 def corpus_profile(spark: SparkSession, d: str) -> DataFrame:
     return CorpusProfile(_content(spark, d), "doc_id", "content_html").summary()
 
@@ -189,7 +194,7 @@ QUERIES = {
     for f in (
         normalize_text, line_blocks, heading_lookahead, parts, part_ranges, quote_parity_mask, pattern_types, classify_cascade, judge_context, footer_lines,
         parent_previous_smaller, text_full_rollup, node_breadcrumbs, sibling_numbers, subtree_prefix, subtree_lookup, outlines, sequence_check, hierarchy_check,
-        slugs, full_tree, full_tree_with_classes, full_parse, corpus_profile, profile_class_map, full_quality, masked_types,
+        slugs, tree_marks, full_tree, full_tree_with_classes, full_parse, corpus_profile, profile_class_map, full_quality, masked_types,
     )
 }
 
@@ -222,7 +227,7 @@ ORACLES = {
 s AS (SELECT doc_id, line_no, regexp_replace(line, '^[\s\p{Z}\x{85}]+|[\s\p{Z}\x{85}]+$', '', 'g') AS line FROM l)
 SELECT doc_id, line_no, length(line) AS n_chars, length(regexp_replace(line, '[\s\p{Z}\x{85}]+', '', 'g')) AS n_solid FROM s WHERE line <> ''""",
     "heading_lookahead": f"""SELECT doc_id, dom_order FROM (SELECT doc_id, dom_order, {_HEADING} AND max({_MARKER}::int) OVER (PARTITION BY doc_id ORDER BY dom_order ROWS BETWEEN CURRENT ROW AND 5 FOLLOWING) = 1 AS h FROM blocks) x WHERE h""",
-    "quote_parity_mask": """SELECT doc_id, dom_order FROM (SELECT doc_id, dom_order, sum(length(text) - length(replace(text, '"', ''))) OVER (PARTITION BY doc_id ORDER BY dom_order ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS n FROM blocks) x WHERE n % 2 = 1""",
+    "quote_parity_mask": """SELECT doc_id, dom_order FROM (SELECT doc_id, dom_order, sum(length(text) - length(replace(translate(text, '“”', '""'), '"', ''))) OVER (PARTITION BY doc_id ORDER BY dom_order ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS n FROM blocks) x WHERE n % 2 = 1""",
     "pattern_types": f"SELECT doc_id, dom_order, {_TYPE} AS node_type, {_NUMBER} AS number_raw FROM blocks WHERE {_TYPE} IS NOT NULL",
     "classify_cascade": f"""WITH b AS (SELECT doc_id, dom_order, classes, {_TYPE} AS a, {_NUMBER} AS num FROM blocks),
 e AS (SELECT doc_id, dom_order, a, unnest(classes) AS class, generate_subscripts(classes, 1) AS pos FROM b),
@@ -281,3 +286,44 @@ ORACLES |= {
     "parts": f"WITH {_PARTS} SELECT * FROM named",
     "part_ranges": f"WITH {_PARTS} SELECT doc_id, part_no, min(dom_order) AS start_block, max(dom_order) AS end_block, min(part_heading) AS heading FROM named GROUP BY 1, 2",
 }
+
+_FOOT = r"(regexp_matches(text, '(?i)^[\s\p{Z}]*(TM\.|KT\.|Nơi nhận|\(?Đã ký\)?)') OR regexp_matches(text, '(?i)^[\s\p{Z}]*[^,\n]{2,40},[\s\p{Z}]*ngày[\s\p{Z}]+\p{Nd}{1,2}[\s\p{Z}]+tháng[\s\p{Z}]+\p{Nd}{1,2}[\s\p{Z}]+năm[\s\p{Z}]+\p{Nd}{4}[\s\p{Z}]*\.?[\s\p{Z}]*$'))"
+_MARKED = rf"""{_PARTS}, typed AS (
+  SELECT n.doc_id, n.dom_order, n.part_no, n.part_id, o.text, o.html_raw, {_TYPE.replace('text', 'o.text')} AS a, {_NUMBER.replace('text', 'o.text')} AS num,
+    coalesce(sum(length(o.text) - length(replace(o.text, '"', ''))) OVER (PARTITION BY n.doc_id, n.part_no ORDER BY n.dom_order ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) % 2 = 1 AS masked
+  FROM named n JOIN blocks o ON n.doc_id = o.doc_id AND n.dom_order = o.dom_order
+), cl AS (SELECT *, CASE WHEN NOT masked THEN a END AS t, CASE WHEN NOT masked THEN num END AS nr FROM typed),
+g AS (SELECT *, t IS NULL AND {_FOOT} AS foot, count(t) OVER w AS grp, last_value(t IGNORE NULLS) OVER w AS lt FROM cl WINDOW w AS (PARTITION BY doc_id, part_no ORDER BY dom_order ROWS UNBOUNDED PRECEDING)),
+nth AS (SELECT *, sum((t IS NULL AND NOT foot)::int) OVER (PARTITION BY doc_id, part_no, grp ORDER BY dom_order) AS np, sum(foot::int) OVER (PARTITION BY doc_id, part_no ORDER BY dom_order) AS nf FROM g),
+roles AS (SELECT *, CASE WHEN t IS NOT NULL THEN 'push' WHEN foot THEN CASE WHEN nf = 1 THEN 'footer' ELSE 'to_footer' END WHEN grp > 0 AND lt = 'dieu' AND np = 1 THEN 'khoan0'
+  WHEN grp > 0 THEN 'append' WHEN np = 1 THEN 'preamble' ELSE 'to_preamble' END AS role FROM nth),
+ord AS (SELECT *, (sum((role IN ('push', 'khoan0', 'footer', 'preamble'))::int) OVER (PARTITION BY doc_id, part_no ORDER BY dom_order) - 1)::int AS order_index FROM roles),
+marked AS (SELECT *, CASE role WHEN 'to_footer' THEN max(CASE WHEN role = 'footer' THEN order_index END) OVER p WHEN 'to_preamble' THEN max(CASE WHEN role = 'preamble' THEN order_index END) OVER p ELSE order_index END AS target
+  FROM ord WINDOW p AS (PARTITION BY doc_id, part_no))"""
+_TREE = rf"""{_MARKED}, made AS (
+  SELECT doc_id, part_no, part_id, order_index, text, CASE role WHEN 'khoan0' THEN 'khoan' WHEN 'push' THEN t ELSE role END AS node_type, CASE role WHEN 'khoan0' THEN '0' WHEN 'push' THEN nr END AS number_raw,
+    CASE role WHEN 'khoan0' THEN 0.5 WHEN 'push' THEN 0.8 ELSE 0.6 END::double AS confidence, CASE role WHEN 'khoan0' THEN 'style' ELSE 'regex' END AS classified_by
+  FROM marked WHERE role IN ('push', 'khoan0', 'footer', 'preamble')
+), lev AS (SELECT *, {_RANK} AS r, CASE WHEN node_type = 'diem' THEN lower(number_raw) ELSE number_raw END AS number_norm FROM made),
+pa AS (SELECT a.doc_id, a.part_no, a.order_index, max(b.order_index) AS up FROM lev a LEFT JOIN lev b ON a.doc_id = b.doc_id AND a.part_no = b.part_no AND b.order_index < a.order_index AND b.r < a.r GROUP BY 1, 2, 3),
+tl AS (SELECT lev.*, up, CASE WHEN r IS NULL THEN node_type WHEN coalesce(number_norm, '') = '' THEN node_type || '-u' || row_number() OVER (PARTITION BY lev.doc_id, lev.part_no, up, node_type, coalesce(number_norm, '') = '' ORDER BY lev.order_index)
+  ELSE node_type || '-' || number_norm END AS tail FROM lev JOIN pa USING (doc_id, part_no, order_index)),
+it AS (SELECT *, CASE WHEN r IS NOT NULL AND row_number() OVER (PARTITION BY doc_id, part_no, up, tail ORDER BY order_index) > 1 THEN tail || '~' || row_number() OVER (PARTITION BY doc_id, part_no, up, tail ORDER BY order_index) ELSE tail END AS id_tail FROM tl),
+meta AS (SELECT id, so_ky_hieu FROM documents WHERE id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY id ORDER BY doc_id DESC) = 1),
+sl AS (SELECT doc_id, CASE WHEN coalesce(so_ky_hieu, '') <> '' THEN {_SLUG.format(x='so_ky_hieu')} || '-' ELSE '' END || {_SLUG.format(x='doc_id')} AS slug FROM (SELECT DISTINCT doc_id FROM it) d LEFT JOIN meta ON d.doc_id = meta.id),
+tree AS (
+  SELECT it.doc_id, part_no, order_index, slug || '/' || part_id || '/' || id_tail AS node_id, NULL::varchar AS parent_id, replace(tail, '-', '_') AS path, substr(text, 1, 60) AS breadcrumb, 0 AS depth, [order_index] AS chain FROM it JOIN sl ON it.doc_id = sl.doc_id WHERE up IS NULL
+  UNION ALL
+  SELECT it.doc_id, it.part_no, it.order_index, t.node_id || '/' || it.id_tail, t.node_id, t.path || '.' || replace(it.tail, '-', '_'), t.breadcrumb || ' › ' || substr(it.text, 1, 60), t.depth + 1, list_append(t.chain, it.order_index)
+  FROM tree t JOIN it ON it.doc_id = t.doc_id AND it.part_no = t.part_no AND it.up = t.order_index
+), tx AS (SELECT doc_id, part_no, target AS order_index, string_agg(text, chr(10) ORDER BY dom_order) AS text, string_agg(html_raw, '' ORDER BY dom_order) AS html_raw FROM marked GROUP BY 1, 2, 3),
+fu AS (SELECT c.doc_id, c.part_no, c.to_node AS order_index, string_agg(tx.text, chr(10) ORDER BY c.order_index) AS text_full FROM (SELECT doc_id, part_no, order_index, unnest(chain) AS to_node FROM tree) c JOIN tx USING (doc_id, part_no, order_index) GROUP BY 1, 2, 3)"""
+
+ORACLES |= {
+    "tree_marks": f"WITH {_MARKED} SELECT doc_id, dom_order, part_no, role, target FROM marked",
+    "masked_types": f"WITH {_MARKED} SELECT a AS raw_type, count(*) AS n FROM marked WHERE masked AND a IS NOT NULL GROUP BY 1",
+    "full_tree": f"""WITH {_TREE}
+SELECT tree.node_id, it.doc_id, it.part_no, it.part_id, tree.parent_id, tree.path, tree.depth, it.order_index, it.node_type, it.number_raw, it.number_norm,
+  CASE WHEN it.node_type IN ('dieu', 'chuong', 'muc', 'tieu_muc', 'phan') THEN it.text END AS heading, tx.text, fu.text_full, tree.breadcrumb, tx.html_raw, it.confidence, it.classified_by
+FROM it JOIN tree USING (doc_id, part_no, order_index) JOIN tx USING (doc_id, part_no, order_index) JOIN fu USING (doc_id, part_no, order_index)""",
+}
