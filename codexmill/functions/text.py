@@ -21,6 +21,11 @@ def solid(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)\s+", "")
 
 
+def whole_number(c: Column) -> Column:
+    """A run of digits as a number, full-width digits too; anything else is null."""
+    return F.nullif(F.translate(c, "０１２３４５６７８９", "0123456789"), F.lit("")).try_cast("int")
+
+
 def parse_date(c: Column) -> Column:
     """Day/month/year with one or two digits; what is no date becomes null."""
     return F.try_to_date(c, "d/M/yyyy")

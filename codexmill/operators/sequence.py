@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from codexmill.config import LOOK_AHEAD, LOOK_BACK
-from codexmill.functions.text import strip
+from codexmill.functions.text import strip, whole_number
 
 # Patterns of article lines, annex headings and annex markers.
 ARTICLE = r"(?iuU)^\s*Điều\s+(\d+)[a-zđ]?[.\s]"
@@ -24,7 +24,7 @@ def in_order():
 
 
 def article_number(c: Column) -> Column:
-    return F.nullif(F.regexp_extract(c, ARTICLE, 1), F.lit("")).try_cast("int")
+    return whole_number(F.regexp_extract(c, ARTICLE, 1))
 
 
 def heading_signals(blocks: DataFrame) -> DataFrame:

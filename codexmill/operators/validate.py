@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from codexmill.config import CONFLICT_CONFIDENCE, CONFLICT_LIMIT, COVERAGE_CLEAN, COVERAGE_WARN, POINT_ALPHABET
-from codexmill.functions.text import solid
+from codexmill.functions.text import solid, whole_number
 from codexmill.operators.sequence import ANNEX_MARKER
 
 
@@ -18,7 +18,7 @@ def sequence_ok(nodes: DataFrame, part: str = "part_no") -> DataFrame:
     """
     order = W.partitionBy("doc_id", "parent_id", "node_type").orderBy(part, "order_index")
     numbers = nodes.filter(F.col("node_type").isin("dieu", "khoan", "diem"))
-    lead = F.nullif(F.regexp_extract("number_norm", r"^(\d+)", 1), F.lit("")).try_cast("int")
+    lead = whole_number(F.regexp_extract("number_norm", r"(?U)^(\d+)", 1))
     place = F.nullif(F.when(F.length("number_norm") == 1, F.instr(F.lit(POINT_ALPHABET), F.lower("number_norm"))), F.lit(0))
     numbers = numbers.withColumn("__n", F.when(F.col("node_type") == "diem", place).otherwise(lead)).filter(F.col("__n").isNotNull())
     step = F.col("__n") - F.lag("__n").over(order)

@@ -103,7 +103,7 @@ SELECT {group}, v[least(len(v) - 1, floor(len(v) * 0.5)::bigint) + 1] AS p50, v[
 
 
 _FAMILY = "SELECT doc_id, coalesce(array_to_string(list_sort(list_distinct(flatten(list(classes)))), '|'), '') AS template_family FROM blocks GROUP BY 1"
-_HAS = "regexp_matches(text, '(?i)^[\\s\\p{Z}]*Điều[\\s\\p{Z}]+[0-9]+[a-zđ]?[.\\s\\p{Z}]')"
+_HAS = "regexp_matches(text, '(?i)^[\\s\\p{Z}]*Điều[\\s\\p{Z}]+\\p{Nd}+[a-zđ]?[.\\s\\p{Z}]')"
 
 ORACLES = {
     "class_stats": f"WITH {_E} SELECT class, count(*) AS total, count(*) FILTER (is_bold) AS bold, count(DISTINCT tag) AS n_tags, count(DISTINCT style_indent) AS n_indents FROM e GROUP BY 1",
@@ -114,10 +114,10 @@ ORACLES = {
     "class_crosstab": f"WITH {_E}, {_C} SELECT * FROM c",
     "class_majority": f"WITH {_E}, {_C} SELECT class, arg_min(type, (-n, type)) AS type, max(n) / sum(n) AS purity, sum(n)::bigint AS n FROM c GROUP BY 1",
     "class_agreement": f"WITH {_E}, {_C}, p AS (SELECT max(n) AS best, sum(n) AS n FROM c GROUP BY class) SELECT sum(best) / sum(n) AS agreement FROM p",
-    "type_rates": r"""WITH p AS (SELECT doc_id, bool_or(regexp_matches(text, '(?i)^[\s\p{Z}]*Điều[\s\p{Z}]+[0-9]+[a-zđ]?[.\s\p{Z}]')) AS a, bool_or(regexp_matches(text, '(?i)^[\s\p{Z}]*Chương[\s\p{Z}]+[IVXLC]+')) AS b,
-  bool_or(regexp_matches(text, '(?i)^[\s\p{Z}]*Mục[\s\p{Z}]+[0-9]+')) AS c, bool_or(regexp_matches(text, '^[\s\p{Z}]*\p{Nd}+\.[\s\p{Z}]')) AS k, bool_or(regexp_matches(text, '^[\s\p{Z}]*[a-zđ]\)[\s\p{Z}]')) AS m FROM blocks GROUP BY 1)
+    "type_rates": r"""WITH p AS (SELECT doc_id, bool_or(regexp_matches(text, '(?i)^[\s\p{Z}]*Điều[\s\p{Z}]+\p{Nd}+[a-zđ]?[.\s\p{Z}]')) AS a, bool_or(regexp_matches(text, '(?i)^[\s\p{Z}]*Chương[\s\p{Z}]+[IVXLC]+')) AS b,
+  bool_or(regexp_matches(text, '(?i)^[\s\p{Z}]*Mục[\s\p{Z}]+\p{Nd}+')) AS c, bool_or(regexp_matches(text, '^[\s\p{Z}]*\p{Nd}+\.[\s\p{Z}]')) AS k, bool_or(regexp_matches(text, '^[\s\p{Z}]*[a-zđ]\)[\s\p{Z}]')) AS m FROM blocks GROUP BY 1)
 SELECT count(*) AS n_docs, avg(a::int) AS rate_dieu, avg(b::int) AS rate_chuong, avg(c::int) AS rate_muc, avg(k::int) AS rate_khoan, avg(m::int) AS rate_diem FROM p""",
-    "multi_part_rate": f"""WITH n AS (SELECT doc_id, dom_order, CASE WHEN {_HAS} THEN regexp_extract(text, '(?i)^[\\s\\p{{Z}}]*Điều[\\s\\p{{Z}}]+([0-9]+)', 1)::int END AS num, regexp_matches(text, '(?i)\\(Ban hành kèm theo') AS marker FROM blocks),
+    "multi_part_rate": f"""WITH n AS (SELECT doc_id, dom_order, CASE WHEN {_HAS} THEN translate(regexp_extract(text, '(?i)^[\\s\\p{{Z}}]*Điều[\\s\\p{{Z}}]+(\\p{{Nd}}+)', 1), '０１２３４５６７８９', '0123456789')::int END AS num, regexp_matches(text, '(?i)\\(Ban hành kèm theo') AS marker FROM blocks),
 a AS (SELECT doc_id, num < lag(num) OVER (PARTITION BY doc_id ORDER BY dom_order) AS down FROM n WHERE num IS NOT NULL),
 p AS (SELECT n.doc_id, bool_or(marker) OR coalesce((SELECT bool_or(down) FROM a WHERE a.doc_id = n.doc_id), false) AS multi FROM n GROUP BY 1)
 SELECT count(*) AS n_docs, avg(multi::int) AS rate FROM p""",

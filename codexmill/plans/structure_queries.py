@@ -202,14 +202,14 @@ _HEADING = r"regexp_matches(regexp_replace(text, '^[\s\p{Z}]+|[\s\p{Z}]+$', '',
 _MARKER = r"regexp_matches(text, '(?i)\(Ban hành kèm theo')"
 _RANK = "CASE node_type WHEN 'phan' THEN 0 WHEN 'phu_luc' THEN 0 WHEN 'chuong' THEN 1 WHEN 'muc' THEN 2 WHEN 'tieu_muc' THEN 3 WHEN 'dieu' THEN 4 WHEN 'khoan' THEN 5 WHEN 'diem' THEN 6 WHEN 'gach_dau_dong' THEN 7 END"
 _S = r"[\s\p{Z}\x{85}\x{1c}-\x{1f}]"
-_TYPE = r"""CASE WHEN regexp_matches(text, '(?i)^[\s\p{Z}]*Điều[\s\p{Z}]+[0-9]+[a-zđ]?[.\s\p{Z}]') THEN 'dieu'
+_TYPE = r"""CASE WHEN regexp_matches(text, '(?i)^[\s\p{Z}]*Điều[\s\p{Z}]+\p{Nd}+[a-zđ]?[.\s\p{Z}]') THEN 'dieu'
   WHEN regexp_matches(text, '(?i)^[\s\p{Z}]*Chương[\s\p{Z}]+[IVXLC]+') THEN 'chuong'
-  WHEN regexp_matches(text, '(?i)^[\s\p{Z}]*Mục[\s\p{Z}]+[0-9]+') THEN 'muc'
+  WHEN regexp_matches(text, '(?i)^[\s\p{Z}]*Mục[\s\p{Z}]+\p{Nd}+') THEN 'muc'
   WHEN regexp_matches(text, '^[\s\p{Z}]*\p{Nd}+[.\-][\s\p{Z}]') THEN 'khoan'
   WHEN regexp_matches(text, '^[\s\p{Z}]*[a-zđ]\)[\s\p{Z}]') THEN 'diem' END"""
-_NUMBER = r"""CASE WHEN regexp_matches(text, '(?i)^[\s\p{Z}]*Điều[\s\p{Z}]+[0-9]+[a-zđ]?[.\s\p{Z}]') THEN regexp_extract(text, '(?i)^[\s\p{Z}]*Điều[\s\p{Z}]+([0-9]+[a-zđ]?)[.\s\p{Z}]', 1)
+_NUMBER = r"""CASE WHEN regexp_matches(text, '(?i)^[\s\p{Z}]*Điều[\s\p{Z}]+\p{Nd}+[a-zđ]?[.\s\p{Z}]') THEN regexp_extract(text, '(?i)^[\s\p{Z}]*Điều[\s\p{Z}]+(\p{Nd}+[a-zđ]?)[.\s\p{Z}]', 1)
   WHEN regexp_matches(text, '(?i)^[\s\p{Z}]*Chương[\s\p{Z}]+[IVXLC]+') THEN regexp_extract(text, '(?i)^[\s\p{Z}]*Chương[\s\p{Z}]+([IVXLC]+)', 1)
-  WHEN regexp_matches(text, '(?i)^[\s\p{Z}]*Mục[\s\p{Z}]+[0-9]+') THEN regexp_extract(text, '(?i)^[\s\p{Z}]*Mục[\s\p{Z}]+([0-9]+)', 1)
+  WHEN regexp_matches(text, '(?i)^[\s\p{Z}]*Mục[\s\p{Z}]+\p{Nd}+') THEN regexp_extract(text, '(?i)^[\s\p{Z}]*Mục[\s\p{Z}]+(\p{Nd}+)', 1)
   WHEN regexp_matches(text, '^[\s\p{Z}]*\p{Nd}+[.\-][\s\p{Z}]') THEN regexp_extract(text, '^[\s\p{Z}]*(\p{Nd}+)[.\-][\s\p{Z}]', 1)
   WHEN regexp_matches(text, '^[\s\p{Z}]*[a-zđ]\)[\s\p{Z}]') THEN regexp_extract(text, '^[\s\p{Z}]*([a-zđ])\)[\s\p{Z}]', 1) END"""
 _ANC = f"""nd AS (SELECT node_id, doc_id, part_id, order_index, text, {_RANK} AS r FROM nodes),
@@ -251,9 +251,9 @@ row_number() OVER (PARTITION BY doc_id, part_id, parent_id, node_type, number_no
     "subtree_prefix": """SELECT r.node_id AS root, count(*) AS n_below FROM nodes r JOIN nodes n ON r.doc_id = n.doc_id AND starts_with(n.node_id, r.node_id || '/') WHERE r.node_type = 'dieu' GROUP BY 1""",
     "subtree_lookup": """SELECT node_id, depth, order_index FROM nodes WHERE starts_with(node_id, (SELECT min(node_id) FROM nodes WHERE node_type = 'chuong') || '/')""",
     "outlines": """SELECT doc_id, part_id, order_index, repeat('  ', depth) || '[' || node_type || coalesce(' ' || number_norm, '') || '] ' || substr(text, 1, 80) AS line FROM nodes""",
-    "sequence_check": """WITH n AS (SELECT doc_id, parent_id, node_type, order_index, regexp_extract(part_id, '([0-9]+)$', 1)::int AS part_no,
+    "sequence_check": r"""WITH n AS (SELECT doc_id, parent_id, node_type, order_index, regexp_extract(part_id, '([0-9]+)$', 1)::int AS part_no,
   CASE WHEN node_type = 'diem' THEN CASE WHEN length(number_norm) = 1 THEN nullif(instr('abcdđeghiklmnopqrstuvxy', lower(number_norm)), 0) END
-  ELSE try_cast(nullif(regexp_extract(number_norm, '^([0-9]+)', 1), '') AS int) END AS v FROM nodes WHERE node_type IN ('dieu', 'khoan', 'diem')),
+  ELSE try_cast(nullif(translate(regexp_extract(number_norm, '^(\p{Nd}+)', 1), '０１２３４５６７８９', '0123456789'), '') AS int) END AS v FROM nodes WHERE node_type IN ('dieu', 'khoan', 'diem')),
 s AS (SELECT doc_id, node_type, v - lag(v) OVER (PARTITION BY doc_id, parent_id, node_type ORDER BY part_no, order_index) AS step FROM n WHERE v IS NOT NULL)
 SELECT doc_id, NOT coalesce(bool_or(CASE WHEN node_type = 'diem' THEN step <= 0 ELSE step <> 1 END), false) AS sequence_ok FROM s GROUP BY 1""",
     "hierarchy_check": """WITH j AS (SELECT n.doc_id, n.node_type, coalesce(p.node_type, '') AS pt, coalesce(bool_or(n.node_type = 'dieu') OVER (PARTITION BY n.doc_id), false) AS art FROM nodes n LEFT JOIN nodes p ON n.parent_id = p.node_id)
@@ -265,7 +265,7 @@ _PARTS = rf"""RECURSIVE b AS (
   SELECT doc_id, dom_order, text, row_number() OVER (PARTITION BY doc_id ORDER BY dom_order) - 1 AS i,
     {_HEADING} AND max({_MARKER}::int) OVER (PARTITION BY doc_id ORDER BY dom_order ROWS BETWEEN CURRENT ROW AND 5 FOLLOWING) = 1 AS head,
     {_MARKER} OR {_HEADING} AS mark,
-    try_cast(nullif(regexp_extract(text, '(?i)^[\s\p{{Z}}]*Điều[\s\p{{Z}}]+([0-9]+)[a-zđ]?[.\s\p{{Z}}]', 1), '') AS int) AS num
+    try_cast(nullif(translate(regexp_extract(text, '(?i)^[\s\p{{Z}}]*Điều[\s\p{{Z}}]+(\p{{Nd}}+)[a-zđ]?[.\s\p{{Z}}]', 1), '０１２３４５６７８９', '0123456789'), '') AS int) AS num
   FROM blocks
 ), m AS (SELECT doc_id, coalesce(list(i) FILTER (mark), []) AS marks FROM b GROUP BY 1),
 ev AS (SELECT doc_id, i, head, num, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM b WHERE head OR num IS NOT NULL),
