@@ -123,30 +123,32 @@ def is_plain(cp: int) -> bool:
     return unicodedata.category(c) not in ("Mn", "Mc", "Me", "Cn") and unicodedata.is_normalized("NFC", c)
 
 
-def plain_ranges() -> str:
-    """Ranges of plain code points for a Java character class, without the space.
+def plain_class() -> str:
+    """A Java character class of the plain code points without the space.
 
-    Few ranges, because the pattern engine tests them one by one.
+    The pattern engine tests the ranges of a class one by one, but leaves a nested class for last: so the
+    frequent blocks come first and each further group is nested in the one before.
     """
-    ranges: list[list[int]] = []
-    for first, last in PLAIN_BLOCKS:
-        for cp in range(first, last + 1):
-            if cp != 0x20 and is_plain(cp):
-                if ranges and ranges[-1][1] == cp - 1:
-                    ranges[-1][1] = cp
-                else:
-                    ranges.append([cp, cp])
-    return "".join(f"\\x{{{a:x}}}" + (f"-\\x{{{b:x}}}" if b > a else "") for a, b in ranges)
+    groups: list[list[str]] = [[], [], []]
+    for n, (first, last) in enumerate(PLAIN_BLOCKS):
+        start = None
+        for cp in range(first, last + 2):
+            if cp <= last and cp != 0x20 and is_plain(cp):
+                start = cp if start is None else start
+            elif start is not None:
+                groups[min(n, 2)].append(f"\\x{{{start:x}}}-\\x{{{cp - 1:x}}}")
+                start = None
+    return f"[\\r{''.join(groups[0])}[{''.join(groups[1])}[{''.join(groups[2])}]]]"
 
 
-def suspect_class() -> str:
-    """A Java character class of every code point not known to be plain."""
-    return rf"[^ \n\r{plain_ranges()}]"
+def all_plain() -> str:
+    """A pattern of texts that are their own form by construction."""
+    return rf"\A[ \n{plain_class()}]*+\z"
 
 
 def suspect_word() -> str:
-    """A pattern of whole words that hold a suspect character; each word is read once."""
-    return rf"(?<![^ \n])[\r{plain_ranges()}]*+{suspect_class()}[^ \n]*"
+    """A pattern of whole words that hold a code point not known to be plain; each word is read once."""
+    return rf"(?<![^ \n]){plain_class()}*+[^ \n]+"
 
 
 _MAPPING = T.StructType(
@@ -228,14 +230,15 @@ def differing_rows(df: DataFrame, key, text: str) -> DataFrame:
 def one_form(df: DataFrame, key, text: str) -> DataFrame:
     """``row_key, text_form, changed`` for every row."""
     rows = df.select(key.alias("row_key"), F.col(text).alias("text"))
-    is_suspect = F.coalesce(F.col("text").rlike(suspect_class()), F.lit(False))
+    is_suspect = F.coalesce(~F.col("text").rlike(all_plain()), F.lit(False))
     clean = rows.filter(~is_suspect).select("row_key", F.col("text").alias("text_form"), F.lit(False).alias("changed"))
     suspect = rows.filter(is_suspect)
     words = _suspect_words(suspect).distinct()
     forms = word_forms(words.select("word").distinct())
     maps = words.join(forms, "word").groupBy("row_key").agg(F.map_from_entries(F.collect_list(F.struct("word", "form"))).alias("m")).withColumnRenamed("row_key", "__key")
-    pieces = F.split("text", r"(?<=[ \n])|(?=[ \n])")
+    fixed_word = lambda w: F.coalesce(F.try_element_at("m", w), w)
+    fixed_line = lambda line: F.array_join(F.transform(F.split(line, " ", -1), fixed_word), " ")
     joined = suspect.join(maps, suspect["row_key"].eqNullSafe(maps["__key"]), "left")
-    form = F.when(F.col("m").isNull(), F.col("text")).otherwise(F.concat_ws("", F.transform(pieces, lambda w: F.coalesce(F.try_element_at("m", w), w))))
+    form = F.when(F.col("m").isNull(), F.col("text")).otherwise(F.array_join(F.transform(F.split("text", "\n", -1), fixed_line), "\n"))
     fixed = joined.select("row_key", form.alias("text_form"), F.col("m").isNotNull().alias("changed"))
     return clean.unionByName(fixed)
