@@ -21,6 +21,7 @@ PATTERNS = (
 )
 # Fixed value: types that a judge may give.
 JUDGED_TYPES = ("phan", "chuong", "muc", "tieu_muc", "dieu", "khoan", "diem", "gach_dau_dong", "phu_luc")
+LITERAL_CLASSES = 500
 BROADCAST_CLASSES = 100_000
 
 
@@ -37,9 +38,17 @@ def pattern_tier(text: Column) -> tuple[Column, Column]:
 def class_tier(blocks: DataFrame, class_map: DataFrame, purity: float = CLASS_PURITY) -> DataFrame:
     """``class_type``: type of the first class of a block whose majority is pure enough.
 
-    ``class_map``: ``class, type, purity``. It is broadcast while it has at most ``BROADCAST_CLASSES`` rows.
+    ``class_map``: ``class, type, purity``, one row a class. Up to ``LITERAL_CLASSES`` pure classes become a literal
+    map, so the blocks do not move; more of them join, broadcast while they are at most ``BROADCAST_CLASSES``.
     """
     pure = class_map.filter(F.col("purity") >= purity).select(F.col("class").alias("__class"), F.col("type").alias("__type"))
+    rows = pure.limit(LITERAL_CLASSES + 1).collect()
+    if len(rows) <= LITERAL_CLASSES:
+        if not rows:
+            return blocks.withColumn("class_type", F.lit(None).cast("string"))
+        types = F.create_map(*[F.lit(x) for r in rows for x in (r["__class"], r["__type"])])
+        found = F.filter(F.transform("classes", lambda c: F.try_element_at(types, c)), lambda t: t.isNotNull())
+        return blocks.withColumn("class_type", F.get(found, F.lit(0)))
     if pure.limit(BROADCAST_CLASSES + 1).count() <= BROADCAST_CLASSES:
         pure = F.broadcast(pure)
     exploded = blocks.select("doc_id", "dom_order", F.posexplode("classes").alias("__pos", "__class")).join(pure, "__class")

@@ -30,7 +30,9 @@ def sequence_ok(nodes: DataFrame, part: str = "part_no") -> DataFrame:
 def hierarchy_ok(nodes: DataFrame) -> DataFrame:
     """``doc_id, hierarchy_ok``: points stand under clauses; clauses under articles, or under nothing where the document has no article."""
     parents = nodes.select(F.col("node_id").alias("__pid"), F.col("node_type").alias("__ptype"))
-    joined = nodes.join(parents, nodes["parent_id"] == parents["__pid"], "left")
+    # Roots have no parent; a key of their own keeps them from meeting in one partition.
+    keyed = nodes.withColumn("__up", F.coalesce("parent_id", F.concat(F.lit("root of "), "node_id")))
+    joined = keyed.join(parents, F.col("__up") == F.col("__pid"), "left")
     articles = F.coalesce(F.bool_or(F.col("node_type") == "dieu").over(W.partitionBy("doc_id")), F.lit(False))
     joined = joined.withColumn("__articles", articles)
     parent = F.coalesce(F.col("__ptype"), F.lit(""))

@@ -31,11 +31,9 @@ class CorpusProfile:
 
     def types(self) -> DataFrame:
         """Rates over all documents, also those without an element."""
-        some = P.type_rates(self.elements)
-        total = self.flat.agg(F.count(F.lit(1)).alias("all_docs"))
+        some, total = P.type_rates(self.elements), self.flat.count()
         rates = [c for c in some.columns if c.startswith("rate_")]
-        # Both sides are one row.
-        return some.crossJoin(total).select(F.col("all_docs").alias("n_docs"), *[(F.coalesce(F.col(c), F.lit(0.0)) * F.col("n_docs") / F.col("all_docs")).alias(c) for c in rates])
+        return some.select(F.lit(total).alias("n_docs"), *[(F.coalesce(F.col(c), F.lit(0.0)) * F.col("n_docs") / max(total, 1)).alias(c) for c in rates])
 
     def classes(self, n: int = 200) -> DataFrame:
         return P.top_classes(P.class_stats(self.elements), n)

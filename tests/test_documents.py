@@ -165,3 +165,19 @@ def test_subtree_and_outline(spark):
     nodes = nodes_of(classify_blocks(frame(spark, ["Điều 1. a", "1. b", "Điều 11. c", "1. d"])))
     assert [r.node_id for r in subtree(nodes, "d/p1/dieu-1").collect()] == ["d/p1/dieu-1/khoan-1"]
     assert "  [khoan 1] 1. b" in [r.line for r in outline(nodes).collect()]
+
+
+def test_class_tier_by_map_and_by_join(spark, monkeypatch):
+    from codexmill.operators import classify
+
+    cm = spark.createDataFrame([("a", "dieu", 0.9), ("b", "khoan", 0.8), ("c", "diem", 0.2)], "class string, type string, purity double")
+    df = spark.createDataFrame([("d", 0, ["c", "b", "a"]), ("d", 1, ["c"]), ("d", 2, []), ("d", 3, None)], "doc_id string, dom_order int, classes array<string>")
+    want = {0: "khoan", 1: None, 2: None, 3: None}
+    got = lambda: {r.dom_order: r.class_type for r in classify.class_tier(df, cm).collect()}
+    assert got() == want
+    monkeypatch.setattr(classify, "LITERAL_CLASSES", 0)
+    assert got() == want
+    monkeypatch.setattr(classify, "BROADCAST_CLASSES", 0)
+    assert got() == want
+    monkeypatch.undo()
+    assert {r.class_type for r in classify.class_tier(df, cm.limit(0)).collect()} == {None}
