@@ -1,12 +1,13 @@
 """Problem 7: filling containers of fixed capacity with whole items.
 
 Method: variable-capacity best-fit. Items are taken from large to small; each goes
-to the open bin that it fills best, of whatever capacity; if none has room, a new bin of
-the least-cost capacity opens. At the end each bin is downsized to its contents: to a
-smaller capacity, or to several smaller bins if these together cost less.
+to the open bin that it fills best, of whatever capacity; if none has room, a new bin
+opens. At the end each bin is downsized to its contents: to a smaller capacity, or to
+several smaller bins if these together cost less.
 
-The permitted capacities are optimised jointly. The cost of a bin is its capacity, so the
-total cost minus the content is the unused space.
+The permitted capacities are optimised jointly: the smallest capacity to open is chosen for
+the least total cost after downsizing. The cost of a bin is its capacity, so the total cost
+minus the content is the unused space.
 
 Scale: only lengths travel. Items spread by hash over shards of about ``SHARD`` items, each
 packed on its own; a shard wastes no more than its last bins, so the loss against one global
@@ -61,8 +62,8 @@ def token_counts(df: DataFrame, key: str, text: str, path: str = VOCABULARY) ->
 class OpenBins:
     """Open bins by free space: a bit set of the free spaces in use finds the best fit."""
 
-    def __init__(self, capacities: list[int]):
-        self.capacities = sorted(capacities)
+    def __init__(self, capacities: list[int], least: int):
+        self.capacities = [c for c in capacities if c >= least]
         self.by_free: dict[int, list[int]] = {}
         self.used = 0
         self.bins: list[list] = []
@@ -81,48 +82,52 @@ class OpenBins:
             if not stack:
                 self.used &= ~(1 << free)
         else:
-            # Any capacity may be downsized at the end, so the one with the least cost for what can follow is the largest.
-            free, b = self.capacities[-1], len(self.bins)
+            free, b = next(c for c in self.capacities if c >= size), len(self.bins)
             self.bins.append([])
         self.bins[b].append((size, item))
         self._put(b, free - size)
 
 
-def _best_fit(items: list[tuple[int, object]], capacities: list[int]) -> list[list]:
-    bins = OpenBins(capacities)
+def _best_fit(items: list[tuple[int, object]], capacities: list[int], least: int) -> list[list]:
+    """Contents of bins; a new bin has the smallest capacity of at least ``least`` that holds the item."""
+    bins = OpenBins(capacities, least)
     for size, item in items:
         bins.add(size, item)
     return bins.bins
 
 
+def _smallest(capacities: list[int], content: list) -> int:
+    total = sum(s for s, _ in content)
+    return next(c for c in capacities if c >= total)
+
+
 def pack(items: list[tuple[int, object]], capacities: list[int]) -> list[tuple[int, list]]:
-    """(capacity, [(size, item), ...]) of all bins; items must fit the largest capacity."""
+    """(capacity, [(size, item), ...]) of all bins; items must fit the largest capacity.
+
+    Every capacity is tried as the least one to open, which decides how small items and large bins share the
+    content; the rule with the least total capacity counts, of equal ones the one with fewer bins.
+    """
     capacities = sorted(set(capacities))
-    out: list[tuple[int, list]] = []
-    loose: list[tuple[int, object]] = []
-    for content in _best_fit(sorted(items, key=lambda x: (-x[0], x[1])), capacities):
-        total = sum(s for s, _ in content)
-        capacity = next(c for c in capacities if c >= total)
-        best, parts = capacity, [(capacity, content)]
-        for k in range(len(capacities) - 1):  # downsizing to several smaller bins
-            small = capacities[: k + 1]
-            if content[0][0] <= small[-1] and total < capacity:
-                split = [(next(c for c in small if c >= sum(s for s, _ in b)), b) for b in _best_fit(content, small)]
-                cost = sum(c for c, _ in split)
-                if cost < best:
-                    best, parts = cost, split
-        # Bins left mostly empty give their items to one more round.
-        if total * 2 < best:
-            loose += content
-        else:
-            out += parts
-    if loose and len(loose) < len(items):
-        return out + pack(loose, capacities)
-    if loose:
-        for content in _best_fit(sorted(loose, key=lambda x: (-x[0], x[1])), capacities):
-            total = sum(s for s, _ in content)
-            out.append((next(c for c in capacities if c >= total), content))
-    return out
+    ordered = sorted(items, key=lambda x: (-x[0], x[1]))
+    tries = []
+    for least in reversed(capacities):
+        bins = [part for content in _best_fit(ordered, capacities, least) for part in _downsize(content, capacities)]
+        tries.append((sum(c for c, _ in bins), len(bins), -least, bins))
+    return min(tries, key=lambda t: t[:3])[3] if items else []
+
+
+def _downsize(content: list, capacities: list[int]) -> list[tuple[int, list]]:
+    """A bin as the cheapest bins for its contents: one of a smaller capacity, or several smaller ones."""
+    capacity = _smallest(capacities, content)
+    best, parts = capacity, [(capacity, content)]
+    for small in capacities[: capacities.index(capacity)]:
+        if content[0][0] <= small:
+            sizes = [c for c in capacities if c <= small]
+            split = [(_smallest(sizes, b), b) for b in _best_fit(content, sizes, small)]
+            cost = sum(c for c, _ in split)
+            if cost < best:
+                best, parts = cost, split
+    return parts
 
 
 def pack_items(sized: DataFrame, key: str, size: str, capacities: list[int], shard_items: int = SHARD) -> DataFrame:
