@@ -215,8 +215,8 @@ def _terms(body: bool):
 def cosine_pairs(keys: DataFrame, body: bool, threshold: float = COSINE, top_n: int | None = None) -> DataFrame:
     """``a, b, cosine`` for every pair of keys (column ``key``, distinct) with at least ``threshold``."""
     terms = keys.select("key", F.explode(_terms(body)("key")).alias("t")).select("key", "t.term", "t.tf")
-    total = keys.agg(F.count(F.lit(1)).alias("total"))
-    idf = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df")).crossJoin(F.broadcast(total)).select("term", F.log1p(F.col("total") / F.col("df")).alias("idf"))
+    total = keys.count()
+    idf = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select("term", F.log1p(F.lit(float(total)) / F.col("df")).alias("idf"))
     own = W.partitionBy("key")
     weighted = terms.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf")).withColumn("norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(own)))
     weighted = cut(weighted.select("key", "term", "idf", (F.col("w") / F.col("norm")).alias("w")))
