@@ -23,6 +23,7 @@ strings, smaller first; names are counted over all rows; other columns are ignor
 
 from __future__ import annotations
 
+import heapq
 import re
 import unicodedata
 
@@ -276,29 +277,40 @@ def components(links: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def average_linkage(names: list[str], weight: list[float], sims: dict[tuple[int, int], float], least: float = LINKAGE) -> list[int]:
-    """Cluster number of each name: the two clusters with the highest mean similarity merge while it reaches ``least``."""
+    """Cluster number of each name: the two clusters with the highest mean similarity merge while it reaches ``least``.
+
+    Members weigh as many rows as have their name. Only linked clusters are looked at, through a heap whose
+    outdated entries are passed over, so the work follows the number of links.
+    """
     n = len(names)
-    total = {k: weight[k] for k in range(n)}
+    total = dict(enumerate(weight))
     near: dict[int, dict[int, float]] = {k: {} for k in range(n)}
     for (i, j), s in sims.items():
         near[i][j] = near[j][i] = s * weight[i] * weight[j]
-    where = list(range(n))
-    while True:
-        best, pair = least, None
-        for i in near:
-            for j, s in near[i].items():
-                if i < j and (m := s / (total[i] * total[j])) >= best and (m > best or pair is None or (i, j) < pair):
-                    best, pair = m, (i, j)
-        if pair is None:
-            return where
-        i, j = pair
+    heap = [(-s / (total[i] * total[j]), i, j) for i in near for j, s in near[i].items() if i < j]
+    heapq.heapify(heap)
+    into = list(range(n))
+    while heap:
+        mean, i, j = heapq.heappop(heap)
+        if -mean < least:
+            break
+        if i not in total or j not in total or j not in near[i] or -near[i][j] / (total[i] * total[j]) != mean:
+            continue
         for k, s in near.pop(j).items():
             near[k].pop(j, None)
             if k != i:
                 near[i][k] = near[k][i] = near[i].get(k, 0.0) + s
-        near[i].pop(j, None)
         total[i] += total.pop(j)
-        where = [i if w == j else w for w in where]
+        into[j] = i
+        for k, s in near[i].items():
+            a, b = min(i, k), max(i, k)
+            heapq.heappush(heap, (-s / (total[a] * total[b]), a, b))
+    where = []
+    for k in range(n):
+        while into[k] != k:
+            k = into[k]
+        where.append(k)
+    return where
 
 
 def _cluster(pdf: pd.DataFrame) -> pd.DataFrame:
