@@ -56,17 +56,22 @@ def mark_nodes(classified: DataFrame) -> DataFrame:
     return rows.drop("__push", "__foot", "__group", "__last_type")
 
 
-def ancestors_by_window(nodes: DataFrame, payload: list[str]) -> Column:
-    """Ancestors of each node (columns ``rank, order_index``), outermost first, as structs of ``payload``."""
+def with_ancestors(nodes: DataFrame, payload: list[str], name: str) -> DataFrame:
+    """``name``: ancestors of each node (columns ``rank, order_index``), outermost first, as structs of ``payload``.
+
+    Nodes without a rank stand outside the tree and have none. The last node of each level is a column of its
+    own, so each window function is evaluated once.
+    """
     before = W.partitionBy(*PART).orderBy("order_index").rowsBetween(W.unboundedPreceding, -1)
-    last = [F.last(F.when(F.col("rank") == q, F.struct("order_index", *payload)), ignorenulls=True).over(before) for q in RANKS]
-    # An ancestor of level q lies behind every node of a smaller level; nodes outside the tree have no rank.
+    lasts = {f"__last{q}": F.last(F.when(F.col("rank") == q, F.struct("order_index", *payload)), ignorenulls=True).over(before) for q in RANKS}
+    seen = nodes.withColumns(lasts)
+    # An ancestor of level q lies behind every node of a smaller level.
     slots = []
     for q in RANKS:
-        smaller = [F.coalesce(last[p]["order_index"], F.lit(-1)) for p in range(q)]
+        smaller = [F.coalesce(F.col(f"__last{p}.order_index"), F.lit(-1)) for p in range(q)]
         edge = F.greatest(*smaller) if len(smaller) > 1 else smaller[0] if smaller else F.lit(-1)
-        slots.append(F.when((F.col("rank") > q) & (last[q]["order_index"] > edge), last[q]))
-    return F.filter(F.array(*slots), lambda x: x.isNotNull())
+        slots.append(F.when((F.col("rank") > q) & (F.col(f"__last{q}.order_index") > edge), F.col(f"__last{q}")))
+    return seen.withColumn(name, F.filter(F.array(*slots), lambda x: x.isNotNull())).drop(*lasts)
 
 
 def build_tree(classified: DataFrame, slug: str = "doc_slug") -> DataFrame:
@@ -105,7 +110,8 @@ def build_tree(classified: DataFrame, slug: str = "doc_slug") -> DataFrame:
         F.array_join(F.transform("__b", lambda b: F.coalesce(b["html_raw"], F.lit(""))), "").alias("html_all"),
     )
     nodes = nodes.withColumns({"rank": rank_of(F.col("node_type")), "number_norm": F.when(F.col("node_type") == "diem", F.lower("number_raw")).otherwise(F.col("number_raw"))})
-    nodes = nodes.withColumn("__parent", F.element_at(F.concat(F.array(F.lit(-1)), F.transform(ancestors_by_window(nodes, []), lambda x: x["order_index"])), -1))
+    nodes = with_ancestors(nodes, [], "__up")
+    nodes = nodes.withColumn("__parent", F.coalesce(F.try_element_at(F.transform("__up", lambda x: x["order_index"]), F.lit(-1)), F.lit(-1))).drop("__up")
     unnumbered = F.coalesce(F.col("number_norm"), F.lit("")) == ""
     siblings = W.partitionBy(*PART, "__parent", "node_type", unnumbered).orderBy("order_index")
     tail = (
@@ -117,7 +123,7 @@ def build_tree(classified: DataFrame, slug: str = "doc_slug") -> DataFrame:
     repeat = F.row_number().over(W.partitionBy(*PART, "__parent", "tail").orderBy("order_index"))
     nodes = nodes.withColumn("id_tail", F.when((repeat > 1) & F.col("rank").isNotNull(), F.concat("tail", F.lit("~"), repeat.cast("string"))).otherwise(F.col("tail")))
     nodes = nodes.withColumn("crumb", F.substring("first_text", 1, 60))
-    nodes = nodes.withColumn("__anc", ancestors_by_window(nodes, ["tail", "id_tail", "crumb"]))
+    nodes = with_ancestors(nodes, ["tail", "id_tail", "crumb"], "__anc")
     chain = lambda f: F.transform("__anc", lambda x: x[f])
     root = F.concat_ws("/", "__slug", "part_id")
     nodes = nodes.withColumns(

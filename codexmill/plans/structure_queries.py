@@ -11,7 +11,7 @@ from codexmill.operators.classify import apply_mask, cascade, class_tier, patter
 from codexmill.operators.html import clean_text
 from codexmill.operators.profile import class_map, crosstab
 from codexmill.operators.sequence import context, heading_signals, mask_quotes, split_parts
-from codexmill.operators.tree import FOOTER, ancestors_by_window, mark_nodes, outline, rank_of, subtree
+from codexmill.operators.tree import FOOTER, mark_nodes, outline, rank_of, subtree, with_ancestors
 from codexmill.operators.validate import hierarchy_ok, sequence_ok
 from codexmill.plans.profiling import CorpusProfile
 from codexmill.plans.pipeline import classify_blocks, nodes_of, parse_documents
@@ -78,26 +78,23 @@ def footer_lines(spark: SparkSession, d: str) -> DataFrame:
 def parent_previous_smaller(spark: SparkSession, d: str) -> DataFrame:
     """Parents found again from the order and the levels of stored nodes."""
     nodes = _nodes(spark, d).withColumn("rank", rank_of(F.col("node_type")))
-    chain = ancestors_by_window(nodes, ["node_id"])
-    found = nodes.withColumn("__a", F.transform(chain, lambda x: x["node_id"]))
-    parent = F.when(F.col("rank").isNotNull() & (F.size("__a") > 0), F.element_at("__a", -1))
-    return found.select("node_id", parent.alias("parent_id"), F.when(F.col("rank").isNotNull(), F.size("__a")).otherwise(0).alias("depth"))
+    found = with_ancestors(nodes, ["node_id"], "__a")
+    return found.select("node_id", F.try_element_at("__a", F.lit(-1))["node_id"].alias("parent_id"), F.size("__a").alias("depth"))
 
 
 def text_full_rollup(spark: SparkSession, d: str) -> DataFrame:
     """Length of each node's text with all nodes below, by exploding ancestors once."""
     nodes = _nodes(spark, d).withColumn("rank", rank_of(F.col("node_type")))
-    chain = F.transform(ancestors_by_window(nodes, ["node_id"]), lambda x: x["node_id"])
-    given = nodes.withColumn("__to", F.concat(F.array("node_id"), F.when(F.col("rank").isNotNull(), chain).otherwise(F.array().cast("array<string>"))))
+    found = with_ancestors(nodes, ["node_id"], "__a")
+    given = found.withColumn("__to", F.concat(F.array("node_id"), F.transform("__a", lambda x: x["node_id"])))
     given = given.select(F.explode("__to").alias("node_id"), F.length("text").alias("n"))
     return given.groupBy("node_id").agg((F.sum("n") + F.count(F.lit(1)) - 1).alias("n_chars"), F.count(F.lit(1)).alias("n_nodes"))
 
 
 def node_breadcrumbs(spark: SparkSession, d: str) -> DataFrame:
     nodes = _nodes(spark, d).withColumns({"rank": rank_of(F.col("node_type")), "crumb": F.substring("text", 1, 60)})
-    chain = ancestors_by_window(nodes, ["crumb"])
-    above = F.transform(F.when(F.col("rank").isNotNull(), chain).otherwise(F.filter(chain, lambda x: F.lit(False))), lambda x: x["crumb"])
-    return nodes.select("node_id", F.concat_ws(" › ", above, "crumb").alias("breadcrumb"))
+    found = with_ancestors(nodes, ["crumb"], "__a")
+    return found.select("node_id", F.concat_ws(" › ", F.transform("__a", lambda x: x["crumb"]), "crumb").alias("breadcrumb"))
 
 
 def sibling_numbers(spark: SparkSession, d: str) -> DataFrame:
