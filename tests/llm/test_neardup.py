@@ -72,5 +72,5 @@ def test_empty_table(spark):
 def test_signature_of_short_and_long_texts():
     assert signature("abcd") is None and signature("abcde") is not None
     keys, sketch = signature("abcdefgh " * 50_000)
-    assert len(keys) == 48 and len(sketch) == 36 and signature("x" * 100_000)[0] == signature("x" * 5)[0]
-    assert 43 < radius(0.7) < 75
+    assert len(keys) == 64 and len(sketch) == 48 and signature("x" * 100_000)[0] == signature("x" * 5)[0]
+    assert 58 < radius(0.7) < 100
