@@ -48,9 +48,9 @@ def markdown_cell(c: Column, width: int = 80) -> Column:
 
 
 def slug(text: str | None) -> str:
-    """ASCII letters and digits of the compatibility decomposition, runs of others as hyphens."""
-    plain = unicodedata.normalize("NFKD", text or "").encode("ascii", "ignore").decode()
-    return re.sub(r"[^a-zA-Z0-9]+", "-", plain).strip("-").lower() or "doc"
+    """Runs of ASCII letters and digits of the compatibility decomposition, joined by hyphens; other letters vanish."""
+    kept = "".join(c for c in unicodedata.normalize("NFKD", text or "") if c.isascii())
+    return "-".join(re.findall("[a-z0-9]+", kept.lower())) or "doc"
 
 
 @F.pandas_udf(T.StringType())

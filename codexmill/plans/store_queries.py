@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codexmill.functions.text import decade, markdown_cell, or_unknown, parse_date
 from codexmill.operators import reports as R
+from codexmill.operators.html import explode_blocks, flatten_documents
 from codexmill.operators.sample import round_robin, two_samples
 from codexmill.operators.validate import issues, verdict
-from codexmill.sources.store import columns, duplicate_keys, indexable, load_documents, with_missing
+from codexmill.plans.pipeline import classify_blocks, nodes_of
+from codexmill.session import checkpoint_root, cut
+from codexmill.sources.store import Store, columns, duplicate_keys, indexable, load_documents, with_missing
 from codexmill.sources.tables import latest_per_key, lookup, pick, row_count, table
+from codexmill.streaming.incremental import stream_into
 
 
 def _quality(spark: SparkSession, d: str) -> DataFrame:
@@ -171,12 +178,48 @@ def quality_json(spark, d):
     return _quality(spark, d).select("doc_id", F.to_json(F.struct("verdict", "n_nodes")).alias("json"))
 
 
+def _fresh_store(spark: SparkSession) -> Store:
+    store = Store(spark, f"{checkpoint_root(spark)}/store-{uuid.uuid4().hex}")
+    store.create()
+    return store
+
+
+def store_load(spark, d):
+    """Rows of the store after a bulk load, and a node load that stopped half way and was resumed."""
+    store = _fresh_store(spark)
+    store.load("documents", load_documents(_as_metadata(spark, d)))
+    store.load("document_relationships", table(spark, d, "document_relationships"))
+    store.load("parse_quality", table(spark, d, "parse_quality"))
+    nodes, wanted = table(spark, d, "nodes"), indexable(store.read("parse_quality"))
+    store.load_nodes(nodes, wanted.filter(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0))
+    store.load_nodes(nodes, wanted)
+    counts = [row_count(store.complete_nodes() if t == "nodes" else store.read(t)).select(F.lit(t).alias("table"), "n_rows") for t in ("documents", "document_relationships", "parse_quality", "nodes", "edges")]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def stream_load(spark, d):
+    """Nodes of each type after a file stream has brought the blocks' documents into a store, run twice."""
+    store = _fresh_store(spark)
+    inbox = f"{store.folder}/inbox"
+    table(spark, d, "blocks").select("doc_id", "dom_order", "html_raw").groupBy("doc_id").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("dom_order", "html_raw"))), lambda b: b["html_raw"]), "").alias("content_html")
+    ).write.parquet(inbox)
+
+    def parse(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+        flat = cut(flatten_documents(batch, "doc_id", "content_html"))
+        return nodes_of(classify_blocks(explode_blocks(flat))), flat.select("doc_id")
+
+    for _ in range(2):
+        stream_into(spark, inbox, "doc_id string, content_html string", store, parse, f"{store.folder}/progress").awaitTermination()
+    return store.complete_nodes().groupBy("node_type").agg(F.count(F.lit(1)).alias("n_nodes"), F.count_distinct("doc_id").alias("n_docs"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         documents_load, lenient_dates, last_metadata, metadata_left_join, index_gate_semi, resume_anti, missing_content, wanted_blocks, point_lookup, in_list_scan, footer_counts, key_check,
         relationship_degrees, relationship_labels, verdict_shares, quality_by_type, quality_by_decade, quality_by_template, quality_grouping_sets, issue_combos_topk, issue_counts,
-        recomputed_verdicts, verdict_transition, first_clean, stratified_round_robin, dev_and_golden, report_cells, quality_json,
+        recomputed_verdicts, verdict_transition, first_clean, stratified_round_robin, dev_and_golden, report_cells, quality_json, store_load, stream_load,
     )
 }
 
@@ -222,5 +265,6 @@ SELECT doc_id, strftime(try_strptime(s, '%d/%m/%Y'), '%Y-%m-%d') AS parsed, CASE
     "stratified_round_robin": _robin("documents", 200, 42),
     "dev_and_golden": f"WITH a AS ({_robin('documents', 300, 42)}), r AS (SELECT * FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM a)), b AS ({_robin('r', 30, 43)}) SELECT doc_id, 'dev' AS sample FROM a UNION ALL SELECT doc_id, 'golden' FROM b",
     "report_cells": f"WITH {_Q} SELECT doc_id, substr(replace(replace(template_family, '|', '/'), chr(10), ' '), 1, 80) AS cell FROM q",
+    "store_load": "SELECT 'documents' AS \"table\", count(*) AS n_rows FROM documents UNION ALL SELECT 'document_relationships', count(*) FROM document_relationships UNION ALL SELECT 'parse_quality', count(*) FROM parse_quality UNION ALL SELECT 'nodes', count(DISTINCT node_id) FROM nodes WHERE doc_id IN (SELECT doc_id FROM parse_quality WHERE verdict IN ('clean', 'warn')) UNION ALL SELECT 'edges', 0",
     "quality_json": f"WITH {_Q} SELECT doc_id, '{{\"verdict\":\"' || verdict || '\",\"n_nodes\":' || n_nodes || '}}' AS json FROM q",
 }
