@@ -85,11 +85,13 @@ def parse(source: str) -> Element:
     """The element tree of ``source`` under a nameless root."""
     root = Element("", "", 0)
     stack, at, n = [root], 0, len(source)
+    opened: dict[str, int] = {}  # open elements by tag, so an end tag without its start costs nothing
     add = lambda s: stack[-1].kids.append(_entities.unescape(s) if "&" in s else s)
 
     def close(k: int, end: int) -> None:
         for e in stack[k:]:
             e.end = end
+            opened[e.tag] -= 1
         del stack[k:]
 
     while at < n:
@@ -105,7 +107,7 @@ def parse(source: str) -> Element:
             continue
         tag = name.lower()
         if m.group(1) or m.group(4):
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if opened.get(tag) else ():
                 if stack[k].tag == tag:
                     close(k, at)
                     break
@@ -113,7 +115,7 @@ def parse(source: str) -> Element:
                     break
             continue
         raw = m.group(3) if m.group(2) else m.group(6)
-        if tag in CLOSES_P:
+        if tag in CLOSES_P and opened.get("p"):
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == "p":
                     close(k, m.start())
@@ -136,6 +138,7 @@ def parse(source: str) -> Element:
             e.end = at
             continue
         stack.append(e)
+        opened[tag] = opened.get(tag, 0) + 1
         if tag in RAW_TAGS:
             stop = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(source, at)
             e.kids.append(source[at : stop.start() if stop else n])
@@ -315,8 +318,12 @@ def profile_one(source: str | None) -> dict:
     """Elements of one raw document, nested ones too, and its presence flags."""
     root = parse(source or "")
     every = list(root.walk())
+    bold: set[int] = set()  # elements with a bold one below; children come after their parents
+    for e in reversed(every):
+        if any(not isinstance(k, str) and (k.tag in ("b", "strong") or id(k) in bold) for k in e.kids):
+            bold.add(id(e))
     elements = [
-        {"tag": e.tag, "classes": e.attrs.get("class", "").split(), "style_indent": _indent(st := e.attrs.get("style", "")), "is_bold": bool(_BOLD.search(st)) or any(x.tag in ("b", "strong") for x in e.walk()), "text": e.text().strip()}
+        {"tag": e.tag, "classes": e.attrs.get("class", "").split(), "style_indent": _indent(st := e.attrs.get("style", "")), "is_bold": bool(_BOLD.search(st)) or id(e) in bold, "text": e.text().strip()}
         for e in every
         if e.tag in PROFILE_TAGS
     ]

@@ -181,3 +181,11 @@ def test_class_tier_by_map_and_by_join(spark, monkeypatch):
     assert got() == want
     monkeypatch.undo()
     assert {r.class_type for r in classify.class_tier(df, cm.limit(0)).collect()} == {None}
+
+
+def test_hostile_markup_stays_linear():
+    n = 30_000
+    assert len(blocks_of("<div>" * n + "x" + "</b>" * n)) == 1
+    assert blocks_of("<span>" * n + "</p>" * n + "<p>x")[0]["text"] == "x"
+    assert len(blocks_of("<p a=\"" * 3_000)) <= 1
+    assert profile_one("<div>" * 2_000 + "<b>x</b>")["elements"][0]["is_bold"]
