@@ -135,7 +135,11 @@ def html_segments(source: str) -> list[tuple[str, str, str, bool]]:
             out.append((path, "line", "", False))
             continue
         if tag == "math":
-            out.append((f"{path}/math", "formula", _math(e), False))
+            try:
+                formula = _math(e)
+            except RecursionError:  # nested beyond reason: its plain text
+                formula = e.text()
+            out.append((f"{path}/math", "formula", formula, False))
             continue
         below = f"{path}/{tag}" if tag and ":" not in tag else path
         if tag in LINE_TAGS:
@@ -200,24 +204,24 @@ def clean_html(source: str | None) -> str | None:
 _SENTINEL = re.compile("\ue000(\\d+)\ue001")
 _FENCE = re.compile(r"^[ \t]*(```+|~~~+)[^\n`]*\n(.*?)(?:^[ \t]*\1[ \t]*$|\Z)", re.MULTILINE | re.DOTALL)
 _INLINE_CODE = re.compile(r"(?<!`)`([^`\n]+)`(?!`)")
-_COMMENT = re.compile(r"<!--.*?-->|<!DOCTYPE[^>]*>|<!\[CDATA\[|\]\]>", re.DOTALL | re.IGNORECASE)
+_COMMENT = re.compile(r"<!--.{0,20000}?-->|<!DOCTYPE[^>]*>|<!\[CDATA\[|\]\]>", re.DOTALL | re.IGNORECASE)
 _TAG = re.compile(r"<(/?)([A-Za-z][\w:-]*)(\s+[^<>=]*=[^<>]*|(?:\s+(?:disabled|checked|selected|nowrap|noshade|hidden|required|readonly|multiple))*\s*)/?>")
 _ENTITY = re.compile(r"&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});")
-_MATH = re.compile(r"\\\((.+?)\\\)|\\\[(.+?)\\\]|(?<![\\$\w])\$\$([^$]+?)\$\$(?!\$)|(?<![\\$\w])\$(?=[^\s$])([^$\n]*?[\\^_={][^$\n]*?)(?<=[^\s$\\])\$(?![\d$])", re.DOTALL)
+_MATH = re.compile(r"\\\((.{1,4000}?)\\\)|\\\[(.{1,4000}?)\\\]|(?<![\\$\w])\$\$([^$]{1,4000}?)\$\$(?!\$)|(?<![\\$\w])\$(?=[^\s$])([^$\n]{0,2000}?[\\^_={][^$\n]{0,2000}?)(?<=[^\s$\\])\$(?![\d$])", re.DOTALL)
 _ENV = re.compile(r"\\(begin|end)\s*\{([A-Za-z]+\*?)\}(?:\[[^\]\n]*\])?(?:\{[lcr|]+\})?")
 _COMMAND = re.compile(r"(?<![:\\])\\([A-Za-z]+)\*?(?:\[[^\]\n]*\])?\{([^{}]*)\}")
 _BARE = re.compile(r"(?<![\w:\\])\\([A-Za-z]+)(?![A-Za-z{])")
-_WIKI_TABLE = re.compile(r"^[ \t]*\{\|[^\n]*\n(.*?)^[ \t]*\|\}", re.MULTILINE | re.DOTALL)
+_WIKI_TABLE = re.compile(r"^[ \t]*\{\|[^\n]*\n(.{0,50000}?)^[ \t]*\|\}", re.MULTILINE | re.DOTALL)
 _WIKI_LINK = re.compile(r"\[\[([^\[\]\n]+)\]\]")
 _WIKI_TEMPLATE = re.compile(r"\{\{([^{}]+)\}\}")
 _WIKI_HEAD = re.compile(r"^[ \t]*(={2,6})[ \t]*([^=\n].*?)[ \t]*\1[ \t]*$", re.MULTILINE)
-_WIKI_QUOTE = re.compile(r"('{2,5})(?=[^\s'])([^\n]*?[^\s'])\1(?!')")
+_WIKI_QUOTE = re.compile(r"('{2,5})(?=[^\s'])([^\n]{0,2000}?[^\s'])\1(?!')")
 _WIKI_OPEN = re.compile(r"(?<!')'{3,5}(?!')")
 _WIKI_URL = re.compile(r"(?<!\[)\[(?:https?|ftp)://[^\s\]]+(?:\s+([^\]\n]+))?\](?!\()")
 _MD_HEAD = re.compile(r"^[ ]{0,3}(#{1,6})[ \t]+(?=[^\n]*[^\W\d_])(\S.*?)[ \t]*#*[ \t]*$", re.MULTILINE)
 _MD_QUOTE = re.compile(r"^[ ]{0,3}(?:>[ \t]?)+(?=\S)", re.MULTILINE)
 _MD_LINK = re.compile(r"!?\[([^\[\]\n]*)\]\(((?:[#/.]|https?:|ftp:|mailto:|www\.|[\w-]+[./])[^()\s]*(?:\s+\"[^\"\n]*\")?)\)")
-_MD_STRONG = re.compile(r"(?<![*\w\\])(\*\*\*?)(?=[^\s*])([^\n]*?[^\s*])\1(?!\*)|(?<![_\w\\])(___?)(?=[^\s_])([^\n]*?[^\s_])\3(?![_\w])")
+_MD_STRONG = re.compile(r"(?<![*\w\\])(\*\*\*?)(?=[^\s*])([^\n]{0,2000}?[^\s*])\1(?!\*)|(?<![_\w\\])(___?)(?=[^\s_])([^\n]{0,2000}?[^\s_])\3(?![_\w])")
 _MD_STRIKE = re.compile(r"~~(?=[^\s~])([^~\n]*?[^\s~])~~")
 _MD_EM = re.compile(r"(?:(?<=\s)|(?<=^))\*(?=[^\W_])([^*\n()]*[^\s*()])\*(?=[\s.,;:!?]|$)|(?:(?<=\s)|(?<=^))_(?=[^\W_])([^_\n]*[^\s_])_(?=[\s.,;:!?]|$)", re.MULTILINE)
 _MD_TABLE = re.compile(r"^[ \t]*\|?.*\|.*\n[ \t]*\|?[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)+\|?[ \t]*$", re.MULTILINE)
@@ -294,7 +298,7 @@ def clean_mixed(text: str | None) -> tuple[str | None, list[str], dict[str, list
         s = _MD_EM.sub(lambda m: note("markdown:i", m[1] if m[1] is not None else m[2]), s)
     if ">" in s:
         s = _MD_QUOTE.sub(lambda m: note("markdown:blockquote"), s)
-    if "|" in s and _MD_TABLE.search(s):
+    if "|" in s and "---" in s and _MD_TABLE.search(s):
         note("markdown:td")
         s = _MD_TABLE_ROW.sub(lambda m: " | ".join(x.strip() for x in m[1].split("|")), _MD_RULE.sub("", s))
     if kept:

@@ -93,24 +93,25 @@ def _is_thai(ch: str) -> bool:
 def _pairs(s: str, a: int, b: int) -> list[tuple[int, int]]:
     """Outermost matched quotations and brackets of ``s[a:b]`` as (opener, closer) positions."""
     stack: list[tuple[str, int]] = []
+    opened: dict[str, int] = {}  # how many of each opener are on the stack; a closer without one is passed over
     found: list[tuple[int, int]] = []
     for m in MARKS.finditer(s, a, b):
         ch, at = m.group(), m.start()
         if ch == '"':
-            k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == '"'), -1)
-            if k < 0:
-                stack.append(('"', at))
-                continue
+            want = ch
         elif ch in OPENERS and not (ch == "“" and stack and stack[-1][0] == "„"):
-            stack.append((ch, at))
-            continue
+            want = ""
         else:
             want = "„" if ch == "“" else CLOSERS[ch]
-            k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == want), -1)
-            if k < 0:
-                continue
-        found.append((stack[k][1], at))
-        del stack[k:]
+        if not want or (want == ch and not opened.get(ch)):
+            stack.append((ch, at))
+            opened[ch] = opened.get(ch, 0) + 1
+        elif opened.get(want):
+            top = ""
+            while top != want:
+                top, start = stack.pop()
+                opened[top] -= 1
+            found.append((start, at))
     found.sort()
     outer: list[tuple[int, int]] = []
     for p in found:
@@ -120,8 +121,8 @@ def _pairs(s: str, a: int, b: int) -> list[tuple[int, int]]:
 
 
 def _token_start(s: str, i: int, a: int) -> int:
-    """Start of the run of non-blank characters that ends before ``i``."""
-    k = i
+    """Start of the run of non-blank characters that ends before ``i``; of a long run its last 64."""
+    k, a = i, max(a, i - 64)
     while k > a and not s[k - 1].isspace():
         k -= 1
     return k

@@ -60,3 +60,12 @@ def test_rows(spark):
 def test_very_long_text():
     assert clean_mixed("a * " * 200_000)[1] == []
     assert len(clean_html("<p>" * 20_000 + "x")) == 1
+
+
+@pytest.mark.parametrize("text", ["**a " * 40_000, "''a " * 40_000, "{|\n" * 20_000, "<!-- " * 30_000, "\\( " * 40_000, "a | b " * 30_000 + "\n---", "[[" * 50_000, "$a_ " * 40_000, "__a " * 40_000, "`a " * 50_001, "{{a" * 40_000])
+def test_hostile_texts_end(text):
+    assert clean_mixed(text)[0] is not None
+
+
+def test_deep_formula():
+    assert "x" in clean_html("<math>" + "<mrow>" * 5_000 + "<mi>x</mi></math>")

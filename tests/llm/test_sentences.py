@@ -67,3 +67,9 @@ def test_scan_source(spark):
     df = spark.createDataFrame([(1, "Một\nhai. Ba", "scan"), (2, "Một\nhai. Ba", None)], "doc_id long, text string, source string")
     got = sorted(map(tuple, sentences(df, "doc_id", "text", df["source"] == "scan").collect()))
     assert got == [(1, 8), (1, 11), (2, 3), (2, 8), (2, 11)]
+
+
+@pytest.mark.parametrize("text", ["“" * 50_000 + ")" * 50_000 + " A. B", "A." * 60_000, "(" * 100_000 + ". A", '"' * 99_999 + ". A", "ก " * 50_000, ". " * 60_000])
+def test_hostile_texts_stay_linear(text):
+    ends = sentence_ends(text)
+    assert ends and ends[-1] == len(text.rstrip())
