@@ -25,15 +25,19 @@ from __future__ import annotations
 import html as _entities
 import math
 import re
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from codexmill.operators.html import parse
 
 KINDS = ("html", "markdown", "wiki", "latex")
+#: Share of the mean score that a path must reach, and neighbours on each side that smooth it.
+THRESHOLD, RADIUS = 0.1, 2
 STRUCTURAL = ("h1", "h2", "h3", "h4", "h5", "h6", "li", "td", "th", "pre", "code", "math", "formula")
 # Elements that start a line, and elements that never hold content.
 LINE_TAGS = frozenset("p div section article header footer main aside nav ul ol li table tr thead tbody h1 h2 h3 h4 h5 h6 pre blockquote dl dt dd center figure form hr caption".split())
@@ -67,10 +71,10 @@ class Paths:
         s[2] += len(PUNCTUATION.findall(text))
         s[3] += n if link else 0
 
-    def content(self, threshold: float = 0.1, radius: int = 2) -> set[str]:
+    def content(self, threshold: float = THRESHOLD, radius: int = RADIUS) -> set[str]:
         """Paths that hold content: smoothed and fused ratios reach ``threshold`` of their mean."""
         paths = list(self.sums)
-        weight = [math.exp(-k * k / (2 * 1.0)) for k in range(radius + 1)]
+        weight = [math.exp(-k * k / 2) for k in range(radius + 1)]
 
         def smooth(x: list[float]) -> list[float]:
             out = []
@@ -158,16 +162,21 @@ def html_segments(source: str) -> list[tuple[str, str, str, bool]]:
     return out
 
 
+def html_paths(segments: list[tuple[str, str, str, bool]]) -> Paths:
+    """Sums of each tag path of the segments."""
+    paths = Paths()
+    for path, role, text, link in segments:
+        if role in ("text", "pre", "formula"):
+            paths.add(path, text, link)
+    return paths
+
+
 def clean_html(source: str | None) -> str | None:
     """Clean text of an HTML source."""
     if source is None or not source.strip():
         return source
     segments = html_segments(source)
-    paths = Paths()
-    for path, role, text, link in segments:
-        if role in ("text", "pre", "formula"):
-            paths.add(path, text, link)
-    keep = paths.content()
+    keep = html_paths(segments).content()
     lines: list[str] = []
     line, cells, verbatim = "", 0, False
     for path, role, text, _ in segments:
@@ -385,3 +394,45 @@ def markup_found(df: DataFrame, key: str, text: str) -> DataFrame:
 def clean_source(df: DataFrame, key: str, source: str) -> DataFrame:
     """``key, clean_text`` of HTML sources. Narrow: no shuffle."""
     return df.select(F.col(key), clean_html_udf(F.col(source)).alias("clean_text"))
+
+
+_SUMS = T.ArrayType(
+    T.StructType(
+        [T.StructField("path", T.StringType()), T.StructField("place", T.LongType())] + [T.StructField(c, T.LongType()) for c in ("n", "chars", "marks", "links")]
+    )
+)
+
+
+@F.pandas_udf(_SUMS)
+def html_paths_udf(source: pd.Series) -> pd.Series:
+    def one(s: str | None) -> list[dict]:
+        if s is None or not s.strip():
+            return []
+        return [dict(path=p, place=i, n=v[0], chars=v[1], marks=v[2], links=v[3]) for i, (p, v) in enumerate(html_paths(html_segments(s)).sums.items())]
+
+    return source.map(one)
+
+
+def tag_paths(df: DataFrame, group: str, source: str, threshold: float = THRESHOLD, radius: int = RADIUS) -> DataFrame:
+    """``group, path, n, chars, marks, links, score, is_content``: the ratios over all records of a group.
+
+    The same rule as within a record, for sources that come in many records, such as the parts of a document:
+    only path sums travel, combined on the map side, never texts. Paths are in order of first appearance,
+    of equal places by name.
+    """
+    rows = df.select(F.col(group).alias("__g"), F.explode(html_paths_udf(F.col(source))).alias("p")).select("__g", "p.*")
+    sums = rows.groupBy("__g", "path").agg(F.min("place").alias("place"), *[F.sum(c).alias(c) for c in ("n", "chars", "marks", "links")])
+    order = W.partitionBy("__g").orderBy("place", "path")
+    weight = [math.exp(-k * k / 2) for k in range(radius + 1)]
+
+    def smooth(x: Column) -> Column:
+        near = [(weight[abs(k)], F.lag(x, k).over(order) if k > 0 else F.lead(x, -k).over(order) if k < 0 else x) for k in range(-radius, radius + 1)]
+        total = reduce(lambda a, b: a + b, [F.coalesce(v * w, F.lit(0.0)) for w, v in near])
+        return total / reduce(lambda a, b: a + b, [F.when(v.isNotNull(), F.lit(w)).otherwise(0.0) for w, v in near])
+
+    length, marks = F.col("chars") / F.col("n"), (F.col("marks") + 1) / F.col("n")
+    scored = sums.withColumns({"__l": smooth(length), "__m": smooth(marks)}).withColumn("score", F.least(F.col("__l") * F.col("__m"), length * marks))
+    level = threshold * F.avg("score").over(W.partitionBy("__g"))
+    structural = F.arrays_overlap(F.split("path", "/"), F.array(*[F.lit(x) for x in STRUCTURAL]))
+    scored = scored.withColumn("is_content", structural | (F.col("links") <= F.col("chars") / 2) | (F.col("score") >= level))
+    return scored.select(F.col("__g").alias(group), "path", "n", "chars", "marks", "links", "score", "is_content")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codexmill.llm.markup import clean_plain, clean_source, markup_found
+from codexmill.llm.markup import clean_plain, clean_source, markup_found, tag_paths
 from codexmill.sources.tables import table
 
 
@@ -25,7 +25,12 @@ def p2_clean_sources(spark: SparkSession, d: str) -> DataFrame:
     return part(nodes, "nodes").unionByName(part(blocks, "blocks"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_clean_text": p2_clean_text, "p2_clean_sources": p2_clean_sources}
+def p2_tag_paths(spark: SparkSession, d: str) -> DataFrame:
+    """Tag paths of each document's nodes, with their score."""
+    return tag_paths(table(spark, d, "nodes"), "doc_id", "html_raw")
+
+
+QUERIES = {"p2_found": p2_found, "p2_clean_text": p2_clean_text, "p2_clean_sources": p2_clean_sources, "p2_tag_paths": p2_tag_paths}
 _HTML = r"</?(?i:a|b|br|code|div|em|font|h[1-6]|i|img|li|o:p|ol|p|pre|s|small|span|strong|sub|sup|table|tbody|td|th|tr|u|ul)(?:\s+[^<>=]*=[^<>]*)?\s*/?>|<!--|&(?:nbsp|lt|gt|amp|quot|#[0-9]+);"
 _MARKDOWN = r"(?m)```|`[^`\n]+`|\*\*[^\s*][^\n]*?\*\*|(?:^|[^_\pL\pN])__[^\s_][^\n]*?[^\s_]?__(?:[^_\pL\pN]|$)|~~[^~\n]+~~|^ {0,3}#{1,6}[ \t]+[^\n]*\pL|^ {0,3}>[ \t]?\S|\]\([#/.]|\]\(https?:"
 _WIKI = r"(?m)'{2,5}[^\s'][^\n]*?[^\s']'{2,5}|(?:^|[^'])'{3,5}(?:[^']|$)|^[ \t]*={2,6}[ \t]*[^=\n]+?[ \t]*={2,6}[ \t]*$|\[\[[^\[\]\n]+\]\]|\{\{[^{}]+\}\}|^[ \t]*\{\|"

@@ -69,3 +69,17 @@ def test_hostile_texts_end(text):
 
 def test_deep_formula():
     assert "x" in clean_html("<math>" + "<mrow>" * 5_000 + "<mi>x</mi></math>")
+
+
+def test_tag_paths_follow_the_rule_within_a_record(spark):
+    from codexmill.llm.markup import html_paths, tag_paths
+
+    html = "<div class='m'><span><a href='x'>a</a></span></div><p>" + "Nội dung, có dấu; dài. " * 9 + "<b>Đậm</b></p><table><tr><td><a href='y'>1</a></td></tr></table><div><i><a href='z'>b</a></i></div>"
+    df = spark.createDataFrame([("d", html, 0), ("e", html, 0), ("e", html, 0), (None, html, 0), ("n", None, 0), ("o", "", 0)], "doc_id string, html_raw string, path int")
+    got: dict = {}
+    for r in tag_paths(df, "doc_id", "html_raw").collect():
+        got.setdefault(r.doc_id, {})[r.path] = (r.n, r.is_content)
+    paths = html_paths(html_segments(html))
+    want = {p: p in paths.content() for p in paths.sums}
+    assert set(got) == {"d", "e", None} and {p: c for p, (_, c) in got["d"].items()} == want == {p: c for p, (_, c) in got["e"].items()}
+    assert not all(want.values()) and got["e"]["/p"][0] == 2 * got["d"]["/p"][0]
