@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from codexmill.functions.text import or_unknown
 from codexmill.operators import profile as P
-from codexmill.plans.structure_queries import _NUMBER, _TYPE  # noqa: F401
+from codexmill.plans.structure_queries import _TYPE
 from codexmill.sources.tables import table
 
 
