@@ -48,8 +48,8 @@ def words(c: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
-def gram_hashes(c: Column, n: int = N_GRAM) -> Column:
-    """Hashes of all word n-grams in order; the i-th belongs to the words from i."""
+def gram_hashes(c: Column, n: int = N_GRAM) -> tuple[Column, Column]:
+    """Hashes of the words, to be named ``__h``, and of all word n-grams in order; the i-th belongs to the words from i."""
     hashed = F.transform(words(c), lambda w: F.xxhash64(w))
     last = F.size("__h") - n
     grams = F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.xxhash64(*[F.get("__h", i + k) for k in range(n)]))).otherwise(F.array().cast("array<bigint>"))
