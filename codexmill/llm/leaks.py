@@ -1,13 +1,14 @@
 """Problem 8: evaluation passages inside a training corpus.
 
-Method: word n-grams of the test items that are rare in the corpus are the seeds; they
-join training documents to items, and a Smith-Waterman alignment scores each pair, so
-partial and edited copies are found as well as whole ones.
+Method: word n-grams of the test items are the seeds; they join training documents to
+items, and a Smith-Waterman alignment scores each pair, so partial and edited copies are
+found as well as whole ones.
 
-Every window of ``SEED_RUN`` words of an item gives its rarest n-gram (by occurrences over
-the whole corpus) as a seed. A document that holds that many consecutive words of an item
-therefore holds one of its seeds: of longer runs nothing is missed, and edited copies are
-found by what the edits left.
+For exact runs, every window of ``SEED_RUN`` words of an item gives its rarest n-gram (by
+occurrences over the whole corpus) as a seed. A document that holds that many consecutive
+words of an item therefore holds one of its seeds: of longer runs nothing is missed. An edit
+can leave a copy without the rarest n-gram of any window, so for edited copies every n-gram
+of an item is a seed: each document that holds one of them is aligned.
 
 Defined results
 * Words are maximal runs of letters and digits in lower case; everything between is ignored.
@@ -89,24 +90,85 @@ def align(doc: list[str], item: list[str], match: int = 2, mismatch: int = -1, g
     return best, longest
 
 
+#: Elements of one table of the batched alignment, and the longest text it takes.
+CELLS, LONGEST = 65_536, 4_096
+
+
+def align_many(docs: list[np.ndarray], items: list[np.ndarray], match: int = 2, mismatch: int = -1, gap: int = -1) -> list[tuple[int, int]]:
+    """``align`` of many pairs of word numbers at once; pairs of like sizes share a table, one column each."""
+    out = [(0, 0)] * len(docs)
+    pairs = [k for k in range(len(docs)) if len(docs[k]) and len(items[k])]
+    for k in [k for k in pairs if max(len(docs[k]), len(items[k])) > LONGEST]:
+        out[k] = align(docs[k].tolist(), items[k].tolist(), match, mismatch, gap)
+    pairs = sorted((k for k in pairs if max(len(docs[k]), len(items[k])) <= LONGEST), key=lambda k: (len(docs[k]), len(items[k])))
+    while pairs:
+        width = max(1, CELLS // len(docs[pairs[-1]]))
+        now, pairs = pairs[-width:], pairs[:-width]
+        n, m = len(docs[now[-1]]), max(len(items[k]) for k in now)
+        a, b = np.full((m, len(now)), -1, dtype=np.int32), np.full((n, len(now)), -2, dtype=np.int32)
+        for c, k in enumerate(now):
+            a[: len(items[k]), c] = items[k]
+            b[: len(docs[k]), c] = docs[k]
+        before, runs = (np.zeros((n + 1, len(now)), dtype=np.int16) for _ in range(2))
+        slope = (gap * np.arange(n + 1)).astype(np.int16)[:, None]
+        up, down, step = np.int16(match), np.int16(mismatch), np.int16(gap)
+        best, longest = (np.zeros(len(now), dtype=np.int16) for _ in range(2))
+        for w in a:
+            same = b == w
+            row = np.zeros_like(before)
+            np.maximum(before[:-1] + np.where(same, up, down), before[1:] + step, out=row[1:])
+            np.maximum(row, 0, out=row)
+            np.maximum(row, np.maximum.accumulate(row - slope, axis=0) + slope, out=row)
+            np.maximum(best, row.max(axis=0), out=best)
+            before = row
+            following = np.zeros_like(runs)
+            np.multiply(runs[:-1] + np.int16(1), same, out=following[1:])
+            np.maximum(longest, following.max(axis=0), out=longest)
+            runs = following
+        for c, k in enumerate(now):
+            out[k] = int(best[c]), int(longest[c])
+    return out
+
+
 _ALIGNED = T.StructType([T.StructField("score", T.IntegerType()), T.StructField("longest_run", T.IntegerType()), T.StructField("n_words", T.IntegerType())])
 
 
 @F.pandas_udf(_ALIGNED)
 def align_udf(text: pd.Series, item: pd.Series, first: pd.Series, last: pd.Series) -> pd.DataFrame:
-    out, seen, doc = [], None, []
+    number: dict[str, int] = {}
+    of_item: dict[str, np.ndarray] = {}
+    numbered = lambda t: np.array([number.setdefault(w, len(number)) for w in words_of(t)], dtype=np.int32)
+    docs, items, seen, doc = [], [], None, None
     for t, i, a, b in zip(text, item, first, last):
         if t is not seen:
-            doc, seen = words_of(t), t
-        w = words_of(i)
-        out.append((*align(doc[max(0, a) : b], w), len(w)))
+            doc, seen = numbered(t), t
+        if i not in of_item:
+            of_item[i] = numbered(i)
+        docs.append(doc[max(0, a) : max(0, b)])
+        items.append(of_item[i])
+    out = [(*scores, len(w)) for scores, w in zip(align_many(docs, items), items)]
     return pd.DataFrame(out, columns=["score", "longest_run", "n_words"])
 
 
-def leaks(corpus: DataFrame, doc_key: str, text: str, items: DataFrame, item_key: str, item_text: str, n: int = N_GRAM, run: int = SEED_RUN, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
-    """Document-item pairs that share a rare seed, with their alignment.
+def _rarest(item_grams: DataFrame, hits: DataFrame, n: int, run: int) -> DataFrame:
+    """``__item, gram, item_pos``: the rarest n-gram of each window of ``run`` words."""
+    counts = hits.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    ranked = item_grams.join(counts, "gram", "left").withColumn("rank", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "pos", "gram"))
+    ahead = W.partitionBy("__item").orderBy("pos").rowsBetween(0, run - n)
+    every = W.partitionBy("__item")
+    windows = ranked.select(
+        "__item", "pos", F.min("rank").over(ahead).alias("seed"), F.count(F.lit(1)).over(ahead).alias("width"), F.max("pos").over(every).alias("last_pos")
+    )
+    # An item shorter than a window is one window.
+    whole = (F.col("width") == run - n + 1) | ((F.col("last_pos") < run - n) & (F.col("pos") == 0))
+    return windows.filter(whole).select("__item", "seed.gram", F.col("seed.pos").alias("item_pos")).distinct()
+
+
+def leaks(corpus: DataFrame, doc_key: str, text: str, items: DataFrame, item_key: str, item_text: str, n: int = N_GRAM, run: int | None = None, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
+    """Document-item pairs that share a seed, with their alignment.
 
-    ``doc_key, item_key, score, longest_run, n_words``. One pass over the corpus makes the n-gram hits,
+    ``doc_key, item_key, score, longest_run, n_words``. Every n-gram of an item is a seed; with ``run`` only
+    the rarest of each window of so many words, which is enough for exact runs of that length. One pass over the corpus makes the n-gram hits,
     which hold only n-grams of items and are written to the shared folder; they give the corpus counts,
     the seeds and the candidates. The second pass reads only the texts of candidates.
     """
@@ -116,20 +178,11 @@ def leaks(corpus: DataFrame, doc_key: str, text: str, items: DataFrame, item_key
     hint = F.broadcast if small else (lambda df: df)
     docs = corpus.select(F.col(doc_key).alias("__doc"), F.col(text).alias("__text"))
     hits = cut(_grams(docs, "__doc", "__text", n).join(hint(item_grams.select("gram").distinct()), "gram"))
-    counts = hits.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    ranked = item_grams.join(counts, "gram", "left").withColumn("rank", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "pos", "gram"))
-    ahead = W.partitionBy("__item").orderBy("pos").rowsBetween(0, run - n)
-    every = W.partitionBy("__item")
-    windows = ranked.select(
-        "__item", "pos", F.min("rank").over(ahead).alias("seed"), F.count(F.lit(1)).over(ahead).alias("width"), F.max("pos").over(every).alias("last_pos")
-    )
-    # An item shorter than a window is one window.
-    whole = (F.col("width") == run - n + 1) | ((F.col("last_pos") < run - n) & (F.col("pos") == 0))
-    seeds = windows.filter(whole).select("__item", "seed.gram", F.col("seed.pos").alias("item_pos")).distinct()
+    seeds = item_grams.select("__item", "gram", F.col("pos").alias("item_pos")) if run is None else _rarest(item_grams, hits, n, run)
     near = hits.join(hint(seeds), "gram").groupBy("__doc", "__item").agg(F.min(F.col("pos") - F.col("item_pos")).alias("first"), F.max(F.col("pos") - F.col("item_pos")).alias("last"))
     sized = item_rows.withColumn("__size", F.size(words(F.col("__passage"))))
     pairs = near.join(hint(sized) if small else sized, "__item")
-    slack = F.lit(2 * run)
+    slack = F.lit(2 * SEED_RUN)
     aligned = docs.join(pairs, "__doc").select(
         "__doc", "__item", align_udf("__text", "__passage", (F.col("first") - slack).cast("int"), (F.col("last") + F.col("__size") + slack).cast("int")).alias("a")
     )

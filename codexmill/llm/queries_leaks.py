@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codexmill.llm.leaks import RUN, leaks
+from codexmill.llm.leaks import RUN, SEED_RUN, leaks
 from codexmill.sources.tables import table
 
 
-def _leaks(spark: SparkSession, d: str) -> DataFrame:
-    return leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "benchmark_items"), "item_id", "text")
+def _leaks(spark: SparkSession, d: str, run: int | None = None) -> DataFrame:
+    return leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "benchmark_items"), "item_id", "text", run=run)
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    return _leaks(spark, d).filter(F.col("longest_run") >= RUN).select("doc_id", "item_id").distinct()
+    return _leaks(spark, d, SEED_RUN).filter(F.col("longest_run") >= RUN).select("doc_id", "item_id").distinct()
 
 
 def p8_leak_report(spark: SparkSession, d: str) -> DataFrame:

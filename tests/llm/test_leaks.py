@@ -1,6 +1,8 @@
 import random
 
-from codexmill.llm.leaks import align, leaks, words_of
+import numpy as np
+
+from codexmill.llm.leaks import align, align_many, leaks, words_of
 
 
 def case():
@@ -54,3 +56,21 @@ def test_empty_tables(spark):
     d, i = frames(spark, docs, items)
     assert leaks(d.limit(0), "doc_id", "text", i, "item_id", "text").count() == 0
     assert leaks(d, "doc_id", "text", i.limit(0), "item_id", "text").count() == 0
+
+
+def test_edited_copies_without_a_rarest_seed_are_scored(spark):
+    """One word in nine changed: alone no window keeps a rarest seed; beside a rarer copy with other edits neither do repeated ones."""
+    w = [f"w{i}" for i in range(54)]
+    edited = lambda at: " ".join(f"x{at}x{i}" if i % 9 == at else x for i, x in enumerate(w))
+    for docs in ([(1, edited(4))], [(1, edited(4)), (2, edited(4)), (3, edited(0))]):
+        d, i = frames(spark, docs, [("i", " ".join(w))])
+        got = {r.doc_id: r.score for r in leaks(d, "doc_id", "text", i, "item_id", "text").collect()}
+        assert set(got) == {k for k, _ in docs} and all(s == align(words_of(dict(docs)[k]), w)[0] >= 54 for k, s in got.items())
+
+
+def test_alignment_of_many_equals_one_by_one():
+    r = random.Random(5)
+    text = lambda n: [r.randrange(6) for _ in range(n)]
+    pairs = [(text(r.randrange(0, 90)), text(r.randrange(0, 30))) for _ in range(3_000)] + [(text(5_000), text(20)), (text(4_000), text(20))]
+    got = align_many([np.array(a, dtype=np.int32) for a, _ in pairs], [np.array(b, dtype=np.int32) for _, b in pairs])
+    assert got == [align(a, b) for a, b in pairs]
