@@ -4,7 +4,9 @@ Method: tag-path ratios. A text is read into segments, each with its root-to-lea
 path. For every path the length of text, the punctuation and the length of link text are
 summed; the length and punctuation ratios (per segment) are smoothed over neighbouring
 paths in order of first appearance, fused by multiplication, and paths below the
-threshold are dropped as chrome when most of their text is links. Paths that carry
+threshold are dropped as chrome when most of their text is links. Paths are judged as
+blocks: inline elements share the verdict of the block they stand in, and of a path below
+the threshold only blocks without a word outside links are dropped. Paths that carry
 structure (headings, list items, table cells, code, formulas) always stay.
 
 Plain text with leftovers of HTML, Markdown, wiki or LaTeX markup is read by the same
@@ -55,6 +57,13 @@ LATEX_BARE = frozenset(
     "left right ldots dots cdots quad qquad hline newline par noindent centering maketitle tableofcontents label ref cite".split()
 )
 PUNCTUATION = re.compile(r"[^\w\s]")
+# Elements that make a block path; all others are inline.
+BLOCK_TAGS = LINE_TAGS | frozenset(STRUCTURAL)
+
+
+def block_of(path: str) -> str:
+    """The path without its inline elements."""
+    return "/".join(x for x in path.split("/") if not x or x in BLOCK_TAGS)
 
 
 class Paths:
@@ -72,8 +81,11 @@ class Paths:
         s[3] += n if link else 0
 
     def content(self, threshold: float = THRESHOLD, radius: int = RADIUS) -> set[str]:
-        """Paths that hold content: smoothed and fused ratios reach ``threshold`` of their mean."""
-        paths = list(self.sums)
+        """Paths that hold content: smoothed and fused ratios of their blocks reach ``threshold`` of the mean."""
+        blocks: dict[str, list[float]] = {}
+        for p, v in self.sums.items():
+            s = blocks.setdefault(block_of(p), [0, 0, 0, 0])
+            s[:] = [a + b for a, b in zip(s, v)]
         weight = [math.exp(-k * k / 2) for k in range(radius + 1)]
 
         def smooth(x: list[float]) -> list[float]:
@@ -83,19 +95,18 @@ class Paths:
                 out.append(sum(w * v for w, v in near) / sum(w for w, _ in near))
             return out
 
-        length = smooth([self.sums[p][1] / self.sums[p][0] for p in paths])
-        marks = smooth([(self.sums[p][2] + 1) / self.sums[p][0] for p in paths])
-        own = [self.sums[p][1] * (self.sums[p][2] + 1) / self.sums[p][0] ** 2 for p in paths]
-        # A short path beside a long one is lifted by smoothing, but not above its own ratios.
+        length = smooth([s[1] / s[0] for s in blocks.values()])
+        marks = smooth([(s[2] + 1) / s[0] for s in blocks.values()])
+        own = [s[1] * (s[2] + 1) / s[0] ** 2 for s in blocks.values()]
+        # A short block beside a long one is lifted by smoothing, but not above its own ratios.
         fused = [min(a * b, c) for a, b, c in zip(length, marks, own)]
         level = threshold * (sum(fused) / len(fused) if fused else 0)
         keep = set()
-        for p, score in zip(paths, fused):
-            n, chars, _, links = self.sums[p]
-            structural = any(x in STRUCTURAL for x in p.split("/"))
+        for (block, (_, chars, _, links)), score in zip(blocks.items(), fused):
+            structural = any(x in STRUCTURAL for x in block.split("/"))
             if structural or links <= chars / 2 or score >= level:
-                keep.add(p)
-        return keep
+                keep.add(block)
+        return {p for p in self.sums if block_of(p) in keep}
 
 
 def _math(e) -> str:
@@ -136,7 +147,7 @@ def html_segments(source: str) -> list[tuple[str, str, str, bool]]:
         if tag in CHROME_TAGS:
             continue
         if tag == "br":
-            out.append((path, "line", "", False))
+            out.append((path, "line", "\n", False))
             continue
         if tag == "math":
             try:
@@ -171,15 +182,30 @@ def html_paths(segments: list[tuple[str, str, str, bool]]) -> Paths:
     return paths
 
 
+def _chrome(segments: list[tuple[str, str, str, bool]]) -> set[int]:
+    """Places of the segments to drop: on paths below the threshold, blocks without a word outside links."""
+    keep = html_paths(segments).content()
+    out: set[int] = set()
+    block: list[int] = []
+    for i, (path, role, text, link) in enumerate([*segments, ("", "line", "", False)]):
+        if role in ("text", "pre", "formula"):
+            block.append(i)
+        elif role != "gap" and text != "\n":  # a br does not end a block
+            if not any(segments[k][0] in keep or (not segments[k][3] and re.search(r"\w", segments[k][2])) for k in block):
+                out.update(block)
+            block = []
+    return out
+
+
 def clean_html(source: str | None) -> str | None:
     """Clean text of an HTML source."""
     if source is None or not source.strip():
         return source
     segments = html_segments(source)
-    keep = html_paths(segments).content()
+    chrome = _chrome(segments)
     lines: list[str] = []
     line, cells, verbatim = "", 0, False
-    for path, role, text, _ in segments:
+    for place, (path, role, text, _) in enumerate(segments):
         if role == "line":
             if re.search("/t[dh](?:/|$)", path):  # inside a cell a line is a blank
                 line += "" if line.endswith((" ", "| ")) or not line else " "
@@ -196,14 +222,14 @@ def clean_html(source: str | None) -> str | None:
         elif role == "heading":
             line = text
         elif role == "pre":
-            if path in keep:
+            if place not in chrome:
                 parts = (line + text).split("\n")
                 lines += [x.rstrip() for x in parts[:-1]]
                 line, verbatim = parts[-1], True
         elif role == "gap":
             if line and not line.endswith(" "):
                 line += " "
-        elif path in keep:
+        elif place not in chrome:
             line += text if not line.endswith(" ") else text.lstrip()
     if line.strip():
         lines.append(line.rstrip() if verbatim else line.strip())
@@ -417,12 +443,18 @@ def tag_paths(df: DataFrame, group: str, source: str, threshold: float = THRESHO
     """``group, path, n, chars, marks, links, score, is_content``: the ratios over all records of a group.
 
     The same rule as within a record, for sources that come in many records, such as the parts of a document:
-    only path sums travel, combined on the map side, never texts. Paths are in order of first appearance,
-    of equal places by name.
+    only path sums travel, combined on the map side, never texts. Blocks are in order of first appearance,
+    of equal places by name; ``score`` and ``is_content`` of a path are those of its block.
     """
     rows = df.select(F.col(group).alias("__g"), F.explode(html_paths_udf(F.col(source))).alias("p")).select("__g", "p.*")
-    sums = rows.groupBy("__g", "path").agg(F.min("place").alias("place"), *[F.sum(c).alias(c) for c in ("n", "chars", "marks", "links")])
-    order = W.partitionBy("__g").orderBy("place", "path")
+    counted = ("n", "chars", "marks", "links")
+    sums = rows.groupBy("__g", "path").agg(F.min("place").alias("place"), *[F.sum(c).alias(c) for c in counted])
+    inline_out = F.filter(F.split("path", "/"), lambda x: (x == "") | x.isin(*sorted(BLOCK_TAGS)))
+    sums = sums.withColumn("__block", F.array_join(inline_out, "/"))
+    blocks = sums.groupBy("__g", "__block").agg(
+        F.min("place").alias("place"), *[F.sum(c).alias(f"__{c}") for c in counted], F.collect_list(F.struct("path", *counted)).alias("__paths")
+    )
+    order = W.partitionBy("__g").orderBy("place", "__block")
     weight = [math.exp(-k * k / 2) for k in range(radius + 1)]
 
     def smooth(x: Column) -> Column:
@@ -430,9 +462,9 @@ def tag_paths(df: DataFrame, group: str, source: str, threshold: float = THRESHO
         total = reduce(lambda a, b: a + b, [F.coalesce(v * w, F.lit(0.0)) for w, v in near])
         return total / reduce(lambda a, b: a + b, [F.when(v.isNotNull(), F.lit(w)).otherwise(0.0) for w, v in near])
 
-    length, marks = F.col("chars") / F.col("n"), (F.col("marks") + 1) / F.col("n")
-    scored = sums.withColumns({"__l": smooth(length), "__m": smooth(marks)}).withColumn("score", F.least(F.col("__l") * F.col("__m"), length * marks))
+    length, marks = F.col("__chars") / F.col("__n"), (F.col("__marks") + 1) / F.col("__n")
+    scored = blocks.withColumns({"__l": smooth(length), "__m": smooth(marks)}).withColumn("score", F.least(F.col("__l") * F.col("__m"), length * marks))
     level = threshold * F.avg("score").over(W.partitionBy("__g"))
-    structural = F.arrays_overlap(F.split("path", "/"), F.array(*[F.lit(x) for x in STRUCTURAL]))
-    scored = scored.withColumn("is_content", structural | (F.col("links") <= F.col("chars") / 2) | (F.col("score") >= level))
-    return scored.select(F.col("__g").alias(group), "path", "n", "chars", "marks", "links", "score", "is_content")
+    structural = F.arrays_overlap(F.split("__block", "/"), F.array(*[F.lit(x) for x in STRUCTURAL]))
+    scored = scored.withColumn("is_content", structural | (F.col("__links") <= F.col("__chars") / 2) | (F.col("score") >= level))
+    return scored.select(F.col("__g").alias(group), F.inline("__paths"), "score", "is_content")

@@ -50,6 +50,14 @@ def test_link_chrome_is_dropped_and_content_kept():
     assert paths.content() == {"/p"}
 
 
+def test_linked_text_shares_the_verdict_of_its_block():
+    long = "Chủ phương tiện phải hướng dẫn, theo khoản 6; và ghi rõ. " * 4
+    assert clean_html(f"<p><a href='x'><strong>Điều 7.</strong> {long}</a></p>") == f"Điều 7. {long}".strip()
+    assert clean_html(f"<p>Theo <a href='x'>Điều 5</a>.</p><p>{long}</p>") == f"Theo Điều 5.\n{long}".strip()
+    # Of a path of links, only blocks that are links throughout go; a br does not part a block.
+    assert clean_html(f"<div><a href='x'>Trang chủ</a></div><div>Số: <br><a href='x'>Điều 5 và khoản 6 Điều 7</a></div><p>{long}</p>") == f"Số:\nĐiều 5 và khoản 6 Điều 7\n{long}".strip()
+
+
 def test_rows(spark):
     df = spark.createDataFrame([("a", None, 1), ("b", "", 1), (None, "**x**", 1), ("d", "<b>x</b> ''y''", 1), ("d", "<b>x</b> ''y''", 1)], "node_id string, text string, markup int")
     assert sorted(map(str, map(tuple, markup_found(df, "node_id", "text").distinct().collect()))) == sorted(map(str, [(None, "markdown"), ("d", "html"), ("d", "wiki")]))
