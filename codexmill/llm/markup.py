@@ -9,8 +9,11 @@ blocks: inline elements share the verdict of the block they stand in, and of a p
 the threshold only blocks without a word outside links are dropped. Paths that carry
 structure (headings, list items, table cells, code, formulas) always stay.
 
-Plain text with leftovers of HTML, Markdown, wiki or LaTeX markup is read by the same
-operator: every construct becomes a path such as ``html:b`` or ``latex:math``.
+Plain text with leftovers of HTML, Markdown, wiki or LaTeX markup: patterns find the
+constructs, each noted as a path such as ``html:b`` or ``latex:math``, and whether one occurs
+gives the kinds; a ratio cannot, since one short tag in a long text is a case. For the clean
+text the lines are the blocks: bars of links (two or more, and no word outside them) are one
+path, other lines another, and the same ratios and threshold decide whether the bars stay.
 
 Defined results
 * Headings stand on their own line after as many ``#`` as their level; list items start with
@@ -267,10 +270,44 @@ _MD_RULE = re.compile(r"^[ \t]*\|?[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]
 SUSPECT = r"[<&`\\$\[{~*_#>|]|''|=="
 
 
+_LINKS = re.compile(rf"(?<!!){_MD_LINK.pattern.removeprefix('!?')}|{_WIKI_LINK.pattern}|{_WIKI_URL.pattern}|<a\s(?P<open>[^<>]*)>(?P<inner>(?:(?!</?a[\s>])[^\n])*)</a\s*>", re.IGNORECASE)
+#: Lines that carry structure in plain text: headings, list items, table rows.
+_STRUCTURED = re.compile(r"[ \t]*(?:#{1,6}[ \t]|={2,6}|[-*+•][ \t]|\d+[.)]|[|!]|\{\||\\item\b|<(?:li|t[dhr]|h[1-6])\b)", re.IGNORECASE)
+
+
+def _without_chrome(text: str) -> str:
+    """The text without its bars of links, if the ratios call them chrome."""
+    fenced = [m.span() for m in _FENCE.finditer(text)]
+    paths, lines, at = Paths(), [], 0
+    for line in text.split("\n"):
+        code = any(a <= at < b for a, b in fenced)
+        at += len(line) + 1
+        found = [] if code else list(_LINKS.finditer(line))
+        links = [m["inner"] or next((g for g in m.groups() if g), "") for m in found if m["open"] is None or "href" in m["open"].lower()]
+        rest = _TAG.sub(lambda m: "" if m[2].lower() in HTML_NAMES else m[0], _LINKS.sub("", line)) if links else line
+        bar = len(links) == len(found) > 1 and not re.search(r"\w", rest) and not _STRUCTURED.match(line)
+        path = "/pre" if code else "/li" if _STRUCTURED.match(line) else "/nav" if bar else "/p"
+        if line.strip():
+            paths.add(path, "".join(links) if bar else line, bar)
+        lines.append((path, line))
+    keep = paths.content()
+    return "\n".join(line for path, line in lines if path in keep or path != "/nav")
+
+
 def clean_mixed(text: str | None) -> tuple[str | None, list[str], dict[str, list[float]]]:
     """Clean text, kinds of markup and tag-path sums of a plain text with leftover markup."""
     if not text:
         return text, [], {}
+    clean, kinds, sums = _convert(text)
+    if any(p in sums for p in ("html:a", "markdown:a", "wiki:a")):
+        lean = _without_chrome(text)
+        if lean != text:
+            clean = _convert(lean)[0] if lean else lean
+    return clean, kinds, sums
+
+
+def _convert(text: str) -> tuple[str, list[str], dict[str, list[float]]]:
+    """``clean_mixed`` without a choice of lines."""
     paths, kept = Paths(), []
 
     def note(path: str, inner: str = "", link: bool = False) -> str:

@@ -33,6 +33,18 @@ def test_several_kinds():
     assert clean_mixed("<b>a</b> **b** '''c''' \\emph{d}")[:2] == ("a b c d", ["html", "markdown", "wiki", "latex"])
 
 
+def test_ratios_drop_bars_of_links_from_plain_text():
+    long = "Chủ phương tiện phải hướng dẫn, theo [[Điều 5]]; và ghi rõ. " * 4
+    plain = long.replace("[[", "").replace("]]", "")
+    for bar in ("[Tin](/) | [Hỏi](/hoi)", "[[Tin]] [[Hỏi]]", "<b><a href='/'>Tin</a></b> <a href='/h'>Hỏi</a>"):
+        assert clean_mixed(f"{bar}\n{long}")[0] == plain
+    assert clean_mixed(f"[Tin](/) | [Hỏi](/hoi)\n{long}")[1] == ["markdown", "wiki"]
+    # A line of one link, words beside links, list items, code and a text of nothing else stay.
+    for line, want in (("[[Điều 5]]", "Điều 5"), ("[[A]], [[B]] và C", "A, B và C"), ("- [[A]] [[B]]", "- A B"), ("```\n[[A]] [[B]]\n```", "[[A]] [[B]]")):
+        assert clean_mixed(f"{line}\n{long}")[0] == f"{want}\n{plain}"
+    assert clean_mixed("[[A]] [[B]]")[0] == "A B"
+
+
 def test_html_structure():
     html = "<h2>Đầu</h2><p>a&nbsp;<b>b</b></p><ul><li>c</li><li>d</li></ul><table><tr><td>1</td><td><p>2</p></td></tr><tr><td>3</td><td>4</td></tr></table><pre><code>x\n  y</code></pre><p><math><mi>M</mi><mo>=</mo><mfrac><mi>K</mi><mn>2</mn></mfrac></math></p><script>no</script><!-- no -->"
     assert clean_html(html).split("\n") == ["## Đầu", "a b", "- c", "- d", "1 | 2", "3 | 4", "x", "  y", "M = K/2"]
@@ -91,3 +103,8 @@ def test_tag_paths_follow_the_rule_within_a_record(spark):
     want = {p: p in paths.content() for p in paths.sums}
     assert set(got) == {"d", "e", None} and {p: c for p, (_, c) in got["d"].items()} == want == {p: c for p, (_, c) in got["e"].items()}
     assert not all(want.values()) and got["e"]["/p"][0] == 2 * got["d"]["/p"][0]
+
+
+@pytest.mark.parametrize("text", ["<a href=x>" * 40_000, "<a " * 40_000 + "[[a]]", "[[a]] " * 40_000, "<a href=x>a" * 20_000 + "</a>" * 20_000])
+def test_hostile_links_end(text):
+    assert clean_mixed(text)[0] is not None
