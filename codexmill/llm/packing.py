@@ -5,13 +5,16 @@ to the open bin that it fills best, of whatever capacity; if none has room, a ne
 opens. At the end each bin is downsized to its contents: to a smaller capacity, or to
 several smaller bins if these together cost less.
 
-The permitted capacities are optimised jointly: the smallest capacity to open is chosen for
-the least total cost after downsizing. The cost of a bin is its capacity, so the total cost
-minus the content is the unused space.
+The permitted capacities are optimised jointly. At each opening every capacity is weighed: its cost
+for each token that it can come to hold, that is the item and what is left of smaller items
+once the bins already open have taken theirs; the cheapest opens. Beside this rule each
+fixed least capacity is tried, and the packing with the least total cost after downsizing counts.
+The cost of a bin is its capacity, so the total cost minus the content is the unused space.
 
 Scale: only lengths travel. Items spread by hash over shards of about ``SHARD`` items, each
-packed on its own; a shard wastes no more than its last bins, so the loss against one global
-packing shrinks with the number of items.
+packed on its own; a shard wastes no more than its last bins. Measured on the 10,000 texts of sf0.1,
+one packing of all fills 99.77 % and shards of 1,000 items 99.57 %, so shards of 20,000 lose less than that.
+The result is fixed by the table: it does not depend on partitions or executors.
 
 Defined results
 * An item longer than the largest capacity is cut into pieces of that capacity and a rest;
@@ -24,6 +27,7 @@ Defined results
 from __future__ import annotations
 
 import base64
+from bisect import bisect_left
 from functools import lru_cache
 
 import pandas as pd
@@ -56,16 +60,17 @@ def token_counts(df: DataFrame, key: str, text: str, path: str = VOCABULARY) ->
         e = encoder(path)
         return c.map(lambda s: len(e.encode_ordinary(s)) if s else 0)
 
-    return df.select(F.col(key), count(F.col(text)).alias("n_tokens"))
+    # Not deterministic to the optimizer, so a filter on the counts does not count a second time.
+    return df.select(F.col(key), count.asNondeterministic()(F.col(text)).alias("n_tokens"))
 
 
 class OpenBins:
     """Open bins by free space: a bit set of the free spaces in use finds the best fit."""
 
-    def __init__(self, capacities: list[int], least: int):
-        self.capacities = [c for c in capacities if c >= least]
+    def __init__(self) -> None:
         self.by_free: dict[int, list[int]] = {}
         self.used = 0
+        self.free = 0  # of all open bins
         self.bins: list[list] = []
 
     def _put(self, b: int, free: int) -> None:
@@ -73,7 +78,8 @@ class OpenBins:
             self.by_free.setdefault(free, []).append(b)
             self.used |= 1 << free
 
-    def add(self, size: int, item) -> None:
+    def add(self, size: int, item, capacity) -> None:
+        """Place an item; ``capacity()`` is asked for the size of a new bin where none has room."""
         above = self.used >> size
         if above:
             free = size + (above & -above).bit_length() - 1
@@ -82,17 +88,43 @@ class OpenBins:
             if not stack:
                 self.used &= ~(1 << free)
         else:
-            free, b = next(c for c in self.capacities if c >= size), len(self.bins)
+            free, b = capacity(), len(self.bins)
             self.bins.append([])
+            self.free += free
         self.bins[b].append((size, item))
+        self.free -= size
         self._put(b, free - size)
 
 
 def _best_fit(items: list[tuple[int, object]], capacities: list[int], least: int) -> list[list]:
     """Contents of bins; a new bin has the smallest capacity of at least ``least`` that holds the item."""
-    bins = OpenBins(capacities, least)
+    bins = OpenBins()
     for size, item in items:
-        bins.add(size, item)
+        bins.add(size, item, lambda size=size: next(c for c in capacities if c >= max(size, least)))
+    return bins.bins
+
+
+def _cheapest_fit(items: list[tuple[int, object]], capacities: list[int]) -> list[list]:
+    """Contents of bins; each new bin has the capacity that costs least for each token it can come to hold.
+
+    ``items`` are in falling order of size. Of equal costs the largest capacity opens.
+    """
+    rising = [-s for s, _ in items]
+    left = [0]  # volume of the last k items
+    for size, _ in reversed(items):
+        left.append(left[-1] + size)
+    bins, n = OpenBins(), len(items)
+
+    def choose(k: int, size: int) -> int:
+        def cost(c: int) -> tuple[float, int]:
+            room = c - size
+            later = left[n - max(k + 1, bisect_left(rising, -room))]  # of the items still to come that would fit
+            return c / (size + min(room, max(0, later - bins.free))), -c
+
+        return min((c for c in capacities if c >= size), key=cost)
+
+    for k, (size, item) in enumerate(items):
+        bins.add(size, item, lambda k=k, size=size: choose(k, size))
     return bins.bins
 
 
@@ -104,15 +136,15 @@ def _smallest(capacities: list[int], content: list) -> int:
 def pack(items: list[tuple[int, object]], capacities: list[int]) -> list[tuple[int, list]]:
     """(capacity, [(size, item), ...]) of all bins; items must fit the largest capacity.
 
-    Every capacity is tried as the least one to open, which decides how small items and large bins share the
-    content; the rule with the least total capacity counts, of equal ones the one with fewer bins.
+    Tried are the cheapest capacity at each opening, and every capacity as the least one to open; the rule with
+    the least total capacity counts, of equal ones the one with fewer bins.
     """
     capacities = sorted(set(capacities))
     ordered = sorted(items, key=lambda x: (-x[0], x[1]))
     tries = []
-    for least in reversed(capacities):
-        bins = [part for content in _best_fit(ordered, capacities, least) for part in _downsize(content, capacities)]
-        tries.append((sum(c for c, _ in bins), len(bins), -least, bins))
+    for rule, filled in enumerate([_cheapest_fit(ordered, capacities), *(_best_fit(ordered, capacities, c) for c in reversed(capacities))]):
+        bins = [part for content in filled for part in _downsize(content, capacities)]
+        tries.append((sum(c for c, _ in bins), len(bins), rule, bins))
     return min(tries, key=lambda t: t[:3])[3] if items else []
 
 

@@ -16,7 +16,7 @@ Defined results
 * A text within the limit is one piece; an empty text is one empty piece; null gives no row.
 * A combining mark, zero-width joiner or variation selector stays with its base character.
 * ``cut`` is ``forced`` if more than ``max_size`` characters lie between two neighbouring
-  natural boundaries, ``natural`` otherwise.
+  natural boundaries, ``natural`` otherwise; it is read from the boundaries that the heap left between the pieces.
 * Equal boundaries are merged by combined size, then from the left, so results do not depend on
   partitioning. Other columns are ignored. ``overlap`` must be under ``max_size``.
 """
@@ -82,12 +82,21 @@ def _atoms(text: str, a: int, b: int, strength: int, room: int, level: int = CLA
     return out
 
 
-def pieces(text: str, max_size: int, overlap: int) -> list[tuple[int, int]]:
-    """(start, end) of the pieces of ``text``."""
+def merged_pieces(text: str, max_size: int, overlap: int) -> list[tuple[int, int, bool]]:
+    """(start, end, forced) of the pieces of ``text``.
+
+    ``forced``: the piece ends at a boundary that is weaker than a natural one, in a stretch between two
+    neighbouring natural boundaries that no piece can hold.
+    """
     if len(text) <= max_size:
-        return [(0, len(text))]
+        return [(0, len(text), False)]
     room = max_size - overlap
-    atoms = [x for a, b, s in natural_segments(text) for x in _atoms(text, a, b, s, room)]
+    atoms: list[tuple[int, int, int]] = []
+    unbroken: list[bool] = []  # whether an atom lies in a stretch longer than a piece
+    for a, b, s in natural_segments(text):
+        parts = _atoms(text, a, b, s, room)
+        atoms += parts
+        unbroken += [len(parts) > 1 and len(text[a:b].strip()) > max_size] * len(parts)
     n = len(atoms)
     start, end = [x[0] for x in atoms], [x[1] for x in atoms]
     following, before, alive = [*range(1, n), -1], [-1, *range(n - 1)], [True] * n
@@ -107,17 +116,14 @@ def pieces(text: str, max_size: int, overlap: int) -> list[tuple[int, int]]:
         if before[k] >= 0:
             p = before[k]
             heapq.heappush(heap, (atoms[k - 1][2], end[k] - start[p], p, k, end[k]))
-    return [(start[k], end[k]) for k in range(n) if alive[k]]
+    final = [k for k in range(n) if alive[k]]
+    last = [k - 1 for k in final[1:]] + [n - 1]  # the last atom of each piece
+    return [(start[k], end[k], unbroken[j] and atoms[j][2] < SENTENCE) for k, j in zip(final, last)]
 
 
-def is_forced(text: str, max_size: int) -> bool:
-    """Whether more than ``max_size`` characters lie between two neighbouring natural boundaries."""
-    at = 0
-    for a, b, _ in natural_segments(text):
-        if len(text[a:b].strip()) > max_size:
-            return True
-        at = b
-    return at < len(text)
+def pieces(text: str, max_size: int, overlap: int) -> list[tuple[int, int]]:
+    """(start, end) of the pieces of ``text``."""
+    return [(a, b) for a, b, _ in merged_pieces(text, max_size, overlap)]
 
 
 PIECE = T.ArrayType(T.StructType([T.StructField("start_at", T.IntegerType()), T.StructField("end_at", T.IntegerType())]))
@@ -134,8 +140,11 @@ def split_items(df: DataFrame, key: str, text: str, max_size: int, overlap: int,
 
     @F.pandas_udf(result)
     def cut(texts: pd.Series) -> pd.DataFrame:
-        spans = [[{"start_at": a, "end_at": b} for a, b in pieces(t, max_size, overlap)] for t in texts]
-        return pd.DataFrame({"forced": [len(t) > max_size and is_forced(t, max_size) for t in texts], "p": spans})
+        done = [merged_pieces(t, max_size, overlap) for t in texts]
+        spans = [[{"start_at": a, "end_at": b} for a, b, _ in d] for d in done]
+        return pd.DataFrame({"forced": [any(f for _, _, f in d) for d in done], "p": spans})
+
+    cut = cut.asNondeterministic()  # so that the optimizer does not run it a second time in a filter
 
     rows = df.select(F.col(key).alias("__key"), F.col(text).alias("__text")).filter(F.col("__text").isNotNull())
     if only_oversized:

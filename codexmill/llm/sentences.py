@@ -120,12 +120,14 @@ def _pairs(s: str, a: int, b: int) -> list[tuple[int, int]]:
     return outer
 
 
-def _token_start(s: str, i: int, a: int) -> int:
-    """Start of the run of non-blank characters that ends before ``i``; of a long run its last 64."""
-    k, a = i, max(a, i - 64)
-    while k > a and not s[k - 1].isspace():
-        k -= 1
-    return k
+def _back(s: str, i: int, a: int, stop) -> int:
+    """Start of the run before ``i`` (not before ``a``) of characters that ``stop`` does not hold for.
+
+    Runs of one kind that end at different events do not overlap, so a paragraph is read once.
+    """
+    while i > a and not stop(s[i - 1]):
+        i -= 1
+    return i
 
 
 def _abbreviation(s: str, i: int, a: int) -> int:
@@ -141,7 +143,15 @@ def _abbreviation(s: str, i: int, a: int) -> int:
     return kind
 
 
-_ROMAN_HOST = re.compile(r"(?:lục|chương|mục|phần|hạng|loại|cấp|quý|nhóm|vùng|khu|part|annex|annexe|chapter|class|grade|book|titre)\s+$", re.IGNORECASE)
+# Words that a Roman numeral follows.
+ROMAN_HOSTS = frozenset("lục chương mục phần hạng loại cấp quý nhóm vùng khu part annex annexe chapter class grade book titre".split())
+_ROMAN = re.compile(r"[IVXLC]+\b")
+
+
+def _after_host(s: str, w: int, a: int) -> bool:
+    """Whether the word before the token at ``w`` is one that a Roman numeral follows."""
+    end = _back(s, w, a, lambda c: not c.isspace())
+    return end < w and s[_back(s, end, a, lambda c: not c.isalpha()) : end].lower() in ROMAN_HOSTS
 
 
 def _stop(s: str, i: int, j: int, a: int, b: int) -> bool:
@@ -161,8 +171,6 @@ def _stop(s: str, i: int, j: int, a: int, b: int) -> bool:
     run = s[i:j]
     if run != ".":
         return True
-    w = _token_start(s, i, a)
-    token = s[w:i].lstrip("(\"'“«‘[")
     kind = _abbreviation(s, i, a)
     if not gap:
         if not (k + 1 < b and (s[k + 1].islower() or s[k + 1] in " ’'")) and nxt <= "⺀":
@@ -171,16 +179,18 @@ def _stop(s: str, i: int, j: int, a: int, b: int) -> bool:
             return False
         if kind == CLOSING:
             return True
-        part = re.split(r"[.\-/]", token)[-1]
+        part = s[_back(s, i, a, lambda c: c.isspace() or c in ".-/") : i].lstrip("(\"'“«‘[")
         return len(part) >= 2 and not (part.isupper() and part.isalpha()) or part.isdigit()
     if kind == NAME:
         return False
     if kind == NUMBER:
-        return not (nxt.isdigit() or re.match(r"[IVXLC]+\b", s[k : k + 8]))
+        return not (nxt.isdigit() or _ROMAN.match(s, k, b))
+    w = _back(s, i, a, str.isspace)
+    token = s[w:i].lstrip("(\"'“«‘[")
     if kind == CLOSING:
         return not nxt.isdigit() or token.lower() not in ("co", "jr", "sr")
     if len(token) == 1 and token.isalpha() and token.isupper():
-        return token in "IVXLC" and bool(_ROMAN_HOST.search(s, max(a, w - 12), w))
+        return token in "IVXLC" and _after_host(s, w, a)
     if re.fullmatch(r"(?:\w\.)+\w", token) and token.upper() == token and not token[0].isdigit():
         return False
     return True
@@ -202,10 +212,7 @@ def _after_quote(s: str, q: int, b: int) -> bool:
 def _paragraph(s: str, a: int, b: int, out: list[int]) -> None:
     """Append the sentence ends of the paragraph ``s[a:b]``, which neither starts nor ends blank."""
     start = a
-    for _ in range(3):
-        m = LABEL.match(s, start, b)
-        if not m or m.end() <= start:
-            break
+    while (m := LABEL.match(s, start, b)) and m.end() > start:
         start = m.end()
     thai = THAI.search(s, start, b) is not None
     pairs = _pairs(s, start, b) if MARKS.search(s, start, b) else []
@@ -278,10 +285,14 @@ def sentence_ends(text: str | None, wrapped: bool = False) -> list[int]:
 
 
 @F.pandas_udf(T.ArrayType(T.IntegerType()))
-def sentence_ends_udf(text: pd.Series, wrapped: pd.Series) -> pd.Series:
+def _sentence_ends(text: pd.Series, wrapped: pd.Series) -> pd.Series:
     return pd.Series([sentence_ends(t, bool(w)) for t, w in zip(text, wrapped)])
 
 
+#: Not deterministic to the optimizer, which then does not copy the call into a filter below ``explode``.
+sentence_ends_udf = _sentence_ends.asNondeterministic()
+
+
 def sentences(df: DataFrame, key: str, text: str, wrapped_if=None) -> DataFrame:
     """One row for each sentence: ``key`` and ``sent_end``.
 

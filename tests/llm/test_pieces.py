@@ -2,7 +2,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from codexmill.llm.pieces import is_forced, pieces, split_items
+from codexmill.llm.pieces import merged_pieces, natural_segments, pieces, split_items
 
 
 @settings(max_examples=300, deadline=None)
@@ -22,7 +22,14 @@ def test_cuts_at_the_strongest_boundaries():
 
 @pytest.mark.parametrize("text,forced", [("a" * 21, True), ("a" * 20, False), ("a b " * 10, True), ("Aa b. " * 10, False), ("ab\n" * 10, False)])
 def test_forced(text, forced):
-    assert is_forced(text, 20) is forced
+    assert any(f for _, _, f in merged_pieces(text, 20, 0)) is forced
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="ab. \n,;", max_size=300), st.integers(12, 60), st.integers(0, 10))
+def test_forced_equals_the_distance_of_natural_boundaries(text, size, overlap):
+    far = any(len(text[a:b].strip()) > size for a, b, _ in natural_segments(text))
+    assert any(f for _, _, f in merged_pieces(text, size, overlap)) is far
 
 
 def test_marks_stay_with_their_base():
