@@ -21,11 +21,13 @@ Defined results
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codexmill.operators.skew import salted_join
+from codexmill.operators.skew import heavy_keys, salted_join
 from codexmill.session import cut
 
 
@@ -53,6 +55,9 @@ class ForeignKey:
     parent: str
 
 
+#: Rounds whose results are looked up one by one before they are written as one table.
+COMPACT = 8
+
 SCHEMA = "table string, row_key string, field string, at timestamp, reason string, kind string, level int"
 
 
@@ -82,62 +87,84 @@ def _references(e: Entity, fields: list[str]) -> DataFrame:
     return rows.select("row_key", "at", "own", "r.field", "r.k").filter(F.col("k").isNotNull())
 
 
-def direct_orphans(child: Entity, fields: list[str], parent: Entity) -> DataFrame:
-    """References of ``child`` through ``fields`` that have no living parent at their time."""
-    refs = _references(child, fields)
-    joined = salted_join(refs, _parents(parent).withColumn("there", F.lit(True)), "k", "left", spread=F.xxhash64("row_key", "field"))
+@dataclass(frozen=True)
+class _Edge:
+    """The foreign keys of one child to one parent: its references, read and counted once, and its hot keys."""
+
+    child: str
+    parent: str
+    refs: DataFrame
+    heavy: list
+
+    def join(self, right: DataFrame, how: str) -> DataFrame:
+        return salted_join(self.refs, right, "k", how, spread=F.xxhash64("row_key", "field"), heavy=self.heavy)
+
+
+def _direct(edge: _Edge, parent: Entity) -> DataFrame:
+    """References that have no living parent at their time."""
+    joined = edge.join(_parents(parent).withColumn("there", F.lit(True)), "left")
     reason = (
         F.when(F.col("there").isNull(), "missing")
         .when(F.col("born") > F.col("at"), "late")
         .when(F.col("died") <= F.col("at"), "deleted")
     )
-    return joined.withColumn("reason", reason).filter(F.col("reason").isNotNull()).select("row_key", "own", "field", "at", "reason")
+    return joined.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+
 
+def _inherited(edge: _Edge, frontier: DataFrame, found: list[DataFrame]) -> DataFrame:
+    """References to records of the frontier that no round has reported through the same field yet."""
+    keys = frontier.filter((F.col("table") == edge.parent) & F.col("own").isNotNull()).select(F.col("own").alias("k")).distinct()
+    refs = edge.join(keys, "left_semi").withColumn("reason", F.lit("inherited"))
+    for known in found:
+        refs = refs.join(known.filter(F.col("table") == edge.child).select("row_key", "field"), ["row_key", "field"], "left_anti")
+    return refs
 
-def orphan_cascade(entities: list[Entity], foreign_keys: list[ForeignKey], max_rounds: int = 1000) -> DataFrame:
+
+def orphan_cascade(entities: list[Entity], foreign_keys: list[ForeignKey]) -> DataFrame:
     """All orphan references: ``table, row_key, field, at, reason, kind, level``.
 
+    One loop of rounds over a moving frontier. Round 0 finds the references without a living parent; each later
+    round semi-joins the references with the records found in the round before. It ends when the frontier has
+    no record that others refer to. References and their hot keys are read once; of earlier rounds only keys are looked up.
+
     ``kind`` is ``direct`` (level 0) or ``inherited``: the record referred to exists but is
-    itself an orphan; ``level`` is the number of steps to the nearest direct orphan. A row
-    that is an orphan through one field is not reported again as inherited through another.
-    ``max_rounds`` only guards against endless loops; every round marks new rows, so the
-    fixpoint is reached after at most as many rounds as the longest chain has links.
+    itself an orphan; ``level`` is the number of steps to the nearest direct orphan. Every reference, that is a row
+    and a field, is reported once; a row may be a direct orphan through one field and an inherited one through another.
     """
     by_name = {e.name: e for e in entities}
-    named = lambda df, name, kind, level: df.select(
-        F.lit(name).alias("table"), "row_key", "field", "at", "reason", F.lit(kind).alias("kind"), F.lit(level).alias("level"), "own"
-    )
-    found = None
-    pairs: dict[tuple[str, str], list[str]] = {}
+    grouped: dict[tuple[str, str], list[str]] = {}
     for fk in foreign_keys:
-        pairs.setdefault((fk.child, fk.parent), []).append(fk.field)
-    for (child, parent), fields in pairs.items():
-        part = named(direct_orphans(by_name[child], fields, by_name[parent]), child, "direct", 0)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
+        grouped.setdefault((fk.child, fk.parent), []).append(fk.field)
+    if not grouped:
         raise ValueError("the foreign-key graph is empty")
-    parents = {fk.parent for fk in foreign_keys}
-    carriers = [n for n in by_name if n in parents and any(fk.child == n for fk in foreign_keys)]
-    if carriers:  # only tables that both refer and are referred to pass orphanhood on
-        found = cut(found)
-        frontier = found
-        for level in range(1, max_rounds + 1):
-            new = None
-            for (child, parent), fields in pairs.items():
-                if parent not in carriers:
-                    continue
-                keys = frontier.filter((F.col("table") == parent) & F.col("own").isNotNull()).select(F.col("own").alias("k")).distinct()
-                refs = salted_join(_references(by_name[child], fields), keys, "k", "left_semi", spread=F.xxhash64("row_key", "field"))
-                known = found.filter(F.col("table") == child).select("row_key").distinct()
-                part = named(refs.join(known, "row_key", "left_anti").withColumn("reason", F.lit("inherited")), child, "inherited", level)
-                new = part if new is None else new.unionByName(part)
-            if new is None:
-                break
-            frontier = cut(new)
-            if not frontier.take(1):
-                break
-            found = cut(found.unionByName(frontier))
-    return found.drop("own")
+    children = {child for child, _ in grouped}
+    edges = []
+    for (child, parent), fields in grouped.items():
+        refs = _references(by_name[child], fields)
+        if parent in children:  # these references are read in every round
+            refs = cut(refs)
+        edges.append(_Edge(child, parent, refs, heavy_keys(refs, "k")))
+    passes_on = any(e.parent in children for e in edges)
+    known: list[DataFrame] = []
+    frontier = None
+    for level in count():
+        parts = []
+        for e in edges:
+            if level and e.parent not in children:  # only tables that both refer and are referred to pass orphanhood on
+                continue
+            part = _inherited(e, frontier, known) if level else _direct(e, by_name[e.parent])
+            kind = "inherited" if level else "direct"
+            parts.append(part.select(F.lit(e.child).alias("table"), "row_key", "field", "at", "reason", F.lit(kind).alias("kind"), F.lit(level).alias("level"), "own"))
+        frontier = reduce(DataFrame.unionByName, parts)
+        if not passes_on:  # nothing refers to a child table, so the next frontier is empty
+            return frontier.drop("own")
+        frontier = cut(frontier)
+        if not frontier.take(1):
+            break
+        known.append(frontier)
+        if len(known) > COMPACT:  # a long chain: what is known becomes one table again
+            known = [cut(reduce(DataFrame.unionByName, known))]
+    return reduce(DataFrame.unionByName, known or [frontier]).drop("own")
 
 
 def orphan_report(found: DataFrame) -> DataFrame:

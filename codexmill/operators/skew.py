@@ -23,17 +23,23 @@ def heavy_keys(df: DataFrame, key: str, share: float = SHARE) -> list:
     return sorted(r["k"] for r in rows)
 
 
-def salted_join(left: DataFrame, right: DataFrame, key: str, how: str = "left", salts: int = 32, share: float = SHARE, spread=None) -> DataFrame:
-    """Equi-join on ``key`` where ``left`` may have heavy keys and ``right`` has one row a key.
+def default_salts(df: DataFrame) -> int:
+    """As many salts as the session has shuffle partitions: a hot key's slices shrink as the cluster's tasks do."""
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
-    Rows of a heavy key spread over ``salts`` partitions by ``spread`` (a column expression,
-    default: a hash of the whole left row); the matching right rows, at most one for each of
-    the ``1 / share`` heavy keys, are repeated for every salt. All other rows join as usual.
-    ``how`` may be ``inner``, ``left``, ``left_semi`` or ``left_anti``.
+
+def salted_join(left: DataFrame, right: DataFrame, key: str, how: str = "left", salts: int | None = None, share: float = SHARE, spread=None, heavy: list | None = None) -> DataFrame:
+    """Equi-join on ``key`` where ``left`` may have heavy keys and ``right`` has few rows a key.
+
+    Rows of a heavy key spread over ``salts`` partitions (default: the shuffle partitions) by ``spread`` (a
+    column expression, default: a hash of the whole left row); the matching right rows are repeated for every
+    salt; there are fewer than ``1 / share`` heavy keys. All other rows join as usual. ``heavy`` may give the heavy keys
+    where they are known. ``how`` may be ``inner``, ``left``, ``left_semi`` or ``left_anti``.
     """
-    heavy = heavy_keys(left, key, share)
+    heavy = heavy_keys(left, key, share) if heavy is None else heavy
     if not heavy:
         return left.join(right, key, how)
+    salts = salts or default_salts(left)
     is_heavy = F.coalesce(F.col(key).isin(heavy), F.lit(False))
     spread = F.xxhash64(*left.columns) if spread is None else spread
     salted = left.withColumn("__salt", F.when(is_heavy, F.pmod(spread, F.lit(salts)).cast("int")).otherwise(F.lit(0)))

@@ -80,13 +80,14 @@ nd AS (
   UNION ALL
   SELECT node_id, own, 'parent_id' FROM nd WHERE pk IS NOT NULL AND pk NOT IN (SELECT own FROM nd)
 ), reach AS (
-  SELECT node_id, own FROM nodedirect
+  SELECT node_id, own, pk FROM (SELECT nd.* FROM nd JOIN nodedirect d ON nd.node_id = d.node_id) x
   UNION
-  SELECT nd.node_id, nd.own FROM nd JOIN reach ON nd.pk = reach.own
+  SELECT nd.node_id, nd.own, nd.pk FROM nd JOIN reach ON nd.pk = reach.own
 ), alls AS (
   SELECT 'document_relationships' AS "table", field, strftime(recorded_at, '%Y-%m') AS period, reason, 'direct' AS kind FROM direct WHERE reason IS NOT NULL
   UNION ALL SELECT 'nodes', field, NULL, 'missing', 'direct' FROM nodedirect
-  UNION ALL SELECT 'nodes', 'parent_id', NULL, 'inherited', 'inherited' FROM reach WHERE node_id NOT IN (SELECT node_id FROM nodedirect)
+  UNION ALL SELECT 'nodes', 'parent_id', NULL, 'inherited', 'inherited' FROM nd
+    WHERE pk IN (SELECT own FROM reach) AND node_id NOT IN (SELECT node_id FROM nodedirect WHERE field = 'parent_id')
   UNION ALL SELECT 'blocks', 'doc_id', NULL, 'missing', 'direct' FROM blocks
     WHERE trim(doc_id) <> '' AND lower(trim(doc_id)) NOT IN (SELECT k FROM par)
   UNION ALL SELECT 'parse_quality', 'doc_id', NULL, 'missing', 'direct' FROM parse_quality

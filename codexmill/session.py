@@ -13,11 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 def checkpoint_root(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) is a temporary
-    folder chosen and set.
+    Only where the session names none and all runs on one machine (``local`` masters, as in tests) is a temporary
+    folder chosen and set; on a cluster that is an error, since executors could not read it.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = os.path.join(tempfile.gettempdir(), f"codexmill-{uuid.uuid4().hex[:8]}")
         spark.conf.set("spark.checkpoint.dir", found)
     sc = spark.sparkContext

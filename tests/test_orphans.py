@@ -65,6 +65,22 @@ def test_cascade_ends_on_a_cycle(spark):
     assert got == {("b", "direct"), ("a", "inherited")}
 
 
+def test_a_row_may_be_an_orphan_through_two_fields(spark):
+    """``b`` lacks its document and hangs below ``a``, which lacks its own."""
+    nodes = spark.createDataFrame([("a", "gone", None), ("b", "gone", "a"), ("c", "d1", "b")], "node_id string, doc_id string, parent_id string")
+    docs = spark.createDataFrame([("d1",)], "id string")
+    e = [Entity("n", nodes, F.col("node_id"), key="node_id"), Entity("d", docs, F.col("id"), key="id")]
+    got = {(r.row_key, r.field, r.kind, r.level) for r in orphan_cascade(e, [ForeignKey("n", "doc_id", "d"), ForeignKey("n", "parent_id", "n")]).collect()}
+    assert got == {("a", "doc_id", "direct", 0), ("b", "doc_id", "direct", 0), ("b", "parent_id", "inherited", 1), ("c", "parent_id", "inherited", 1)}
+
+
+def test_a_long_chain_is_followed_to_its_end(spark):
+    n = 24
+    nodes = spark.createDataFrame([(f"k{i}", "gone" if i == 0 else f"k{i - 1}") for i in range(n)], "node_id string, parent_id string")
+    got = {r.row_key: r.level for r in orphan_cascade([Entity("n", nodes, F.col("node_id"), key="node_id")], [ForeignKey("n", "parent_id", "n")]).collect()}
+    assert got == {f"k{i}": i for i in range(n)}
+
+
 def test_report_counts_by_month(spark):
     got = orphan_report(orphan_cascade(entities(spark, [], [(1, "a", None, at(3)), (2, "b", None, at(4))]), KEYS)).collect()
     assert [(r.period, r.n_references) for r in got] == [("2024-01", 2)]
