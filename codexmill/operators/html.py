@@ -18,18 +18,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
-    r"|<(/?)([A-Za-z][\w:.-]*)((?:[^<>\"']|\"[^\"]{0,2000}\"|'[^']{0,2000}')*)>"
-    r"|<(/?)([A-Za-z][\w:.-]*)([^<>]*)>",
-    re.DOTALL,
-)
+_OPENING = re.compile(r"<(?:!--|!\[CDATA\[|[!?]|/?[A-Za-z])")
+_NAME = re.compile(r"<(/?)([A-Za-z][\w:.-]*)")
+_INSIDE = re.compile(r"[<>\"']")
+_ANGLE = re.compile(r"[<>]")
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 
-# Elements that are blocks, that are void, that hold raw text and that cleaning removes.
+# Elements that are blocks, that are void, that hold raw text, that cleaning removes and that it unwraps.
 BLOCK_TAGS = frozenset(["p", "div", "li", "td", "h1", "h2", "h3", "h4", "h5", "h6"])
 VOID_TAGS = frozenset(["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"])
 REMOVED_TAGS = frozenset(["script", "style", "head"])
+BARE_TAGS = frozenset(["font", "span"])
 RAW_TAGS = ("script", "style")
 CLOSES_P = BLOCK_TAGS - {"td"} | frozenset(["table", "ul", "ol", "dl", "pre", "blockquote", "section", "article", "form", "center", "hr", "address", "fieldset"])
 #: An opening tag closes open tags of its family, up to the nearest host.
@@ -81,10 +80,68 @@ class Element:
         return "".join(parts)
 
 
+class Tokens:
+    """Tags and comments of a source in order, of any length.
+
+    A search for a mark that is not there is remembered, so the source is read a bounded number of times.
+    """
+
+    def __init__(self, source: str):
+        self.source, self.gone = source, {}
+
+    def find(self, mark: str, at: int) -> int:
+        if at >= self.gone.get(mark, len(self.source) + 1):
+            return -1
+        k = self.source.find(mark, at)
+        if k < 0:
+            self.gone[mark] = at
+        return k
+
+    def tag_end(self, at: int) -> int:
+        """Place of the ``>`` that ends a tag whose attributes start at ``at``, -1 if none does; ``<`` and ``>`` in quotes do not count."""
+        k = at
+        while m := _INSIDE.search(self.source, k):
+            mark = m.group()
+            if mark == ">":
+                return m.start()
+            closing = -1 if mark == "<" else self.find(mark, m.end())
+            if closing < 0:
+                break
+            k = closing + 1
+        m = _ANGLE.search(self.source, at)
+        return m.start() if m and m.group() == ">" else -1
+
+    def next(self, at: int) -> tuple[int, int, str, bool, str] | None:
+        """(start, end, name, closing, attributes) of the next tag from ``at``; the name of a comment is empty."""
+        s = self.source
+        while m := _OPENING.search(s, at):
+            start, sort = m.start(), m.group()
+            end = -1
+            if sort == "<!--":
+                end = self.find("-->", m.end())
+                return start, end + 3 if end >= 0 else len(s), "", False, ""
+            if sort == "<![CDATA[":
+                end = self.find("]]>", m.end())
+                if end >= 0:
+                    return start, end + 3, "", False, ""
+            if sort[1] in "!?":
+                end = self.find(">", start + 2)
+                if end >= 0:
+                    return start, end + 1, "", False, ""
+            else:
+                name = _NAME.match(s, start)
+                end = self.tag_end(name.end())
+                if end >= 0:
+                    return start, end + 1, name.group(2), bool(name.group(1)), s[name.end() : end]
+            at = start + 1
+        return None
+
+
 def parse(source: str) -> Element:
     """The element tree of ``source`` under a nameless root."""
     root = Element("", "", 0)
     stack, at, n = [root], 0, len(source)
+    tokens = Tokens(source)
     opened: dict[str, int] = {}  # open elements by tag, so an end tag without its start costs nothing
     add = lambda s: stack[-1].kids.append(_entities.unescape(s) if "&" in s else s)
 
@@ -95,18 +152,18 @@ def parse(source: str) -> Element:
         del stack[k:]
 
     while at < n:
-        m = TOKEN.search(source, at)
-        if not m:
+        token = tokens.next(at)
+        if not token:
             add(source[at:])
             break
-        if m.start() > at:
-            add(source[at : m.start()])
-        at = m.end()
-        name = m.group(2) or m.group(5)
+        start, end, name, closing, raw = token
+        if start > at:
+            add(source[at:start])
+        at = end
         if not name:
             continue
         tag = name.lower()
-        if m.group(1) or m.group(4):
+        if closing:
             for k in range(len(stack) - 1, 0, -1) if opened.get(tag) else ():
                 if stack[k].tag == tag:
                     close(k, at)
@@ -114,11 +171,10 @@ def parse(source: str) -> Element:
                 if stack[k].tag in ("table",) and tag not in ("body", "html", "div"):
                     break
             continue
-        raw = m.group(3) if m.group(2) else m.group(6)
         if tag in CLOSES_P and opened.get("p"):
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == "p":
-                    close(k, m.start())
+                    close(k, start)
                     break
                 if stack[k].tag in ("td", "th", "div", "li", "table", "blockquote"):
                     break
@@ -131,8 +187,8 @@ def parse(source: str) -> Element:
                 if stack[k].tag in family:
                     cut = k
             if cut:
-                close(cut, m.start())
-        e = Element(tag, raw, m.start())
+                close(cut, start)
+        e = Element(tag, raw, start)
         stack[-1].kids.append(e)
         if tag in VOID_TAGS or raw.endswith("/"):
             e.end = at
@@ -160,59 +216,93 @@ def normalize(s: str) -> str:
     return _SPACES.sub(" ", unicodedata.normalize("NFC", s.translate(_REPLACED)).translate(_PLAIN))
 
 
+def _is_bare(e: Element) -> bool:
+    """A wrapper without class and style, which says nothing."""
+    return e.tag in BARE_TAGS and not e.attrs.get("class", "").strip() and not e.attrs.get("style", "").strip()
+
+
 def clean(root: Element) -> None:
-    """Drop script, style and head, with the text that follows them, and normalise every text."""
+    """Drop script, style and head with the text that follows them, unwrap bare font and span, and normalise every text."""
     stack = [root]
     while stack:
         e = stack.pop()
         kept, after_removed = [], False
-        for k in e.kids:
+        todo = e.kids[::-1]
+        while todo:
+            k = todo.pop()
             if isinstance(k, str):
                 if not after_removed:
                     kept.append(normalize(k))
-            elif k.tag in REMOVED_TAGS:
-                after_removed = True
+                continue
+            after_removed = k.tag in REMOVED_TAGS
+            if after_removed:
+                continue
+            if _is_bare(k):
+                todo.extend(reversed(k.kids))
             else:
-                after_removed = False
                 kept.append(k)
                 stack.append(k)
         e.kids = kept
 
 
-_INDENT = re.compile(r"(?:text-indent|margin-left)\s*:\s*(-?[\d.]+)", re.IGNORECASE)
-_BOLD = re.compile(r"font-weight\s*:\s*(?:bold|[6-9]00)", re.IGNORECASE)
+def markup_of(e: Element, tail: str = "") -> str:
+    """An element of a tree as markup, with the text that follows it."""
+    out: list[str] = []
+    stack: list = [tail, e]
+    escape = lambda x: _entities.escape(x, quote=False)
+    while stack:
+        k = stack.pop()
+        if isinstance(k, tuple):
+            out.append(k[0])
+        elif isinstance(k, str):
+            out.append(escape(k))
+        else:
+            out.append(f"<{k.tag}{''.join(f' {n}={chr(34)}{_entities.escape(v)}{chr(34)}' for n, v in k.attrs.items())}>")
+            if k.tag in VOID_TAGS:
+                continue
+            stack.append((f"</{k.tag}>",))
+            stack.extend((x,) if k.tag in RAW_TAGS and isinstance(x, str) else x for x in reversed(k.kids))
+    return "".join(out)
+
+
+# The patterns of style signals, as they must be for equal results.
+_INDENT = re.compile(r"(?:text-indent|margin-left):\s*(-?[\d.]+)")
+_BOLD = re.compile(r"font-weight:\s*(bold|[6-9]00)", re.IGNORECASE)
+_PROFILE_INDENTS = (re.compile(r"text-indent:\s*([-\d.]+)"), re.compile(r"margin-left:\s*([-\d.]+)"))
 
 
-def _indent(style: str) -> float | None:
-    m = _INDENT.search(style)
+def _number(m: re.Match | None) -> float | None:
     try:
         return float(m.group(1)) if m else None
     except ValueError:
         return None
 
 
-def flatten(root: Element, source: str) -> list[dict]:
-    """Innermost block elements with text, tables whole, in document order."""
+def flatten(root: Element) -> list[dict]:
+    """Innermost block elements with text, tables whole, in document order, of a cleaned tree."""
     body = next((e for e in root.walk() if e.tag == "body"), root)
     out: list[dict] = []
 
     def emit(e: Element, text: str) -> None:
         below = [x for x in e.walk()]
         style = e.attrs.get("style", "")
-        tail = e.end
-        while tail < len(source) and source[tail] != "<":
-            tail += 1
+        tail = []
+        if stack:  # the texts beside it up to the next element
+            above, k = stack[-1]
+            while k < len(above.kids) and isinstance(above.kids[k], str):
+                tail.append(above.kids[k])
+                k += 1
         out.append(
             {
                 "text": text,
                 "tag": e.tag,
                 "classes": e.attrs.get("class", "").split(),
-                "style_indent": _indent(style),
+                "style_indent": _number(_INDENT.search(style)),
                 "is_bold": bool(_BOLD.search(style)) or any(x.tag in ("b", "strong") for x in below[1:]),
                 "is_italic": any(x.tag in ("i", "em") for x in below[1:]),
-                "is_center": "center" in style,
+                "is_center": "center" in style.lower(),
                 "is_table": e.tag == "table",
-                "html_raw": source[e.start : tail],
+                "html_raw": markup_of(e, "".join(tail)),
                 "anchors": [h for x in below if x.tag == "a" and (h := x.attrs.get("href"))],
             }
         )
@@ -294,6 +384,7 @@ PROFILE = T.StructType(
         T.StructField("has_img", T.BooleanType()),
         T.StructField("has_link", T.BooleanType()),
         T.StructField("template_family", T.StringType()),
+        T.StructField("parse_error", T.BooleanType()),
     ]
 )
 # Elements that profiling reads.
@@ -307,7 +398,7 @@ def flatten_one(source: str | None) -> dict:
     root = parse(source)
     clean(root)
     return {
-        "blocks": flatten(root, source),
+        "blocks": flatten(root),
         "n_tables": sum(e.tag == "table" for e in root.walk()),
         "n_chars": len(_BLANKS.sub("", root.text())),
         "template_family": signature(root),
@@ -315,25 +406,32 @@ def flatten_one(source: str | None) -> dict:
 
 
 def profile_one(source: str | None) -> dict:
-    """Elements of one raw document, nested ones too, and its presence flags."""
-    root = parse(source or "")
-    every = list(root.walk())
-    bold: set[int] = set()  # elements with a bold one below; children come after their parents
-    for e in reversed(every):
-        if any(not isinstance(k, str) and (k.tag in ("b", "strong") or id(k) in bold) for k in e.kids):
-            bold.add(id(e))
-    elements = [
-        {"tag": e.tag, "classes": e.attrs.get("class", "").split(), "style_indent": _indent(st := e.attrs.get("style", "")), "is_bold": bool(_BOLD.search(st)) or id(e) in bold, "text": e.text().strip()}
-        for e in every
-        if e.tag in PROFILE_TAGS
-    ]
-    return {
-        "elements": elements,
-        "has_table": any(e.tag == "table" for e in every),
-        "has_img": any(e.tag == "img" for e in every),
-        "has_link": any(e.tag == "a" and "href" in e.attrs for e in every),
-        "template_family": signature(root),
-    }
+    """Elements with text of one raw document, nested ones too, and its presence flags.
+
+    Blank documents have no template; a document that cannot be read has nothing but ``parse_error``.
+    """
+    none = {"elements": [], "has_table": False, "has_img": False, "has_link": False, "template_family": None, "parse_error": False}
+    if source is None or not source.strip():
+        return none
+    try:
+        root = parse(source)
+        every = list(root.walk())
+        elements = []
+        for e in every:
+            if e.tag in PROFILE_TAGS and (text := e.text().strip()):
+                style = e.attrs.get("style", "")
+                indent = next((m for p in _PROFILE_INDENTS if (m := p.search(style))), None)
+                elements.append({"tag": e.tag, "classes": e.attrs.get("class", "").split(), "style_indent": _number(indent), "is_bold": bool(_BOLD.search(style)), "text": text})
+        return {
+            "elements": elements,
+            "has_table": any(e.tag == "table" for e in every),
+            "has_img": any(e.tag == "img" for e in every),
+            "has_link": any(e.tag == "a" and "href" in e.attrs for e in every),
+            "template_family": signature(root),
+            "parse_error": False,
+        }
+    except (RecursionError, ValueError, IndexError, KeyError, OverflowError):
+        return none | {"parse_error": True}
 
 
 @F.pandas_udf(FLAT)

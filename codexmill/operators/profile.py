@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from codexmill.operators.classify import PATTERNS, pattern_tier
+from codexmill.operators.classify import PATTERNS
 from codexmill.operators.sequence import ANNEX_MARKER, article_number
 
 # Fixed value: profiling reads clauses more narrowly than the parser.
@@ -56,10 +56,17 @@ def class_samples(blocks: DataFrame, n: int = 3, width: int = 200) -> DataFrame:
     return rows.select("class", "nth", F.substring("text", 1, width).alias("sample"))
 
 
+def profile_type(text: Column) -> Column:
+    """Pattern type of a line as profiling reads it: the patterns of the parser in their order, clauses more narrowly."""
+    kind = F.lit(None).cast("string")
+    for name, pattern in reversed(PATTERNS):
+        kind = F.when(text.rlike(CLAUSE if name == "khoan" else pattern), name).otherwise(kind)
+    return kind
+
+
 def crosstab(blocks: DataFrame) -> DataFrame:
     """Counts of class and pattern type."""
-    kind, _ = pattern_tier(F.col("text"))
-    typed = class_rows(blocks).withColumn("type", kind).filter(F.col("type").isNotNull())
+    typed = class_rows(blocks).withColumn("type", profile_type(F.col("text"))).filter(F.col("type").isNotNull())
     return typed.groupBy("class", "type").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -78,10 +85,9 @@ def agreement(cross: DataFrame) -> DataFrame:
 
 
 def type_rates(blocks: DataFrame) -> DataFrame:
-    """Share of documents with at least one line of each pattern type."""
-    flags = []
-    for name, pattern in PATTERNS:
-        flags.append(F.bool_or(F.col("text").rlike(CLAUSE if name == "khoan" else pattern)).alias(name))
+    """Share of documents with at least one line of each pattern type; a line counts for its first type."""
+    kind = profile_type(F.col("text"))
+    flags = [F.bool_or(kind.eqNullSafe(F.lit(name))).alias(name) for name, _ in PATTERNS]
     per_doc = blocks.groupBy("doc_id").agg(*flags)
     return per_doc.agg(F.count(F.lit(1)).alias("n_docs"), *[F.avg(F.col(n).cast("int")).alias(f"rate_{n}") for n, _ in PATTERNS])
 

@@ -44,9 +44,13 @@ def transitions(old: DataFrame, new: DataFrame) -> DataFrame:
     return a.join(b, "doc_id").groupBy("before", "after").agg(F.count(F.lit(1)).alias("n"))
 
 
-def to_markdown(df: DataFrame, title: str, limit: int = 200) -> str:
-    """A small result as a Markdown section; at most ``limit`` rows come to the driver."""
+def to_markdown(df: DataFrame, title: str) -> str:
+    """A report's section as Markdown, with all of its rows.
+
+    For results that are small by construction (top-k tables and roll-ups by type, decade or verdict): the text of a
+    report is made in the driver, which takes the rows one partition at a time.
+    """
     cols = df.columns
-    rows = df.select(*[markdown_cell(F.col(c).cast("string")).alias(c) for c in cols]).limit(limit).collect()
+    rows = df.select(*[markdown_cell(F.col(c).cast("string")).alias(c) for c in cols]).toLocalIterator()
     head = f"## {title}\n\n| {' | '.join(cols)} |\n|{'---|' * len(cols)}\n"
     return head + "".join(f"| {' | '.join('' if v is None else v for v in r)} |\n" for r in rows)

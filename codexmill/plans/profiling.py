@@ -16,7 +16,8 @@ class CorpusProfile:
     """The parts of a profile as DataFrames; the elements are written to the shared folder once.
 
     Raw text is profiled as it is: not cleaned and not normalised. Elements are nested, so the text of an inner
-    element counts again in the outer one.
+    element counts again in the outer one. Elements without text are passed over; blank documents count in the totals
+    and have no template; documents that cannot be read are counted.
     """
 
     def __init__(self, content: DataFrame, key: str, source: str):
@@ -29,6 +30,9 @@ class CorpusProfile:
         rate = lambda c: F.avg(F.col(f"p.{c}").cast("int"))
         return self.flat.agg(F.count(F.lit(1)).alias("n_docs"), rate("has_table").alias("with_table"), rate("has_img").alias("with_image"), rate("has_link").alias("with_link"))
 
+    def totals(self) -> DataFrame:
+        return self.flat.agg(F.count(F.lit(1)).alias("n_docs"), F.count_if("p.parse_error").alias("parse_errors"))
+
     def types(self) -> DataFrame:
         """Rates over all documents, also those without an element."""
         some, total = P.type_rates(self.elements), self.flat.count()
@@ -54,12 +58,12 @@ class CorpusProfile:
         return P.top_indents(self.elements)
 
     def families(self) -> DataFrame:
-        return P.top_templates(self.flat.select("doc_id", F.col("p.template_family").alias("template_family")))
+        return P.top_templates(self.flat.select("doc_id", F.col("p.template_family").alias("template_family")).filter(F.col("template_family").isNotNull()))
 
     def summary(self) -> DataFrame:
         """``metric, name, value``: the single numbers of the profile in one table."""
         long = lambda df: df.select(F.explode(F.create_map(*[x for c in df.columns for x in (F.lit(c), F.col(c).cast("double"))])).alias("name", "value"))
-        parts = {"presence": self.presence(), "types": self.types(), "agreement": self.agreement(), "multi_part": self.multi_part()}
+        parts = {"totals": self.totals(), "presence": self.presence(), "types": self.types(), "agreement": self.agreement(), "multi_part": self.multi_part()}
         return reduce(DataFrame.unionByName, [long(df).select(F.lit(m).alias("metric"), "name", "value") for m, df in parts.items()])
 
 

@@ -2,8 +2,10 @@
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from codexmill.functions.text import slug
+from codexmill.operators import profile as P
 from codexmill.operators.classify import judge
 from codexmill.operators.html import flatten_one, parse, profile_one
 from codexmill.operators.sequence import mask_quotes, split_parts
@@ -57,10 +59,90 @@ def test_unclosed_and_odd_markup():
     assert parse("<p a='<b>'>x").text() == "x"
 
 
+def test_style_signals_follow_the_fixed_patterns():
+    flags = lambda style: (lambda b: (b["style_indent"], b["is_bold"], b["is_center"]))(blocks_of(f"<p style='{style}'>x</p>")[0])
+    assert flags("TEXT-ALIGN: CENTER") == (None, False, True)
+    assert flags("MARGIN-LEFT: 5pt") == (None, False, False) and flags("margin-left : 5pt") == (None, False, False)
+    assert flags("FONT-WEIGHT: Bold") == (None, True, False) and flags("font-weight : bold") == (None, False, False) and flags("font-weight:600") == (None, True, False)
+    assert flags("margin-left: 2; text-indent: 3") == (2.0, False, False) and flags("vertical-align:center") == (None, False, True)
+
+
+def test_markup_of_a_block_is_that_of_the_cleaned_tree():
+    html = "<div><p class='a' title='x > y'>a\u00a0<span>b <font>“c”</font></span><span class='k'>d &amp; e</span><br>f<script>no()</script></p>tail <b>z</b></div>"
+    (b,) = blocks_of(html)
+    assert b["html_raw"] == '<p class="a" title="x &gt; y">a b "c"<span class="k">d &amp; e</span><br>f</p>tail '
+    assert b["text"] == 'a b "c"d & ef' and b["tag"] == "p"
+    # A bare wrapper with a class or a style stays; one with blank ones goes.
+    (b,) = blocks_of("<p><span class=' ' style=''>x</span><font style='color:red'>y</font></p>")
+    assert b["html_raw"] == '<p>x<font style="color:red">y</font></p>'
+
+
+def test_blocks_read_again_from_their_markup_are_the_same():
+    html = "<body><p style='text-indent: 1.5cm; font-weight: 700' class='c1 c2'>Điều 1. <i>A &lt; B</i></p>\n <table border=1><tr><td>1<td><b>2</b></table><div align=center>x<p>y</p>lost</div><li><a href='/v?a=1&amp;b=2'>l</a><h2>H</h2>"
+    got = blocks_of(html)
+    assert [(b["tag"], b["text"], b["style_indent"], b["is_bold"], b["is_italic"], b["is_table"], b["classes"], b["anchors"]) for b in got] == [
+        ("p", "Điều 1. A < B", 1.5, True, True, False, ["c1", "c2"], []),
+        ("table", "12", None, True, False, True, [], []),
+        ("p", "y", None, False, False, False, [], []),
+        ("h2", "H", None, False, False, False, [], []),
+    ]
+    for b in got:
+        (again,) = blocks_of(b["html_raw"]) if b["tag"] != "p" or b["text"] != "y" else blocks_of("<div>" + b["html_raw"] + "</div>")
+        assert {k: v for k, v in again.items() if k != "html_raw"} == {k: v for k, v in b.items() if k != "html_raw"}
+    assert got[2]["html_raw"] == "<p>y</p>lost"
+
+
+@pytest.mark.parametrize("size", [2_500, 100_000])
+def test_attributes_comments_and_sections_of_any_length(size):
+    long = "a > b <i> " * (size // 10)
+    assert [b["text"] for b in blocks_of(f'<p title="{long}">x</p><!-- {long} --><p title=\'{long}\'>y</p><![CDATA[ {long} ]]><p>z</p>')] == ["x", "y", "z"]
+
+
 def test_profile_elements_are_nested():
-    got = profile_one("<div class='k'><p>a</p><img></div><a href='x'>l</a>")
+    got = profile_one("<div class='k'><p>a</p><img><p> </p></div><a href='x'>l</a>")
     assert [e["tag"] for e in got["elements"]] == ["div", "p"] and got["has_img"] and got["has_link"] and not got["has_table"]
-    assert got["template_family"] == "k"
+    assert got["template_family"] == "k" and not got["parse_error"]
+    assert profile_one(" ")["template_family"] is None and profile_one(None)["elements"] == []
+
+
+def test_profile_reads_bold_from_the_style_and_text_indent_first():
+    got = profile_one("<p style='margin-left: 2; text-indent: 3'><b>x</b></p><p style='font-weight:bold; margin-left: 4'>y</p><div class='c'> </div>")["elements"]
+    assert [(e["style_indent"], e["is_bold"]) for e in got] == [(3.0, False), (4.0, True)]
+
+
+def test_corpus_profile(spark, monkeypatch):
+    from codexmill.operators import html as H
+    from codexmill.plans.profiling import CorpusProfile
+
+    docs = [
+        ("a", "<p class='k'>Điều 1. x</p><p class='k'>1. y</p><p class='k'>2- z</p><table><tr><td class='m'>a) w</td></tr></table>"),
+        ("b", "<p class='k'>Điều 2. x</p><p class='k'>Điều 1. y</p><div><p class='k'>3. v</p><img></div><a href='q'>l</a>"),
+        ("c", " "), ("d", None), ("boom", "<p class='z'>1. x</p>"),
+    ]
+    real = H.parse
+
+    def parse(source):
+        if ">1. x" in source:
+            raise ValueError("boom")
+        return real(source)
+
+    monkeypatch.setattr(H, "parse", parse)
+    flat = spark.createDataFrame([(k, H.profile_one(h)) for k, h in docs], T.StructType([T.StructField("doc_id", T.StringType()), T.StructField("p", H.PROFILE)]))
+    monkeypatch.setattr(CorpusProfile, "__init__", lambda self: None)
+    profile = CorpusProfile()
+    profile.flat = flat
+    profile.elements = flat.select("doc_id", F.posexplode("p.elements").alias("dom_order", "e")).select("doc_id", "dom_order", "e.*")
+    profile.crosstab = P.crosstab(profile.elements)
+    # "2- z" is a clause to the parser, not to profiling; "3. v" counts for the paragraph and for the division around it, which has no class.
+    assert {(r["class"], r.type): r.n for r in profile.crosstab.collect()} == {("k", "dieu"): 3, ("k", "khoan"): 2, ("m", "diem"): 1}
+    assert {r["class"]: (r.type, r.purity, r.n) for r in profile.class_map().collect()} == {"k": ("dieu", 0.6, 5), "m": ("diem", 1.0, 1)}
+    got = {(r.metric, r.name): r.value for r in profile.summary().collect()}
+    assert got["totals", "n_docs"] == 5 and got["totals", "parse_errors"] == 1 and got["agreement", "agreement"] == 4 / 6
+    assert got["presence", "with_table"] == got["presence", "with_image"] == got["presence", "with_link"] == 0.2
+    assert got["types", "rate_dieu"] == got["types", "rate_khoan"] == 0.4 and got["types", "rate_diem"] == 0.2
+    assert got["multi_part", "rate"] == 0.5
+    assert {r.template: r.n for r in profile.families().collect()} == {"k|m": 1, "k": 1}
+    assert {(r["class"], r.nth): r.sample for r in profile.samples().collect() if r["class"] == "m"} == {("m", 1): "a) w"}
 
 
 def parts(spark, texts):
@@ -188,4 +270,6 @@ def test_hostile_markup_stays_linear():
     assert len(blocks_of("<div>" * n + "x" + "</b>" * n)) == 1
     assert blocks_of("<span>" * n + "</p>" * n + "<p>x")[0]["text"] == "x"
     assert len(blocks_of("<p a=\"" * 3_000)) <= 1
-    assert profile_one("<div>" * 2_000 + "<b>x</b>")["elements"][0]["is_bold"]
+    assert len(profile_one("<div>" * 2_000 + "<b>x</b>")["elements"]) == 2_000
+    for hostile in ("<![CDATA[ " * n, "<a \"<a '" * n, "<a \"" * n + "<b ", "<? " * n, "<a x='" + "<b y=\"" * n, "<a" * n):
+        assert len(blocks_of(hostile + "<p>x")) <= 1
