@@ -139,11 +139,14 @@ def build_tree(classified: DataFrame, slug: str = "doc_slug") -> DataFrame:
     # Every node gives its text to itself and to its ancestors, in order of creation.
     kept = ["node_id", "part_id", "parent_id", "path", "depth", "node_type", "number_raw", "number_norm", "heading", "full_own", "breadcrumb", "html_all", "confidence", "classified_by"]
     own = F.struct(*kept)
-    up = F.transform("__anc", lambda x: F.struct(x["order_index"].alias("to"), F.lit(False).alias("is_own")))
-    given = nodes.select(*PART, own.alias("__own"), F.struct("order_index", "full_own").alias("t"), F.explode(F.concat(F.array(F.struct(F.col("order_index").alias("to"), F.lit(True).alias("is_own"))), up)).alias("g"))
+    # Only a node's own row carries its columns; the rows for its ancestors carry the text alone.
+    empty = F.lit(None).cast(nodes.select(own).schema[0].dataType)
+    up = F.transform("__anc", lambda x: F.struct(x["order_index"].alias("to"), empty.alias("own")))
+    to = F.concat(F.array(F.struct(F.col("order_index").alias("to"), own.alias("own"))), up)
+    given = nodes.select(*PART, F.struct("order_index", "full_own").alias("t"), F.explode(to).alias("g"))
     rolled = given.groupBy(*PART, F.col("g.to").alias("order_index")).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list("t")), lambda t: t["full_own"]), "\n").alias("text_full"),
-        F.first(F.when(F.col("g.is_own"), F.col("__own")), ignorenulls=True).alias("n"),
+        F.first("g.own", ignorenulls=True).alias("n"),
     )
     return rolled.select("order_index", "text_full", *PART, "n.*").select(
         "node_id", "doc_id", "part_no", "part_id", "parent_id", "path", F.col("depth").cast("int").alias("depth"), "order_index", "node_type", "number_raw", "number_norm", "heading",

@@ -41,14 +41,15 @@ def nodes_of(classified: DataFrame, metadata: DataFrame | None = None) -> DataFr
     return build_tree(classified.join(slugs, classified["doc_id"] == slugs["__doc"]).drop("__doc"))
 
 
-def parse_documents(content: DataFrame, key: str, source: str, metadata: DataFrame | None = None, class_map: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def parse_documents(content: DataFrame, key: str, source: str, metadata: DataFrame | None = None, class_map: DataFrame | None = None, provider: Callable | None = None) -> tuple[DataFrame, DataFrame]:
     """Nodes and quality of HTML documents.
 
-    HTML is read once and nodes are built once: both are written to the shared folder, because the measures
-    of quality look at them several times.
+    HTML is read once, blocks are classified once and nodes are built once: all three are written to the shared
+    folder, because the tree and the measures of quality look at them several times.
     """
     flat = cut(flatten_documents(content, key, source))
-    classified = classify_blocks(explode_blocks(flat), class_map)
+    kept = ("doc_id", "dom_order", "part_no", "part_id", "text", "html_raw", "is_table", "node_type", "number_raw", "confidence", "classified_by", "raw_type", "raw_confidence")
+    classified = cut(classify_blocks(explode_blocks(flat), class_map, provider).select(*kept))
     nodes = cut(nodes_of(classified, metadata))
     measures = flat.select("doc_id", "flat.n_tables", "flat.n_chars", "flat.template_family")
     return nodes, quality(measures, classified, nodes)

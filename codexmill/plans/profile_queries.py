@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from codexmill.functions.text import or_unknown
 from codexmill.operators import profile as P
-from codexmill.plans.structure_queries import _TYPE
 from codexmill.sources.tables import table
 
 
@@ -94,7 +93,10 @@ QUERIES = {
 }
 
 _E = "e AS (SELECT doc_id, dom_order, tag, style_indent, is_bold, text, unnest(classes) AS class FROM blocks)"
-_C = f"c AS (SELECT class, {_TYPE} AS type, count(*) AS n FROM e WHERE {_TYPE} IS NOT NULL GROUP BY 1, 2)"
+# The line patterns of profiling; a clause needs a full stop.
+_KIND = r"""CASE WHEN regexp_matches(text, '(?i)^[\s\p{Z}]*Điều[\s\p{Z}]+\p{Nd}+[a-zđ]?[.\s\p{Z}]') THEN 'dieu' WHEN regexp_matches(text, '(?i)^[\s\p{Z}]*Chương[\s\p{Z}]+[IVXLC]+') THEN 'chuong'
+  WHEN regexp_matches(text, '(?i)^[\s\p{Z}]*Mục[\s\p{Z}]+\p{Nd}+') THEN 'muc' WHEN regexp_matches(text, '^[\s\p{Z}]*\p{Nd}+\.[\s\p{Z}]') THEN 'khoan' WHEN regexp_matches(text, '^[\s\p{Z}]*[a-zđ]\)[\s\p{Z}]') THEN 'diem' END"""
+_C = f"k AS (SELECT class, {_KIND} AS type FROM e), c AS (SELECT class, type, count(*) AS n FROM k WHERE type IS NOT NULL GROUP BY 1, 2)"
 
 
 def _percentile(source: str, group: str, value: str) -> str:

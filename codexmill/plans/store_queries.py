@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from codexmill.config import SAMPLE_DEV, SAMPLE_GOLDEN
 from codexmill.functions.text import decade, markdown_cell, or_unknown, parse_date
 from codexmill.operators import reports as R
 from codexmill.operators.html import explode_blocks, flatten_documents
@@ -165,8 +166,15 @@ def stratified_round_robin(spark, d):
     return round_robin(table(spark, d, "documents").select("doc_id", "loai_van_ban", "lang"), "doc_id", ["loai_van_ban", "lang"], 200).select("doc_id", "turn")
 
 
+STRATA = ("loai_van_ban", "decade", "template")
+
+
 def dev_and_golden(spark, d):
-    return two_samples(table(spark, d, "documents").select("doc_id", "loai_van_ban", "lang"), "doc_id", ["loai_van_ban", "lang"], 300, 30)
+    """The two samples in their full sizes over type, decade and class signature; documents that are not parsed have no signature."""
+    parsed = _quality(spark, d).groupBy(F.col("doc_id").alias("id")).agg(F.min("template_family").alias("template"))
+    year = F.year("ngay_ban_hanh")
+    docs = table(spark, d, "documents").select("doc_id", "id", or_unknown(F.col("loai_van_ban")).alias("loai_van_ban"), F.when(year.isNull(), "unknown").otherwise(F.concat((F.floor(year / 10) * 10).cast("string"), F.lit("s"))).alias("decade"))
+    return two_samples(docs.join(parsed, "id", "left"), "doc_id", list(STRATA), SAMPLE_DEV, SAMPLE_GOLDEN)
 
 
 def report_cells(spark, d):
@@ -184,8 +192,23 @@ def _fresh_store(spark: SparkSession) -> Store:
     return store
 
 
+#: Columns whose contents are compared after a load.
+LOADED = {
+    "documents": ("id", "title", "so_ky_hieu", "ngay_ban_hanh", "loai_van_ban", "ngay_co_hieu_luc", "ngay_het_hieu_luc", "co_quan_ban_hanh", "nguoi_ky", "tinh_trang_hieu_luc"),
+    "document_relationships": ("doc_id", "other_doc_id", "relationship"),
+    "parse_quality": ("doc_id", "n_nodes", "sequence_ok", "hierarchy_ok", "part_count_ok", "table_preserved", "verdict", "issues", "loai_van_ban", "decade", "template_family"),
+    "nodes": ("node_id", "doc_id", "part_id", "parent_id", "path", "depth", "order_index", "node_type", "number_raw", "number_norm", "heading", "text", "text_full", "breadcrumb", "html_raw", "classified_by"),
+}
+
+
+def _digest(df: DataFrame, name: str) -> DataFrame:
+    """Rows of a table and the sum of the digests of their contents."""
+    row = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in LOADED[name]])
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.conv(F.substring(F.md5(row), 1, 12), 16, 10).cast("bigint")).alias("contents")).select(F.lit(name).alias("table"), "n_rows", "contents")
+
+
 def store_load(spark, d):
-    """Rows of the store after a bulk load, and a node load that stopped half way and was resumed."""
+    """Rows and contents of the store after a bulk load, and a node load that stopped half way and was resumed."""
     store = _fresh_store(spark)
     store.load("documents", load_documents(_as_metadata(spark, d)))
     store.load("document_relationships", table(spark, d, "document_relationships"))
@@ -193,8 +216,9 @@ def store_load(spark, d):
     nodes, wanted = table(spark, d, "nodes"), indexable(store.read("parse_quality"))
     store.load_nodes(nodes, wanted.filter(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0))
     store.load_nodes(nodes, wanted)
-    counts = [row_count(store.complete_nodes() if t == "nodes" else store.read(t)).select(F.lit(t).alias("table"), "n_rows") for t in ("documents", "document_relationships", "parse_quality", "nodes", "edges")]
-    return reduce(DataFrame.unionByName, counts)
+    counts = [_digest(store.complete_nodes() if t == "nodes" else store.read(t), t) for t in LOADED]
+    edges = row_count(store.read("edges")).select(F.lit("edges").alias("table"), "n_rows", F.lit(0).cast("bigint").alias("contents"))
+    return reduce(DataFrame.unionByName, [*counts, edges])
 
 
 def stream_load(spark, d):
@@ -229,11 +253,18 @@ _PIVOT = "count(*) FILTER (verdict = 'clean') AS clean, count(*) FILTER (verdict
 _ISSUES = """concat_ws(',', CASE WHEN char_coverage < 0.97 THEN 'char_coverage' END, CASE WHEN NOT sequence_ok THEN 'sequence' END, CASE WHEN NOT hierarchy_ok THEN 'hierarchy' END,
  CASE WHEN NOT part_count_ok THEN 'part_count' END, CASE WHEN NOT table_preserved THEN 'table_preserved' END, CASE WHEN {c} >= 0.05 THEN 'conflict_rate' END)"""
 _VERDICT = "CASE WHEN char_coverage < 0.90 THEN 'failed' WHEN {i} = '' THEN 'clean' ELSE 'warn' END"
-_STRATA = "coalesce(loai_van_ban, '') || '|' || coalesce(lang, '')"
 
 
-def _robin(source: str, n: int, seed: int) -> str:
-    return f"""SELECT doc_id, turn FROM (SELECT doc_id, row_number() OVER (PARTITION BY loai_van_ban, lang ORDER BY md5(doc_id || ':{seed}'), doc_id) AS turn, md5({_STRATA} || ':{seed}') AS lot FROM {source}) x ORDER BY turn, lot, doc_id LIMIT {n}"""
+def _robin(source: str, n: int, seed: int, strata: tuple[str, ...] = ("loai_van_ban", "lang")) -> str:
+    label = " || '|' || ".join(f"coalesce({c}, '')" for c in strata)
+    return f"""SELECT doc_id, turn FROM (SELECT doc_id, row_number() OVER (PARTITION BY {', '.join(strata)} ORDER BY md5(doc_id || ':{seed}'), doc_id) AS turn, md5({label} || ':{seed}') AS lot FROM {source}) x ORDER BY turn, lot, doc_id LIMIT {n}"""
+
+
+_SOURCES = {"nodes": "(SELECT * FROM nodes WHERE doc_id IN (SELECT doc_id FROM parse_quality WHERE verdict IN ('clean', 'warn'))) x"}
+
+
+def _row(name: str) -> str:
+    return " || chr(31) || ".join(f"coalesce({c}::varchar, chr(0))" for c in LOADED[name])
 
 
 ORACLES = {
@@ -263,8 +294,13 @@ SELECT doc_id, strftime(try_strptime(s, '%d/%m/%Y'), '%Y-%m-%d') AS parsed, CASE
     "verdict_transition": f"WITH {_Q}, n AS (SELECT doc_id, {_VERDICT.format(i=_ISSUES.format(c='0.0'))} AS after FROM q) SELECT q.verdict AS before, n.after, count(*) AS n FROM q JOIN n ON q.doc_id = n.doc_id GROUP BY 1, 2",
     "first_clean": f"WITH {_Q} SELECT doc_id, n_nodes FROM q WHERE verdict = 'clean' AND n_nodes > 0 ORDER BY doc_id LIMIT 15",
     "stratified_round_robin": _robin("documents", 200, 42),
-    "dev_and_golden": f"WITH a AS ({_robin('documents', 300, 42)}), r AS (SELECT * FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM a)), b AS ({_robin('r', 30, 43)}) SELECT doc_id, 'dev' AS sample FROM a UNION ALL SELECT doc_id, 'golden' FROM b",
+    "dev_and_golden": f"""WITH t AS (SELECT doc_id AS id, min(template_family) AS template FROM parse_quality GROUP BY 1),
+s AS (SELECT d.doc_id, coalesce(nullif(loai_van_ban, ''), 'unknown') AS loai_van_ban, CASE WHEN ngay_ban_hanh IS NULL THEN 'unknown' ELSE (floor(year(ngay_ban_hanh) / 10) * 10)::bigint || 's' END AS decade, template FROM documents d LEFT JOIN t ON d.id = t.id),
+a AS ({_robin('s', SAMPLE_DEV, 42, STRATA)}), r AS (SELECT * FROM s WHERE doc_id NOT IN (SELECT doc_id FROM a)), b AS ({_robin('r', SAMPLE_GOLDEN, 43, STRATA)}) SELECT doc_id, 'dev' AS sample FROM a UNION ALL SELECT doc_id, 'golden' FROM b""",
     "report_cells": f"WITH {_Q} SELECT doc_id, substr(replace(replace(template_family, '|', '/'), chr(10), ' '), 1, 80) AS cell FROM q",
-    "store_load": "SELECT 'documents' AS \"table\", count(*) AS n_rows FROM documents UNION ALL SELECT 'document_relationships', count(*) FROM document_relationships UNION ALL SELECT 'parse_quality', count(*) FROM parse_quality UNION ALL SELECT 'nodes', count(DISTINCT node_id) FROM nodes WHERE doc_id IN (SELECT doc_id FROM parse_quality WHERE verdict IN ('clean', 'warn')) UNION ALL SELECT 'edges', 0",
+    "store_load": " UNION ALL ".join(
+        f"SELECT '{t}' AS \"table\", count(*) AS n_rows, sum(('0x' || substr(md5({_row(t)}), 1, 12))::bigint)::bigint AS contents FROM {_SOURCES.get(t, t)}" for t in LOADED
+    )
+    + " UNION ALL SELECT 'edges', 0, 0",
     "quality_json": f"WITH {_Q} SELECT doc_id, '{{\"verdict\":\"' || verdict || '\",\"n_nodes\":' || n_nodes || '}}' AS json FROM q",
 }

@@ -10,11 +10,13 @@ from codexmill.functions.text import doc_slug, solid, strip
 from codexmill.operators.classify import apply_mask, cascade, class_tier, pattern_tier
 from codexmill.operators.html import clean_text
 from codexmill.operators.profile import class_map, crosstab
+from codexmill.operators.reports import transitions
 from codexmill.operators.sequence import context, heading_signals, mask_quotes, split_parts
 from codexmill.operators.tree import FOOTER, mark_nodes, outline, rank_of, subtree, with_ancestors
 from codexmill.operators.validate import hierarchy_ok, sequence_ok
 from codexmill.plans.profiling import CorpusProfile
 from codexmill.plans.pipeline import classify_blocks, nodes_of, parse_documents
+from codexmill.session import cut
 from codexmill.sources.tables import table
 
 
@@ -50,8 +52,18 @@ def part_ranges(spark: SparkSession, d: str) -> DataFrame:
     return placed.groupBy("doc_id", "part_no").agg(F.min("dom_order").alias("start_block"), F.max("dom_order").alias("end_block"), F.min("part_heading").alias("heading"))
 
 
+# A document with quotations that go on over blocks, once closed and once not; the test tables have none.
+QUOTED = ['Điều 1. a', '1. b "c', '2. d', '3. e" f', '4. g "h" i', 'Điều 2. "j', 'a) k', '5. l', 'b) m', '"Chương I" n', 'Mục 1']
+
+
+def _with_quoted(spark: SparkSession, d: str) -> DataFrame:
+    """Stored blocks and those of a document with odd quotation marks."""
+    quoted = spark.createDataFrame([("quoted", i, t) for i, t in enumerate(QUOTED)], "doc_id string, dom_order int, text string")
+    return _blocks(spark, d, "text").unionByName(quoted)
+
+
 def quote_parity_mask(spark: SparkSession, d: str) -> DataFrame:
-    one = _blocks(spark, d, "text").withColumns({"part_no": F.lit(1), "text": F.translate("text", "“”", '""')})
+    one = _with_quoted(spark, d).withColumns({"part_no": F.lit(1), "text": F.translate("text", "“”", '""')})
     return mask_quotes(one).filter("is_masked").select("doc_id", "dom_order")
 
 
@@ -173,6 +185,33 @@ def profile_class_map(spark: SparkSession, d: str) -> DataFrame:
     return CorpusProfile(_content(spark, d), "doc_id", "content_html").class_map()
 
 
+def offline_judge(before: str, text: str, after: str) -> dict | None:
+    """A judge with fixed rules in place of a model: it answers, abstains, gives a type that is not permitted, and fails."""
+    if text.endswith(";"):
+        return {"node_type": "gach_dau_dong", "number_raw": None, "confidence": 0.6}
+    if text.endswith(":"):
+        return {"node_type": "poem", "number_raw": None, "confidence": 0.9}
+    if not before:
+        raise TimeoutError("no answer")
+    if after.startswith("Điều"):
+        return {"node_type": "muc", "number_raw": str(len(text)), "confidence": 0.55}
+    return None
+
+
+def judged_types(spark: SparkSession, d: str) -> DataFrame:
+    """Classification after a judge was asked about blocks without a type or with a conflict."""
+    blocks = _blocks(spark, d, "text", "classes", "tag", "style_indent", "is_bold")
+    typed = classify_blocks(blocks, class_map(crosstab(blocks)), offline_judge)
+    return typed.select("doc_id", "dom_order", "node_type", "number_raw", "confidence", "classified_by")
+
+
+def judged_transition(spark: SparkSession, d: str) -> DataFrame:
+    """Verdicts before and after documents are validated again with a judge."""
+    content, docs = cut(_content(spark, d)), table(spark, d, "documents")
+    old, new = (parse_documents(content, "doc_id", "content_html", docs, provider=p)[1] for p in (None, offline_judge))
+    return transitions(old, new)
+
+
 def full_tree_with_classes(spark: SparkSession, d: str) -> DataFrame:
     """Trees with the class tier: the map is learned from the same blocks."""
     blocks = _blocks(spark, d, "text", "tag", "classes", "style_indent", "is_bold", "is_table", "html_raw")
@@ -181,7 +220,7 @@ def full_tree_with_classes(spark: SparkSession, d: str) -> DataFrame:
 
 def masked_types(spark: SparkSession, d: str) -> DataFrame:
     """Types that quotation masks take away."""
-    parted = split_parts(_blocks(spark, d, "text")).withColumn("class_type", F.lit(None).cast("string"))
+    parted = split_parts(_with_quoted(spark, d)).withColumn("class_type", F.lit(None).cast("string"))
     masked = apply_mask(mask_quotes(cascade(parted)))
     return masked.filter(F.col("is_masked") & F.col("raw_type").isNotNull()).groupBy("raw_type").agg(F.count(F.lit(1)).alias("n"))
 
@@ -191,7 +230,7 @@ QUERIES = {
     for f in (
         normalize_text, line_blocks, heading_lookahead, parts, part_ranges, quote_parity_mask, pattern_types, classify_cascade, judge_context, footer_lines,
         parent_previous_smaller, text_full_rollup, node_breadcrumbs, sibling_numbers, subtree_prefix, subtree_lookup, outlines, sequence_check, hierarchy_check,
-        slugs, tree_marks, full_tree, full_tree_with_classes, full_parse, corpus_profile, profile_class_map, full_quality, masked_types,
+        slugs, tree_marks, full_tree, full_tree_with_classes, full_parse, corpus_profile, profile_class_map, full_quality, masked_types, judged_types, judged_transition,
     )
 }
 
@@ -204,6 +243,8 @@ _TYPE = r"""CASE WHEN regexp_matches(text, '(?i)^[\s\p{Z}]*Điều[\s\p{Z}]+\p{N
   WHEN regexp_matches(text, '(?i)^[\s\p{Z}]*Mục[\s\p{Z}]+\p{Nd}+') THEN 'muc'
   WHEN regexp_matches(text, '^[\s\p{Z}]*\p{Nd}+[.\-][\s\p{Z}]') THEN 'khoan'
   WHEN regexp_matches(text, '^[\s\p{Z}]*[a-zđ]\)[\s\p{Z}]') THEN 'diem' END"""
+# Profiling, which makes the class map, reads clauses more narrowly.
+_NARROW = _TYPE.replace("[.\\-]", "\\.")
 _NUMBER = r"""CASE WHEN regexp_matches(text, '(?i)^[\s\p{Z}]*Điều[\s\p{Z}]+\p{Nd}+[a-zđ]?[.\s\p{Z}]') THEN regexp_extract(text, '(?i)^[\s\p{Z}]*Điều[\s\p{Z}]+(\p{Nd}+[a-zđ]?)[.\s\p{Z}]', 1)
   WHEN regexp_matches(text, '(?i)^[\s\p{Z}]*Chương[\s\p{Z}]+[IVXLC]+') THEN regexp_extract(text, '(?i)^[\s\p{Z}]*Chương[\s\p{Z}]+([IVXLC]+)', 1)
   WHEN regexp_matches(text, '(?i)^[\s\p{Z}]*Mục[\s\p{Z}]+\p{Nd}+') THEN regexp_extract(text, '(?i)^[\s\p{Z}]*Mục[\s\p{Z}]+(\p{Nd}+)', 1)
@@ -218,17 +259,19 @@ par AS (
   UNION ALL SELECT anc.node_id, par.parent_id, step + 1 FROM anc JOIN par ON anc.up = par.node_id
 )"""
 
+_QUOTED = "SELECT 'quoted', i, t FROM (VALUES " + ", ".join(f"({i}, '{t}')" for i, t in enumerate(QUOTED)) + ") v(i, t)"
+
 ORACLES = {
     "normalize_text": r"""SELECT doc_id, dom_order, regexp_replace(regexp_replace(replace(translate(nfc_normalize(translate(text, chr(160) || chr(8239), '  ')), '“”‘’–—', '""''''--'), '…', '...'), '[ \t]+', ' ', 'g'), '^[\s\p{Z}\x{85}]+|[\s\p{Z}\x{85}]+$', '', 'g') AS clean FROM blocks""",
     "line_blocks": r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents WHERE text IS NOT NULL),
 s AS (SELECT doc_id, line_no, regexp_replace(line, '^[\s\p{Z}\x{85}]+|[\s\p{Z}\x{85}]+$', '', 'g') AS line FROM l)
 SELECT doc_id, line_no, length(line) AS n_chars, length(regexp_replace(line, '[\s\p{Z}\x{85}]+', '', 'g')) AS n_solid FROM s WHERE line <> ''""",
     "heading_lookahead": f"""SELECT doc_id, dom_order FROM (SELECT doc_id, dom_order, {_HEADING} AND max({_MARKER}::int) OVER (PARTITION BY doc_id ORDER BY dom_order ROWS BETWEEN CURRENT ROW AND 5 FOLLOWING) = 1 AS h FROM blocks) x WHERE h""",
-    "quote_parity_mask": """SELECT doc_id, dom_order FROM (SELECT doc_id, dom_order, sum(length(text) - length(replace(translate(text, '“”', '""'), '"', ''))) OVER (PARTITION BY doc_id ORDER BY dom_order ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS n FROM blocks) x WHERE n % 2 = 1""",
+    "quote_parity_mask": f"""SELECT doc_id, dom_order FROM (SELECT doc_id, dom_order, sum(length(text) - length(replace(translate(text, '“”', '""'), '"', ''))) OVER (PARTITION BY doc_id ORDER BY dom_order ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS n FROM (SELECT doc_id, dom_order, text FROM blocks UNION ALL {_QUOTED}) q) x WHERE n % 2 = 1""",
     "pattern_types": f"SELECT doc_id, dom_order, {_TYPE} AS node_type, {_NUMBER} AS number_raw FROM blocks WHERE {_TYPE} IS NOT NULL",
-    "classify_cascade": f"""WITH b AS (SELECT doc_id, dom_order, classes, {_TYPE} AS a, {_NUMBER} AS num FROM blocks),
-e AS (SELECT doc_id, dom_order, a, unnest(classes) AS class, generate_subscripts(classes, 1) AS pos FROM b),
-c AS (SELECT class, a AS type, count(*) AS n FROM e WHERE a IS NOT NULL GROUP BY 1, 2),
+    "classify_cascade": f"""WITH b AS (SELECT doc_id, dom_order, classes, {_TYPE} AS a, {_NARROW} AS p, {_NUMBER} AS num FROM blocks),
+e AS (SELECT doc_id, dom_order, p, unnest(classes) AS class, generate_subscripts(classes, 1) AS pos FROM b),
+c AS (SELECT class, p AS type, count(*) AS n FROM e WHERE p IS NOT NULL GROUP BY 1, 2),
 m AS (SELECT class, arg_min(type, (-n, type)) AS type, max(n) / sum(n) AS purity FROM c GROUP BY 1),
 t AS (SELECT doc_id, dom_order, arg_min(m.type, pos) AS ct FROM e JOIN m ON e.class = m.class AND purity >= 0.7 GROUP BY 1, 2)
 SELECT b.doc_id, b.dom_order, coalesce(a, ct) AS node_type, num AS number_raw,
@@ -286,10 +329,10 @@ ORACLES |= {
 
 _FOOT = r"(regexp_matches(text, '(?i)^[\s\p{Z}]*(TM\.|KT\.|Nơi nhận|\(?Đã ký\)?)') OR regexp_matches(text, '(?i)^[\s\p{Z}]*[^,\n]{2,40},[\s\p{Z}]*ngày[\s\p{Z}]+\p{Nd}{1,2}[\s\p{Z}]+tháng[\s\p{Z}]+\p{Nd}{1,2}[\s\p{Z}]+năm[\s\p{Z}]+\p{Nd}{4}[\s\p{Z}]*\.?[\s\p{Z}]*$'))"
 _MARKED = rf"""{_PARTS}, typed AS (
-  SELECT n.doc_id, n.dom_order, n.part_no, n.part_id, o.text, o.html_raw, {_TYPE.replace('text', 'o.text')} AS a, {_NUMBER.replace('text', 'o.text')} AS num,
+  SELECT n.doc_id, n.dom_order, n.part_no, n.part_id, o.text, o.html_raw, {_TYPE.replace('text', 'o.text')} AS a, NULL::varchar AS ct, {_NUMBER.replace('text', 'o.text')} AS num,
     coalesce(sum(length(o.text) - length(replace(o.text, '"', ''))) OVER (PARTITION BY n.doc_id, n.part_no ORDER BY n.dom_order ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) % 2 = 1 AS masked
   FROM named n JOIN blocks o ON n.doc_id = o.doc_id AND n.dom_order = o.dom_order
-), cl AS (SELECT *, CASE WHEN NOT masked THEN a END AS t, CASE WHEN NOT masked THEN num END AS nr FROM typed),
+), cl AS (SELECT *, CASE WHEN NOT masked THEN coalesce(a, ct) END AS t, CASE WHEN NOT masked THEN num END AS nr FROM typed),
 g AS (SELECT *, t IS NULL AND {_FOOT} AS foot, count(t) OVER w AS grp, last_value(t IGNORE NULLS) OVER w AS lt FROM cl WINDOW w AS (PARTITION BY doc_id, part_no ORDER BY dom_order ROWS UNBOUNDED PRECEDING)),
 nth AS (SELECT *, sum((t IS NULL AND NOT foot)::int) OVER (PARTITION BY doc_id, part_no, grp ORDER BY dom_order) AS np, sum(foot::int) OVER (PARTITION BY doc_id, part_no ORDER BY dom_order) AS nf FROM g),
 roles AS (SELECT *, CASE WHEN t IS NOT NULL THEN 'push' WHEN foot THEN CASE WHEN nf = 1 THEN 'footer' ELSE 'to_footer' END WHEN grp > 0 AND lt = 'dieu' AND np = 1 THEN 'khoan0'
@@ -299,7 +342,8 @@ marked AS (SELECT *, CASE role WHEN 'to_footer' THEN max(CASE WHEN role = 'foote
   FROM ord WINDOW p AS (PARTITION BY doc_id, part_no))"""
 _TREE = rf"""{_MARKED}, made AS (
   SELECT doc_id, part_no, part_id, order_index, text, CASE role WHEN 'khoan0' THEN 'khoan' WHEN 'push' THEN t ELSE role END AS node_type, CASE role WHEN 'khoan0' THEN '0' WHEN 'push' THEN nr END AS number_raw,
-    CASE role WHEN 'khoan0' THEN 0.5 WHEN 'push' THEN 0.8 ELSE 0.6 END::double AS confidence, CASE role WHEN 'khoan0' THEN 'style' ELSE 'regex' END AS classified_by
+    CASE role WHEN 'khoan0' THEN 0.5 WHEN 'push' THEN CASE WHEN a = ct THEN 0.95 WHEN a IS NOT NULL AND ct IS NOT NULL THEN 0.4 WHEN a IS NOT NULL THEN 0.8 ELSE 0.7 END ELSE 0.6 END::double AS confidence,
+    CASE WHEN role = 'khoan0' THEN 'style' WHEN role = 'push' AND a IS NULL THEN 'css_class' ELSE 'regex' END AS classified_by
   FROM marked WHERE role IN ('push', 'khoan0', 'footer', 'preamble')
 ), lev AS (SELECT *, {_RANK} AS r, CASE WHEN node_type = 'diem' THEN lower(number_raw) ELSE number_raw END AS number_norm FROM made),
 pa AS (SELECT a.doc_id, a.part_no, a.order_index, max(b.order_index) AS up FROM lev a LEFT JOIN lev b ON a.doc_id = b.doc_id AND a.part_no = b.part_no AND b.order_index < a.order_index AND b.r < a.r GROUP BY 1, 2, 3),
@@ -316,11 +360,26 @@ tree AS (
 ), tx AS (SELECT doc_id, part_no, target AS order_index, string_agg(text, chr(10) ORDER BY dom_order) AS text, string_agg(html_raw, '' ORDER BY dom_order) AS html_raw FROM marked GROUP BY 1, 2, 3),
 fu AS (SELECT c.doc_id, c.part_no, c.to_node AS order_index, string_agg(tx.text, chr(10) ORDER BY c.order_index) AS text_full FROM (SELECT doc_id, part_no, order_index, unnest(chain) AS to_node FROM tree) c JOIN tx USING (doc_id, part_no, order_index) GROUP BY 1, 2, 3)"""
 
-ORACLES |= {
-    "tree_marks": f"WITH {_MARKED} SELECT doc_id, dom_order, part_no, role, target FROM marked",
-    "masked_types": f"WITH {_MARKED} SELECT a AS raw_type, count(*) AS n FROM marked WHERE masked AND a IS NOT NULL GROUP BY 1",
-    "full_tree": f"""WITH {_TREE}
+_NODES = """
 SELECT tree.node_id, it.doc_id, it.part_no, it.part_id, tree.parent_id, tree.path, tree.depth, it.order_index, it.node_type, it.number_raw, it.number_norm,
   CASE WHEN it.node_type IN ('dieu', 'chuong', 'muc', 'tieu_muc', 'phan') THEN it.text END AS heading, tx.text, fu.text_full, tree.breadcrumb, tx.html_raw, it.confidence, it.classified_by
-FROM it JOIN tree USING (doc_id, part_no, order_index) JOIN tx USING (doc_id, part_no, order_index) JOIN fu USING (doc_id, part_no, order_index)""",
+FROM it JOIN tree USING (doc_id, part_no, order_index) JOIN tx USING (doc_id, part_no, order_index) JOIN fu USING (doc_id, part_no, order_index)"""
+_JOINED = "JOIN blocks o ON n.doc_id = o.doc_id AND n.dom_order = o.dom_order"
+_BOTH = f"RECURSIVE both_blocks AS (SELECT doc_id, dom_order, text, html_raw FROM blocks UNION ALL SELECT *, NULL FROM ({_QUOTED}) q), "
+# The class tier: the type of the first class that is pure enough.
+_CLASSED = f"""RECURSIVE tokens AS (SELECT doc_id, dom_order, {_NARROW} AS p, unnest(classes) AS class, generate_subscripts(classes, 1) AS pos FROM blocks),
+learned AS (SELECT class, arg_min(type, (-n, type)) AS type, max(n) / sum(n) AS purity FROM (SELECT class, p AS type, count(*) AS n FROM tokens WHERE p IS NOT NULL GROUP BY 1, 2) c GROUP BY 1),
+tiers AS (SELECT doc_id, dom_order, arg_min(learned.type, pos) AS ct FROM tokens JOIN learned ON tokens.class = learned.class AND purity >= 0.7 GROUP BY 1, 2), """
+
+ORACLES |= {
+    "tree_marks": f"WITH {_MARKED} SELECT doc_id, dom_order, part_no, role, target FROM marked",
+    "masked_types": f"WITH {_MARKED.replace('blocks', 'both_blocks').replace('RECURSIVE ', _BOTH, 1)} SELECT a AS raw_type, count(*) AS n FROM marked WHERE masked AND a IS NOT NULL GROUP BY 1",
+    "full_tree": f"WITH {_TREE}{_NODES}",
+    "full_tree_with_classes": f"WITH {_TREE.replace('RECURSIVE ', _CLASSED, 1).replace('NULL::varchar AS ct', 'w.ct').replace(_JOINED, _JOINED + ' LEFT JOIN tiers w ON n.doc_id = w.doc_id AND n.dom_order = w.dom_order')}{_NODES}",
+    "judged_types": rf"""WITH {_MARKED.replace('RECURSIVE ', _CLASSED, 1).replace('NULL::varchar AS ct', 'w.ct').replace(_JOINED, _JOINED + ' LEFT JOIN tiers w ON n.doc_id = w.doc_id AND n.dom_order = w.dom_order')},
+asked AS (SELECT *, coalesce(substr(lag(text) OVER p, 1, 200), '') AS b4, substr(text, 1, 400) AS sh, coalesce(substr(lead(text) OVER p, 1, 200), '') AS af, t IS NULL OR (NOT masked AND coalesce(a <> ct, false)) AS open FROM cl WINDOW p AS (PARTITION BY doc_id, part_no ORDER BY dom_order)),
+said AS (SELECT *, CASE WHEN NOT open THEN 'none' WHEN sh LIKE '%;' THEN 'dash' WHEN sh LIKE '%:' OR b4 = '' THEN 'none' WHEN af LIKE 'Điều%' THEN 'muc' ELSE 'none' END AS answer FROM asked)
+SELECT doc_id, dom_order, CASE answer WHEN 'dash' THEN 'gach_dau_dong' WHEN 'muc' THEN 'muc' ELSE t END AS node_type, CASE answer WHEN 'dash' THEN NULL WHEN 'muc' THEN length(sh)::varchar ELSE nr END AS number_raw,
+  CASE answer WHEN 'dash' THEN 0.6 WHEN 'muc' THEN 0.55 ELSE CASE WHEN t IS NULL THEN 0.0 WHEN a = ct THEN 0.95 WHEN a IS NOT NULL AND ct IS NOT NULL THEN 0.4 WHEN a IS NOT NULL THEN 0.8 ELSE 0.7 END END::double AS confidence,
+  CASE WHEN answer <> 'none' THEN 'llm' WHEN t IS NULL THEN NULL WHEN a IS NULL THEN 'css_class' ELSE 'regex' END AS classified_by FROM said""",
 }
