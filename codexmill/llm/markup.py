@@ -1,19 +1,25 @@
 """Problem 2: markup residue in text documents, converted to clean text.
 
 Method: tag-path ratios. A text is read into segments, each with its root-to-leaf tag
-path. For every path the length of text, the punctuation and the length of link text are
-summed; the length and punctuation ratios (per segment) are smoothed over neighbouring
-paths in order of first appearance, fused by multiplication, and paths below the
-threshold are dropped as chrome when most of their text is links. Paths are judged as
-blocks: inline elements share the verdict of the block they stand in, and of a path below
-the threshold only blocks without a word outside links are dropped. Paths that carry
-structure (headings, list items, table cells, code, formulas) always stay.
-
-Plain text with leftovers of HTML, Markdown, wiki or LaTeX markup: patterns find the
-constructs, each noted as a path such as ``html:b`` or ``latex:math``, and whether one occurs
-gives the kinds; a ratio cannot, since one short tag in a long text is a case. For the clean
-text the lines are the blocks: bars of links (two or more, and no word outside them) are one
-path, other lines another, and the same ratios and threshold decide whether the bars stay.
+path. For every path the length of text, the punctuation, the length of link text and the
+markup signs are summed; the ratios of each path are smoothed over neighbouring paths in
+order of first appearance, fused by multiplication and held against a threshold. Two
+decisions are made of them, the same for HTML and for plain text with leftover markup.
+
+Residue: of a path the share of what a reader should see (text against markup signs),
+smoothed, times its share of word characters. A construct that is nothing but signs scores
+0, a line of text near 1; what only looks like a construct (a name in angle brackets, a path with
+backslashes) shows its letters and scores as text. Paths below ``RESIDUE`` are residue:
+they are taken away or turned into structure, and their kinds are the rows of ``p2_found``. A path stands for one
+construct of one kind, so a single tag in a long text is judged by its own ratio and is not lost in the text around it.
+
+Content: length and punctuation per segment, times a factor for paths through an element
+that its name or class calls navigation or footer. Paths below ``THRESHOLD`` of the mean are chrome and go, unless they
+hold plain words outside links and nothing calls them chrome: such text always stays. Paths are judged as
+blocks: inline elements share the verdict of the block they stand in, and of a path of links only blocks without a word
+outside links are dropped. Paths that carry structure (headings, list items, table cells, code, formulas) stay
+unless they are called chrome. In plain text the lines are the blocks: bars of links (two or more, and no word
+outside them) are one path, other lines another.
 
 Defined results
 * Headings stand on their own line after as many ``#`` as their level; list items start with
@@ -38,11 +44,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from codexmill.operators.html import parse
+from codexmill.operators.html import Tokens, parse
 
 KINDS = ("html", "markdown", "wiki", "latex")
 #: Share of the mean score that a path must reach, and neighbours on each side that smooth it.
 THRESHOLD, RADIUS = 0.1, 2
+#: Share of visible, worded text that a path must reach to be text.
+RESIDUE = 0.3
 STRUCTURAL = ("h1", "h2", "h3", "h4", "h5", "h6", "li", "td", "th", "pre", "code", "math", "formula")
 # Elements that start a line, and elements that never hold content.
 LINE_TAGS = frozenset("p div section article header footer main aside nav ul ol li table tr thead tbody h1 h2 h3 h4 h5 h6 pre blockquote dl dt dd center figure form hr caption".split())
@@ -62,52 +70,75 @@ LATEX_BARE = frozenset(
 PUNCTUATION = re.compile(r"[^\w\s]")
 # Elements that make a block path; all others are inline.
 BLOCK_TAGS = LINE_TAGS | frozenset(STRUCTURAL)
+# Elements and words of a class or id that call a part of a page chrome, and the factor of its paths.
+CHROME_ELEMENTS = ("footer", "aside")
+CHROME_WORDS = frozenset("nav navbar navigation menu breadcrumb breadcrumbs footer sidebar pager pagination toolbar share copyright banner".split())
+CHROME_FACTOR = 0.01
 
 
 def block_of(path: str) -> str:
     """The path without its inline elements."""
-    return "/".join(x for x in path.split("/") if not x or x in BLOCK_TAGS)
+    return "/".join(x for x in path.split("/") if not x or x.split(".", 1)[0] in BLOCK_TAGS)
+
+
+def is_called_chrome(path: str) -> bool:
+    """Whether an element of the path is chrome by name or by a word of its class, which stands after a full stop."""
+    return any("." in x or x in CHROME_ELEMENTS for x in path.split("/"))
+
+
+_WEIGHT = [math.exp(-k * k / 2) for k in range(RADIUS + 1)]
+
+
+def smooth(x: list[float], radius: int = RADIUS) -> list[float]:
+    """Each value with its neighbours on both sides, nearer ones weighing more."""
+    weight = _WEIGHT if radius == RADIUS else [math.exp(-k * k / 2) for k in range(radius + 1)]
+    out = []
+    for i in range(len(x)):
+        near = [(weight[abs(i - j)], x[j]) for j in range(max(0, i - radius), min(len(x), i + radius + 1))]
+        out.append(sum(w * v for w, v in near) / sum(w for w, _ in near))
+    return out
 
 
 class Paths:
-    """Sums for each tag path of one text."""
+    """Sums for each tag path of one text: segments, characters, punctuation, link characters and markup signs."""
 
     def __init__(self) -> None:
         self.sums: dict[str, list[float]] = {}
 
-    def add(self, path: str, text: str, link: bool = False) -> None:
-        s = self.sums.setdefault(path, [0, 0, 0, 0])
+    def add(self, path: str, text: str, link: bool = False, signs: int = 0) -> None:
+        s = self.sums.setdefault(path, [0, 0, 0, 0, 0])
         n = len(text.strip())
         s[0] += 1
         s[1] += n
         s[2] += len(PUNCTUATION.findall(text))
         s[3] += n if link else 0
+        s[4] += signs
+
+    def residue(self, threshold: float = RESIDUE, radius: int = RADIUS) -> set[str]:
+        """Paths that a reader should not see: what they show is too little for their signs."""
+        shown = [s[1] / (s[1] + s[4]) if s[1] + s[4] else 1.0 for s in self.sums.values()]
+        worded = [1 - s[2] / (s[1] + 1) for s in self.sums.values()]
+        # A path is lifted by the text beside it, but not above its own ratio.
+        fused = [min(a, b) * c for a, b, c in zip(smooth(shown, radius), shown, worded)]
+        return {p for (p, s), score in zip(self.sums.items(), fused) if s[4] and score < threshold}
 
     def content(self, threshold: float = THRESHOLD, radius: int = RADIUS) -> set[str]:
         """Paths that hold content: smoothed and fused ratios of their blocks reach ``threshold`` of the mean."""
         blocks: dict[str, list[float]] = {}
         for p, v in self.sums.items():
-            s = blocks.setdefault(block_of(p), [0, 0, 0, 0])
+            s = blocks.setdefault(block_of(p), [0, 0, 0, 0, 0])
             s[:] = [a + b for a, b in zip(s, v)]
-        weight = [math.exp(-k * k / 2) for k in range(radius + 1)]
-
-        def smooth(x: list[float]) -> list[float]:
-            out = []
-            for i in range(len(x)):
-                near = [(weight[abs(i - j)], x[j]) for j in range(max(0, i - radius), min(len(x), i + radius + 1))]
-                out.append(sum(w * v for w, v in near) / sum(w for w, _ in near))
-            return out
-
-        length = smooth([s[1] / s[0] for s in blocks.values()])
-        marks = smooth([(s[2] + 1) / s[0] for s in blocks.values()])
+        length = smooth([s[1] / s[0] for s in blocks.values()], radius)
+        marks = smooth([(s[2] + 1) / s[0] for s in blocks.values()], radius)
         own = [s[1] * (s[2] + 1) / s[0] ** 2 for s in blocks.values()]
+        factor = [CHROME_FACTOR if is_called_chrome(b) else 1.0 for b in blocks]
         # A short block beside a long one is lifted by smoothing, but not above its own ratios.
-        fused = [min(a * b, c) for a, b, c in zip(length, marks, own)]
+        fused = [min(a * b, c) * f for a, b, c, f in zip(length, marks, own, factor)]
         level = threshold * (sum(fused) / len(fused) if fused else 0)
         keep = set()
-        for (block, (_, chars, _, links)), score in zip(blocks.items(), fused):
+        for (block, s), score, f in zip(blocks.items(), fused, factor):
             structural = any(x in STRUCTURAL for x in block.split("/"))
-            if structural or links <= chars / 2 or score >= level:
+            if score >= level or (f == 1.0 and (structural or s[3] <= s[1] / 2)):
                 keep.add(block)
         return {p for p in self.sums if block_of(p) in keep}
 
@@ -129,6 +160,14 @@ def _math(e) -> str:
 _SPACE = re.compile(r"[^\S\n]+")
 
 
+def _chrome_word(e) -> str:
+    """``.`` and the word of an element's class or id that calls it chrome, or nothing."""
+    if "class" not in e.raw and "id" not in e.raw:
+        return ""
+    words = re.split(r"[\s_-]+", f"{e.attrs.get('class', '')} {e.attrs.get('id', '')}".lower())
+    return next((f".{w}" for w in words if w in CHROME_WORDS), "")
+
+
 def html_segments(source: str) -> list[tuple[str, str, str, bool]]:
     """(path, role, text, is link) of an HTML source in order; role ``line`` marks the start of a line."""
     out: list[tuple[str, str, str, bool]] = []
@@ -159,7 +198,7 @@ def html_segments(source: str) -> list[tuple[str, str, str, bool]]:
                 formula = e.text()
             out.append((f"{path}/math", "formula", formula, False))
             continue
-        below = f"{path}/{tag}" if tag and ":" not in tag else path
+        below = f"{path}/{tag.replace('.', '')}{_chrome_word(e)}" if tag and ":" not in tag else path
         if tag in LINE_TAGS:
             out.append((below, "line", "", False))
             stack.append((None, below, "", False, True))
@@ -186,7 +225,7 @@ def html_paths(segments: list[tuple[str, str, str, bool]]) -> Paths:
 
 
 def _chrome(segments: list[tuple[str, str, str, bool]]) -> set[int]:
-    """Places of the segments to drop: on paths below the threshold, blocks without a word outside links."""
+    """Places of the segments to drop: on paths below the threshold, blocks that are called chrome or have no word outside links."""
     keep = html_paths(segments).content()
     out: set[int] = set()
     block: list[int] = []
@@ -194,7 +233,7 @@ def _chrome(segments: list[tuple[str, str, str, bool]]) -> set[int]:
         if role in ("text", "pre", "formula"):
             block.append(i)
         elif role != "gap" and text != "\n":  # a br does not end a block
-            if not any(segments[k][0] in keep or (not segments[k][3] and re.search(r"\w", segments[k][2])) for k in block):
+            if not any(segments[k][0] in keep or (not segments[k][3] and not is_called_chrome(segments[k][0]) and re.search(r"\w", segments[k][2])) for k in block):
                 out.update(block)
             block = []
     return out
@@ -210,7 +249,7 @@ def clean_html(source: str | None) -> str | None:
     line, cells, verbatim = "", 0, False
     for place, (path, role, text, _) in enumerate(segments):
         if role == "line":
-            if re.search("/t[dh](?:/|$)", path):  # inside a cell a line is a blank
+            if re.search("/t[dh](?:[./]|$)", path):  # inside a cell a line is a blank
                 line += "" if line.endswith((" ", "| ")) or not line else " "
                 continue
             if line.strip():
@@ -242,154 +281,310 @@ def clean_html(source: str | None) -> str | None:
 _SENTINEL = re.compile("\ue000(\\d+)\ue001")
 _FENCE = re.compile(r"^[ \t]*(```+|~~~+)[^\n`]*\n(.*?)(?:^[ \t]*\1[ \t]*$|\Z)", re.MULTILINE | re.DOTALL)
 _INLINE_CODE = re.compile(r"(?<!`)`([^`\n]+)`(?!`)")
-_COMMENT = re.compile(r"<!--.{0,20000}?-->|<!DOCTYPE[^>]*>|<!\[CDATA\[|\]\]>", re.DOTALL | re.IGNORECASE)
-_TAG = re.compile(r"<(/?)([A-Za-z][\w:-]*)(\s+[^<>=]*=[^<>]*|(?:\s+(?:disabled|checked|selected|nowrap|noshade|hidden|required|readonly|multiple))*\s*)/?>")
+_SECTION = re.compile(r"<!\[CDATA\[|\]\]>")
+# Attributes without a value.
+_FLAGS = frozenset("disabled checked selected nowrap noshade hidden required readonly multiple".split())
 _ENTITY = re.compile(r"&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});")
-_MATH = re.compile(r"\\\((.{1,4000}?)\\\)|\\\[(.{1,4000}?)\\\]|(?<![\\$\w])\$\$([^$]{1,4000}?)\$\$(?!\$)|(?<![\\$\w])\$(?=[^\s$])([^$\n]{0,2000}?[\\^_={][^$\n]{0,2000}?)(?<=[^\s$\\])\$(?![\d$])", re.DOTALL)
+_NESTED_AMP = re.compile(r"&(?:amp;)+(?=(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});)")
+_MATH_BLOCK = re.compile(r"(?<![\\$\w])\$\$([^$]+)\$\$(?!\$)")
+_MATH_SIGN = re.compile(r"[\\^_={]")
 _ENV = re.compile(r"\\(begin|end)\s*\{([A-Za-z]+\*?)\}(?:\[[^\]\n]*\])?(?:\{[lcr|]+\})?")
-_COMMAND = re.compile(r"(?<![:\\])\\([A-Za-z]+)\*?(?:\[[^\]\n]*\])?\{([^{}]*)\}")
+_COMMAND = re.compile(r"(?<![:\\])\\([A-Za-z]+)\*?(?:\[[^\]\n]*\])?\{|[{}]")
 _BARE = re.compile(r"(?<![\w:\\])\\([A-Za-z]+)(?![A-Za-z{])")
-_WIKI_TABLE = re.compile(r"^[ \t]*\{\|[^\n]*\n(.{0,50000}?)^[ \t]*\|\}", re.MULTILINE | re.DOTALL)
+_BRACES = re.compile(r"\{\{|\}\}|[{}]")
 _WIKI_LINK = re.compile(r"\[\[([^\[\]\n]+)\]\]")
-_WIKI_TEMPLATE = re.compile(r"\{\{([^{}]+)\}\}")
-_WIKI_HEAD = re.compile(r"^[ \t]*(={2,6})[ \t]*([^=\n].*?)[ \t]*\1[ \t]*$", re.MULTILINE)
-_WIKI_QUOTE = re.compile(r"('{2,5})(?=[^\s'])([^\n]{0,2000}?[^\s'])\1(?!')")
 _WIKI_OPEN = re.compile(r"(?<!')'{3,5}(?!')")
 _WIKI_URL = re.compile(r"(?<!\[)\[(?:https?|ftp)://[^\s\]]+(?:\s+([^\]\n]+))?\](?!\()")
-_MD_HEAD = re.compile(r"^[ ]{0,3}(#{1,6})[ \t]+(?=[^\n]*[^\W\d_])(\S.*?)[ \t]*#*[ \t]*$", re.MULTILINE)
+_MD_HEAD = re.compile(r"^[ ]{0,3}(#{1,6})[ \t]+(?=[^\n]*[^\W\d_])(\S[^\n]*)$", re.MULTILINE)
 _MD_QUOTE = re.compile(r"^[ ]{0,3}(?:>[ \t]?)+(?=\S)", re.MULTILINE)
 _MD_LINK = re.compile(r"!?\[([^\[\]\n]*)\]\(((?:[#/.]|https?:|ftp:|mailto:|www\.|[\w-]+[./])[^()\s]*(?:\s+\"[^\"\n]*\")?)\)")
-_MD_STRONG = re.compile(r"(?<![*\w\\])(\*\*\*?)(?=[^\s*])([^\n]{0,2000}?[^\s*])\1(?!\*)|(?<![_\w\\])(___?)(?=[^\s_])([^\n]{0,2000}?[^\s_])\3(?![_\w])")
 _MD_STRIKE = re.compile(r"~~(?=[^\s~])([^~\n]*?[^\s~])~~")
 _MD_EM = re.compile(r"(?:(?<=\s)|(?<=^))\*(?=[^\W_])([^*\n()]*[^\s*()])\*(?=[\s.,;:!?]|$)|(?:(?<=\s)|(?<=^))_(?=[^\W_])([^_\n]*[^\s_])_(?=[\s.,;:!?]|$)", re.MULTILINE)
-_MD_TABLE = re.compile(r"^[ \t]*\|?.*\|.*\n[ \t]*\|?[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)+\|?[ \t]*$", re.MULTILINE)
-_MD_TABLE_ROW = re.compile(r"^[ \t]*\|(.+)\|[ \t]*$", re.MULTILINE)
-_MD_RULE = re.compile(r"^[ \t]*\|?[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)+\|?[ \t]*\n?", re.MULTILINE)
+_MD_RULE = re.compile(r"[ \t]*\|?[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)+\|?[ \t]*")
+_MD_TABLE_ROW = re.compile(r"^[ \t]*\|([^\n]+)\|[ \t]*$", re.MULTILINE)
 
 #: A text without any of these signs has no markup; the JVM passes it by.
 SUSPECT = r"[<&`\\$\[{~*_#>|]|''|=="
 
 
 _LINKS = re.compile(rf"(?<!!){_MD_LINK.pattern.removeprefix('!?')}|{_WIKI_LINK.pattern}|{_WIKI_URL.pattern}|<a\s(?P<open>[^<>]*)>(?P<inner>(?:(?!</?a[\s>])[^\n])*)</a\s*>", re.IGNORECASE)
+_SHORT_TAG = re.compile(r"<(/?)([A-Za-z][\w:-]*)(\s[^<>=]*=[^<>]*|\s*/?)>")
 #: Lines that carry structure in plain text: headings, list items, table rows.
 _STRUCTURED = re.compile(r"[ \t]*(?:#{1,6}[ \t]|={2,6}|[-*+•][ \t]|\d+[.)]|[|!]|\{\||\\item\b|<(?:li|t[dhr]|h[1-6])\b)", re.IGNORECASE)
 
 
-def _without_chrome(text: str) -> str:
-    """The text without its bars of links, if the ratios call them chrome."""
-    fenced = [m.span() for m in _FENCE.finditer(text)]
-    paths, lines, at = Paths(), [], 0
+def _line_paths(text: str) -> list[tuple[str, str, list[str]]]:
+    """(path, line, texts of its links if it is a bar of links) of the lines of a plain text."""
+    fenced = [m.span() for m in _FENCE.finditer(text)] if "```" in text or "~~~" in text else []
+    out, at, f = [], 0, 0
     for line in text.split("\n"):
-        code = any(a <= at < b for a, b in fenced)
+        while f < len(fenced) and fenced[f][1] <= at:
+            f += 1
+        code = f < len(fenced) and fenced[f][0] <= at
         at += len(line) + 1
         found = [] if code else list(_LINKS.finditer(line))
         links = [m["inner"] or next((g for g in m.groups() if g), "") for m in found if m["open"] is None or "href" in m["open"].lower()]
-        rest = _TAG.sub(lambda m: "" if m[2].lower() in HTML_NAMES else m[0], _LINKS.sub("", line)) if links else line
+        rest = _SHORT_TAG.sub(lambda m: "" if m[2].lower() in HTML_NAMES else m[0], _LINKS.sub("", line)) if links else line
         bar = len(links) == len(found) > 1 and not re.search(r"\w", rest) and not _STRUCTURED.match(line)
-        path = "/pre" if code else "/li" if _STRUCTURED.match(line) else "/nav" if bar else "/p"
+        out.append(("/pre" if code else "/li" if _STRUCTURED.match(line) else "/nav" if bar else "/p", line, links if bar else []))
+    return out
+
+
+def _without_chrome(lines: list[tuple[str, str, list[str]]]) -> str:
+    """The text without its bars of links, if the ratios call them chrome."""
+    paths = Paths()
+    for path, line, links in lines:
         if line.strip():
-            paths.add(path, "".join(links) if bar else line, bar)
-        lines.append((path, line))
+            paths.add(path, "".join(links) if links else line, bool(links))
     keep = paths.content()
-    return "\n".join(line for path, line in lines if path in keep or path != "/nav")
+    return "\n".join(line for path, line, _ in lines if path in keep or path != "/nav")
 
 
 def clean_mixed(text: str | None) -> tuple[str | None, list[str], dict[str, list[float]]]:
-    """Clean text, kinds of markup and tag-path sums of a plain text with leftover markup."""
+    """Clean text, kinds of markup and tag-path sums of a plain text with leftover markup.
+
+    Paths of lines start with ``/``; paths of constructs are ``kind:construct``. The kinds are those of the residue.
+    """
     if not text:
         return text, [], {}
-    clean, kinds, sums = _convert(text)
-    if any(p in sums for p in ("html:a", "markdown:a", "wiki:a")):
-        lean = _without_chrome(text)
-        if lean != text:
-            clean = _convert(lean)[0] if lean else lean
-    return clean, kinds, sums
+    clean, paths = _convert(text, frozenset())
+    residue = paths.residue()
+    alike = frozenset(p for p in residue if paths.sums[p][1])  # what shows letters, yet too few among all the signs
+    if alike:
+        clean, _ = _convert(text, alike)
+    if residue & {"html:a", "markdown:a", "wiki:a"}:
+        lines = _line_paths(text)
+        lean = _without_chrome(lines)
+        if len(lean) != len(text):
+            clean = _convert(lean, alike)[0] if lean else lean
+    found = {p.split(":", 1)[0] for p in residue if not p.startswith("/")}
+    return clean, [k for k in KINDS if k in found], paths.sums
+
+
+def _balanced(s: str, token: re.Pattern, opens, convert, closers: dict[str, str], strict: bool = False) -> str:
+    """``s`` with its nested groups rewritten from the inside out, in one pass over a stack.
+
+    ``opens(m)``: the kind of an opener, None for a closer. A closer ends the group on top of the stack if
+    ``closers`` has that group's kind for it. ``convert(kind, opener, inner)`` gives the new text, or None to leave the group; with
+    ``strict`` a group around one that is left is left as well.
+    """
+    out: list[str] = []
+    stack: list[list] = []  # kind, opener, place in out, whether a group inside was left
+    at = 0
+    for m in token.finditer(s):
+        out.append(s[at : m.start()])
+        at = m.end()
+        kind = opens(m)
+        if kind is not None:
+            stack.append([kind, m, len(out), False])
+            out.append(m[0])
+            continue
+        done = None
+        if stack and stack[-1][0] in closers[m[0]]:
+            kind, opener, k, spoiled = stack.pop()
+            if not (strict and spoiled):
+                done = convert(kind, opener, "".join(out[k + 1 :]))
+            if done is not None:
+                out[k:] = [done]
+        if done is None:
+            out.append(m[0])
+            if stack:
+                stack[-1][3] = True
+    out.append(s[at:])
+    return "".join(out)
+
+
+def _spans(line: str, sign: str, lengths: range, before: str, after: str) -> list[tuple[int, int, int]]:
+    """(start, end, length of the delimiter) of the spans between equal runs of ``sign`` in a line, nested ones too.
+
+    An opener has a text behind it and no character of ``before`` in front; a closer has a text in front of it and no
+    character of ``after`` behind. The nearest closer of the same length ends a span; what opened inside and is still open opens nothing.
+    """
+    out, waiting = [], []
+    for m in re.finditer(rf"{re.escape(sign)}{{2,}}", line):
+        a, b = m.span()
+        n = b - a
+        if n not in lengths:
+            continue
+        left, right = line[a - 1] if a else "", line[b] if b < len(line) else ""
+        if left and not left.isspace() and not (right and re.match(after, right)):
+            k = next((k for k in range(len(waiting) - 1, -1, -1) if waiting[k][1] - waiting[k][0] == n), -1) if any(w[1] - w[0] == n for w in waiting) else -1
+            if k >= 0:
+                out.append((waiting[k][0], b, n))
+                del waiting[k:]
+                continue
+        if right and not right.isspace() and not (left and re.match(before, left)) and all(w[1] - w[0] != n for w in waiting):
+            waiting.append((a, b))
+    return out
+
+
+def _unwrap(s: str, sign: str, lengths: range, before: str, after: str, note) -> str:
+    """``s`` without the delimiters of spans; ``note(length)`` is told of each."""
+    lines = s.split("\n")
+    for i, line in enumerate(lines):
+        if sign * 2 not in line:
+            continue
+        spans = _spans(line, sign, lengths, before, after)
+        if spans:
+            gone = sorted([(a, a + n) for a, _, n in spans] + [(b - n, b) for _, b, n in spans])
+            at, kept = 0, []
+            for a, b in gone:
+                kept.append(line[at:a])
+                at = b
+            lines[i] = "".join([*kept, line[at:]])
+            for _, _, n in spans:
+                note(n)
+    return "\n".join(lines)
+
+
+def _cut_spans(s: str, spans: list[tuple[int, int, str]]) -> str:
+    """``s`` with each (start, end, text) replaced; spans ascend and do not overlap."""
+    out, at = [], 0
+    for a, b, new in spans:
+        out += [s[at:a], new]
+        at = b
+    return "".join([*out, s[at:]])
+
+
+def _between(s: str, opener: str, closer: str, least: int = 1) -> list[tuple[int, int, str]]:
+    """(start, end, inner) from each opener to the nearest closer, read once."""
+    out, at = [], 0
+    while (a := s.find(opener, at)) >= 0 and (b := s.find(closer, a + len(opener) + least)) >= 0:
+        at = b + len(closer)
+        out.append((a, at, s[a + len(opener) : b]))
+    return out
 
 
-def _convert(text: str) -> tuple[str, list[str], dict[str, list[float]]]:
-    """``clean_mixed`` without a choice of lines."""
+def _inline_math(s: str) -> list[tuple[int, int, str]]:
+    """``$...$`` in a line with a sign of mathematics, no blank at its ends, and no digit behind it, as in amounts of money."""
+    signs, out, k = [m.start() for m in re.finditer(r"\$", s)], [], 0
+    while k + 1 < len(signs):
+        a, b = signs[k], signs[k + 1]
+        inner = s[a + 1 : b]
+        left, right = s[a - 1] if a else "", s[b + 1] if b + 1 < len(s) else ""
+        fits = inner and not inner[0].isspace() and not inner[-1].isspace() and inner[-1] != "\\" and "\n" not in inner and _MATH_SIGN.search(inner)
+        if fits and not (left and (left in "\\$" or left == "_" or left.isalnum())) and not (right and (right == "$" or right.isdigit())):
+            out.append((a, b + 1, inner))
+            k += 2
+        else:
+            k += 1
+    return out
+
+
+def _tags(s: str, note, alike: frozenset[str]) -> str:
+    """``s`` without comments and tags; attributes may be of any length and hold angle brackets in quotes."""
+    tokens, out, at, look = Tokens(s), [], 0, 0
+    while token := tokens.next(look):
+        start, end, name, closing, raw = token
+        look = end
+        if not name:
+            if s.startswith("<!--", start) and s[end - 3 : end] == "-->" or s[start : start + 9].upper() == "<!DOCTYPE":
+                note("html:comment", end - start)
+                out.append(s[at:start])
+                at = end
+            else:
+                look = start + 1
+            continue
+        low = name.lower()
+        own = raw.strip().rstrip("/").strip()
+        if own and (not raw[0].isspace() or ("=" not in own and not all(w.lower() in _FLAGS for w in own.split()))):
+            look = start + 1
+            continue
+        if low not in HTML_NAMES:
+            path = f"html:{low}"
+            if not closing:
+                note(path, 2 + own.count("=") * 3, shown=name + "".join(c for c in own if c.isalnum()))
+            if path not in alike:
+                look = start + 1
+                continue
+        else:
+            note(f"html:{low}", end - start, link=low == "a")
+        out += [s[at:start], "\n" if low == "br" or (closing and low in LINE_TAGS) else ""]
+        at = end
+    return "".join([*out, s[at:]])
+
+
+def _convert(text: str, alike: frozenset[str]) -> tuple[str, Paths]:
+    """The text with its constructs turned into structure or taken away, and the sums of its paths.
+
+    Look-alikes (unknown names) are noted with the letters they show and go only if their path is in ``alike``.
+    """
     paths, kept = Paths(), []
+    for line in text.split("\n"):
+        if line.strip():
+            paths.add("/li" if _STRUCTURED.match(line) else "/p", line)
 
-    def note(path: str, inner: str = "", link: bool = False) -> str:
-        paths.add(path, inner, link)
+    def note(path: str, signs: int, shown: str = "", link: bool = False) -> None:
+        paths.add(path, shown, link, signs)
+
+    def take(path: str, m: re.Match, inner: str, link: bool = False) -> str:
+        note(path, len(m[0]) - len(inner), link=link)
         return inner
 
-    def keep(path: str, inner: str) -> str:
-        note(path, inner)
+    def keep(path: str, signs: int, inner: str) -> str:
+        note(path, signs)
         kept.append(inner)
         return f"\ue000{len(kept) - 1}\ue001"
 
     s = text
     if "`" in s or "~~~" in s:
-        s = _FENCE.sub(lambda m: keep("markdown:pre/code", m[2].rstrip("\n")), s)
-        s = _INLINE_CODE.sub(lambda m: keep("markdown:code", m[1]), s)
+        s = _FENCE.sub(lambda m: keep("markdown:pre/code", len(m[0]) - len(m[2]), m[2].rstrip("\n")), s)
+        s = _INLINE_CODE.sub(lambda m: keep("markdown:code", 2, m[1]), s)
     if "<" in s or "&" in s:
-        for _ in range(3):  # escaped markup shows its tags only after a round of unescaping
+        while True:  # escaped markup shows its tags only after a round of unescaping
             was = s
-            s = _COMMENT.sub(lambda m: note("html:comment"), s)
-            s = _TAG.sub(_tag(note), s)
-            s = _ENTITY.sub(_entity(note), s)
+            s = _SECTION.sub(lambda m: take("html:comment", m, ""), s)
+            if "<" in s:
+                s = _tags(s, note, alike)
+            s = _ENTITY.sub(_entity(note), _NESTED_AMP.sub(lambda m: take("html:entity", m, "&"), s))
             if s == was:
                 break
     if "\\" in s or "$" in s:
-        s = _MATH.sub(lambda m: keep("latex:math", next(g for g in m.groups() if g is not None).strip()), s)
-        s = _ENV.sub(lambda m: note(f"latex:{m[2]}"), s)
-        for _ in range(8):
-            was = s
-            s = _COMMAND.sub(lambda m: _command(note, m), s)
-            if s == was:
-                break
-        s = _BARE.sub(lambda m: m[0] if m[1] not in LATEX_BARE else "- " + note("latex:li") if m[1] == "item" else (note(f"latex:{m[1]}") or m[0]), s)
+        for opener, closer in (("\\(", "\\)"), ("\\[", "\\]")):
+            if opener in s:
+                s = _cut_spans(s, [(a, b, keep("latex:math", 4, x.strip())) for a, b, x in _between(s, opener, closer)])
+        s = _MATH_BLOCK.sub(lambda m: keep("latex:math", 4, m[1].strip()), s)
+        s = _cut_spans(s, [(a, b, keep("latex:math", 2, x.strip())) for a, b, x in _inline_math(s)])
+        s = _ENV.sub(lambda m: take(f"latex:{m[2]}", m, ""), s)
+        if "{" in s:
+            s = _balanced(s, _COMMAND, lambda m: "command" if m[1] else "{" if m[0] == "{" else None, lambda kind, m, inner: _command(note, m, inner) if kind == "command" else None, {"}": ("command", "{")})
+        s = _BARE.sub(lambda m: _bare(note, m, alike), s)
         s = re.sub(r"^- [ \t]+", "- ", s, flags=re.MULTILINE)
     if "{|" in s:
-        s = _WIKI_TABLE.sub(lambda m: _wiki_table(note, m[1]), s)
+        s = _wiki_tables(note, s)
     if "[[" in s:
-        s = _WIKI_LINK.sub(lambda m: note("wiki:a", m[1].rsplit("|", 1)[-1], True), s)
+        s = _WIKI_LINK.sub(lambda m: take("wiki:a", m, m[1].rsplit("|", 1)[-1], True), s)
     if "{{" in s:
-        for _ in range(4):
-            was = s
-            s = _WIKI_TEMPLATE.sub(lambda m: note("wiki:template", m[1].rsplit("|", 1)[-1] if "|" in m[1] else ""), s)
-            if s == was:
-                break
+        s = _balanced(s, _BRACES, lambda m: m[0] if m[0][0] == "{" else None, lambda kind, m, inner: _template(note, inner) if kind == "{{" else None, {"}": ("{",), "}}": ("{{",)}, strict=True)
     if "[" in s:
-        s = _MD_LINK.sub(lambda m: note("markdown:a", m[1], True), s)
-        s = _WIKI_URL.sub(lambda m: note("wiki:a", m[1] or "", True), s)
+        s = _MD_LINK.sub(lambda m: take("markdown:a", m, m[1], True), s)
+        s = _WIKI_URL.sub(lambda m: take("wiki:a", m, m[1] or "", True), s)
     if "==" in s:
-        s = _WIKI_HEAD.sub(lambda m: "#" * len(m[1]) + " " + note(f"wiki:h{len(m[1])}", m[2]), s)
+        s = "\n".join(_wiki_heading(note, line) if "==" in line else line for line in s.split("\n"))
     if "''" in s:
-        s = _WIKI_QUOTE.sub(lambda m: note("wiki:b" if len(m[1]) > 2 else "wiki:i", m[2]), s)
-        s = _WIKI_OPEN.sub(lambda m: note("wiki:i"), s)
+        s = _unwrap(s, "'", range(2, 6), r"(?!)", r"(?!)", lambda n: note("wiki:b" if n > 2 else "wiki:i", 2 * n))
+        s = _WIKI_OPEN.sub(lambda m: take("wiki:i", m, ""), s)
     if "#" in s:
         was_wiki = any(p.startswith("wiki:h") for p in paths.sums)
-        s = _MD_HEAD.sub(lambda m: m[0] if was_wiki and m[0] not in text else m[1] + " " + note(f"markdown:h{len(m[1])}", m[2]), s)
-    if "**" in s or "__" in s:
-        s = _MD_STRONG.sub(lambda m: note("markdown:b", m[2] if m[2] is not None else m[4]), s)
+        s = _MD_HEAD.sub(lambda m: m[0] if was_wiki and m[0] not in text else m[1] + " " + take(f"markdown:h{len(m[1])}", m, m[2].rstrip(" \t").rstrip("#").rstrip(" \t")), s)
+    if "**" in s:
+        s = _unwrap(s, "*", range(2, 4), r"[\w\\]", r"(?!)", lambda n: note("markdown:b", 2 * n))
+    if "__" in s:
+        s = _unwrap(s, "_", range(2, 4), r"[\w\\]", r"\w", lambda n: note("markdown:b", 2 * n))
     if "~~" in s:
-        s = _MD_STRIKE.sub(lambda m: note("markdown:del", m[1]), s)
+        s = _MD_STRIKE.sub(lambda m: take("markdown:del", m, m[1]), s)
     if "*" in s or "_" in s:
-        s = _MD_EM.sub(lambda m: note("markdown:i", m[1] if m[1] is not None else m[2]), s)
+        s = _MD_EM.sub(lambda m: take("markdown:i", m, m[1] if m[1] is not None else m[2]), s)
     if ">" in s:
-        s = _MD_QUOTE.sub(lambda m: note("markdown:blockquote"), s)
-    if "|" in s and "---" in s and _MD_TABLE.search(s):
-        note("markdown:td")
-        s = _MD_TABLE_ROW.sub(lambda m: " | ".join(x.strip() for x in m[1].split("|")), _MD_RULE.sub("", s))
-    if kept:
+        s = _MD_QUOTE.sub(lambda m: take("markdown:blockquote", m, ""), s)
+    if "|" in s and "---" in s:
+        s = _md_tables(note, s)
+    while kept and _SENTINEL.search(s):  # code may stand in a formula and the like
+        was = s
         s = _SENTINEL.sub(lambda m: kept[int(m[1])] if int(m[1]) < len(kept) else m[0], s)
-    found = {p.split(":", 1)[0] for p in paths.sums}
-    return s, [k for k in KINDS if k in found], paths.sums
-
-
-def _tag(note):
-    def sub(m: re.Match) -> str:
-        name = m[2].lower()
-        if name not in HTML_NAMES:
-            return m[0]
-        note(f"html:{name}", link=name == "a")
-        if name in LINE_TAGS or name == "br":
-            return "\n" if name == "br" or m[1] else ""
-        return ""
-
-    return sub
+        if s == was:
+            break
+    return s, paths
 
 
 def _entity(note):
@@ -397,40 +592,106 @@ def _entity(note):
         plain = _entities.unescape(m[0])
         if plain == m[0] or plain.endswith(";"):
             return m[0]
-        note("html:entity")
+        note("html:entity", len(m[0]))
         return " " if plain == "\u00a0" else plain
 
     return sub
 
 
-def _command(note, m: re.Match) -> str:
-    inner = note(f"latex:{m[1]}", m[2])
+def _bare(note, m: re.Match, alike: frozenset[str]) -> str:
+    """A command without an argument: list items become structure; an unknown name shows its letters."""
+    path = f"latex:{m[1]}"
+    if m[1] == "item":
+        note("latex:li", len(m[0]))
+        return "- "
+    known = m[1] in LATEX_BARE
+    note(path, len(m[0]) if known else 1, shown="" if known else m[1])
+    return "" if path in alike else m[0]
+
+
+def _command(note, m: re.Match, inner: str) -> str:
+    note(f"latex:{m[1]}", len(m[0]) + 1)
     return f" ({inner})" if m[1] in ("footnote", "footnotetext") else "" if m[1] in ("label", "vspace", "hspace", "usepackage", "documentclass") else inner
 
 
-def _wiki_table(note, body: str) -> str:
-    rows: list[list[str]] = [[]]
-    for line in body.split("\n"):
+def _template(note, inner: str) -> str | None:
+    if not inner or "{" in inner or "}" in inner:
+        return None
+    shown = inner.rsplit("|", 1)[-1] if "|" in inner else ""
+    note("wiki:template", len(inner) + 4 - len(shown))
+    return shown
+
+
+def _wiki_heading(note, line: str) -> str:
+    bare = line.strip(" \t")
+    n = min(6, len(bare) - len(bare.lstrip("=")))
+    inner = bare[n : len(bare) - n].strip(" \t")
+    if n < 2 or len(bare) <= 2 * n or not bare.endswith("=" * n) or not inner or inner[0] == "=":
+        return line
+    note(f"wiki:h{n}", 2 * n)
+    return "#" * n + " " + inner
+
+
+def _wiki_tables(note, s: str) -> str:
+    """Tables from ``{|`` to ``|}``, innermost first; one that is not closed stays."""
+    out: list[str] = []
+    opened: list[int] = []
+    for line in s.split("\n"):
+        bare = line.lstrip(" \t")
+        if bare.startswith("{|"):
+            opened.append(len(out))
+            out.append(line)
+        elif bare.startswith("|}") and opened:
+            k = opened.pop()
+            rest = bare[2:]
+            out[k:] = [_wiki_table(note, out[k + 1 :]) + rest]
+        else:
+            out.append(line)
+    return "\n".join(out)
+
+
+def _wiki_table(note, body: list[str]) -> str:
+    rows: list[list[list[str]]] = [[]]
+    for line in "\n".join(body).split("\n"):
         line = line.strip()
         if line.startswith("|-"):
             rows.append([])
         elif line[:1] in ("|", "!"):
-            rows[-1] += [note("wiki:td", c.strip()) for c in re.split(r"\|\||!!", line[1:])]
+            cells = [c.strip() for c in re.split(r"\|\||!!", line[1:])]
+            for _ in cells:
+                note("wiki:td", 2)
+            rows[-1] += [[c] for c in cells]
         elif line and rows[-1]:
-            rows[-1][-1] += " " + line
-    note("wiki:table")
-    return "\n".join(" | ".join(r) for r in rows if r)
+            rows[-1][-1].append(line)
+    note("wiki:table", 4)
+    return "\n".join(" | ".join(" ".join(c) for c in r) for r in rows if r)
+
+
+def _md_tables(note, s: str) -> str:
+    """Rules under a row of cells go; rows between bars lose the outer ones."""
+    lines = s.split("\n")
+    rules = {k for k, line in enumerate(lines) if "---" in line and _MD_RULE.fullmatch(line)}
+    if not any(k and "|" in lines[k - 1] and k - 1 not in rules for k in rules):
+        return s
+    for k in rules:
+        note("markdown:td", len(lines[k]))
+    s = "\n".join(line for k, line in enumerate(lines) if k not in rules)
+    return _MD_TABLE_ROW.sub(lambda m: " | ".join(x.strip() for x in m[1].split("|")), s)
 
 
 CLEAN = T.StructType([T.StructField("clean_text", T.StringType()), T.StructField("markup", T.ArrayType(T.StringType()))])
 
 
 @F.pandas_udf(CLEAN)
-def clean_mixed_udf(text: pd.Series) -> pd.DataFrame:
+def _clean_mixed(text: pd.Series) -> pd.DataFrame:
     done = [clean_mixed(t) for t in text]
     return pd.DataFrame({"clean_text": [d[0] for d in done], "markup": [d[1] for d in done]})
 
 
+#: Not deterministic to the optimizer, which then does not copy the call into a filter below ``explode``.
+clean_mixed_udf = _clean_mixed.asNondeterministic()
+
+
 @F.pandas_udf(T.StringType())
 def clean_html_udf(source: pd.Series) -> pd.Series:
     return source.map(clean_html)
@@ -467,7 +728,7 @@ _SUMS = T.ArrayType(
 
 
 @F.pandas_udf(_SUMS)
-def html_paths_udf(source: pd.Series) -> pd.Series:
+def _html_paths(source: pd.Series) -> pd.Series:
     def one(s: str | None) -> list[dict]:
         if s is None or not s.strip():
             return []
@@ -476,6 +737,9 @@ def html_paths_udf(source: pd.Series) -> pd.Series:
     return source.map(one)
 
 
+html_paths_udf = _html_paths.asNondeterministic()
+
+
 def tag_paths(df: DataFrame, group: str, source: str, threshold: float = THRESHOLD, radius: int = RADIUS) -> DataFrame:
     """``group, path, n, chars, marks, links, score, is_content``: the ratios over all records of a group.
 
@@ -486,7 +750,7 @@ def tag_paths(df: DataFrame, group: str, source: str, threshold: float = THRESHO
     rows = df.select(F.col(group).alias("__g"), F.explode(html_paths_udf(F.col(source))).alias("p")).select("__g", "p.*")
     counted = ("n", "chars", "marks", "links")
     sums = rows.groupBy("__g", "path").agg(F.min("place").alias("place"), *[F.sum(c).alias(c) for c in counted])
-    inline_out = F.filter(F.split("path", "/"), lambda x: (x == "") | x.isin(*sorted(BLOCK_TAGS)))
+    inline_out = F.filter(F.split("path", "/"), lambda x: (x == "") | F.substring_index(x, ".", 1).isin(*sorted(BLOCK_TAGS)))
     sums = sums.withColumn("__block", F.array_join(inline_out, "/"))
     blocks = sums.groupBy("__g", "__block").agg(
         F.min("place").alias("place"), *[F.sum(c).alias(f"__{c}") for c in counted], F.collect_list(F.struct("path", *counted)).alias("__paths")
@@ -500,8 +764,10 @@ def tag_paths(df: DataFrame, group: str, source: str, threshold: float = THRESHO
         return total / reduce(lambda a, b: a + b, [F.when(v.isNotNull(), F.lit(w)).otherwise(0.0) for w, v in near])
 
     length, marks = F.col("__chars") / F.col("__n"), (F.col("__marks") + 1) / F.col("__n")
-    scored = blocks.withColumns({"__l": smooth(length), "__m": smooth(marks)}).withColumn("score", F.least(F.col("__l") * F.col("__m"), length * marks))
+    scored = blocks.withColumns({"__l": smooth(length), "__m": smooth(marks)}).withColumn("__parts", F.split("__block", "/"))
+    called = F.exists("__parts", lambda x: x.contains(".") | x.isin(*CHROME_ELEMENTS))
+    scored = scored.withColumn("score", F.least(F.col("__l") * F.col("__m"), length * marks) * F.when(called, CHROME_FACTOR).otherwise(1.0))
     level = threshold * F.avg("score").over(W.partitionBy("__g"))
-    structural = F.arrays_overlap(F.split("__block", "/"), F.array(*[F.lit(x) for x in STRUCTURAL]))
-    scored = scored.withColumn("is_content", structural | (F.col("__links") <= F.col("__chars") / 2) | (F.col("score") >= level))
+    structural = F.arrays_overlap("__parts", F.array(*[F.lit(x) for x in STRUCTURAL]))
+    scored = scored.withColumn("is_content", (F.col("score") >= level) | (~called & (structural | (F.col("__links") <= F.col("__chars") / 2))))
     return scored.select(F.col("__g").alias(group), F.inline("__paths"), "score", "is_content")

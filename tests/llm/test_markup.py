@@ -26,7 +26,7 @@ def test_plain_signs_are_no_markup(text):
 @pytest.mark.parametrize("text,kind,want", MARKED)
 def test_markup(text, kind, want):
     got, kinds, sums = clean_mixed(text)
-    assert kinds == [kind] and got == want and all(p.startswith(kind) for p in sums)
+    assert kinds == [kind] and got == want and all(p.startswith((kind, "/")) for p in sums)
 
 
 def test_several_kinds():
