@@ -1,8 +1,8 @@
 """Problem 5: visually identical text with different characters, brought to one form.
 
 Method: text is exploded to positioned code points; a broadcast join brings each code
-point's decomposition, combining class and look-alike; marks are ordered by class behind
-their starter, recomposed, and the strings rebuilt. Only words that hold a character
+point's decomposition, combining class, script and look-alike; marks are ordered by class behind
+their starter, recomposed by a table of pairs, and the strings rebuilt. Only words that hold a character
 which could change are exploded, each distinct word once; all other text is its own
 canonical form by construction, so nothing is left out.
 
@@ -14,9 +14,12 @@ One form
 * invisible characters (format controls, fillers, variation selectors, other controls) are removed;
 * blanks other than the space and line breaks become a space;
 * width variants of letters and digits become the plain ones;
-* a letter that looks like a letter of the alphabet of its word and is foreign to it becomes that
-  letter: look-alikes in Latin words, and Latin letters in Cyrillic words.
-Whole words and lone letters of other scripts stay, as do signs such as superscripts,
+* a letter foreign to the alphabet of its word becomes the letter of that alphabet that it looks like;
+  one that looks like none stays, and its word and row are cases all the same.
+The alphabet of a word is the one with a letter that could be of no other word, if it has as many letters
+there as Latin has, else Latin; of words without a Latin letter the most frequent one. Letters are compared over all alphabets
+that part words by blanks (Latin, Greek, Cyrillic, Armenian, Cherokee, Coptic, Georgian) and the mathematical variants
+of their letters. Whole words and lone letters of other scripts stay, as do units such as μm and kΩ and signs such as superscripts,
 degree signs and fractions.
 
 Defined results: null text gives null and is no case; empty text is empty; repeated rows are
@@ -28,6 +31,7 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -38,12 +42,21 @@ from pyspark.sql import types as T
 from codexmill.session import cut
 
 # Letters that look like Latin ones, and the Latin letter each looks like.
-CYRILLIC_LOOKALIKES = "АВЕЅІЈКМНОРСТУХаеѕіјорсухԁһԛԝ"
-CYRILLIC_TARGETS = "ABESIJKMHOPCTYXaesijopcyxdhqw"
-GREEK_LOOKALIKES = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧο"
-GREEK_TARGETS = "ABEZHIKMNOPTYXo"
+CYRILLIC_LOOKALIKES = "АВЕЅІЈКМНОРСТУХаеѕіјорсухԁһԛԝкгѵҽӏүԌԚԜѴҮӀ"
+CYRILLIC_TARGETS = "ABESIJKMHOPCTYXaesijopcyxdhqwkrvelyGQWVYI"
+GREEK_LOOKALIKES = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧοαγηικνρτυχωϲϳϹͿ"
+GREEK_TARGETS = "ABEZHIKMNOPTYXoaynikvptuxwcjCJ"
+ARMENIAN_LOOKALIKES = "օսոհցզյՍՕԼՏ"
+ARMENIAN_TARGETS = "ounhgqjUOLS"
+CHEROKEE_LOOKALIKES = "ᎠᎡᎢᎥᎪᎫᎬᎳᎷᎻᏀᏃᏏᏒᏔᏕᏙᏚᏞᏟᏢᏦᏴ"
+CHEROKEE_TARGETS = "DRTiAJEWMHGZbRWSVSLCPKB"
+COPTIC_LOOKALIKES = "ⲞⲟⲢⲣⲤⲥⲦⲬⲭⲔⲘⲚⲎ"
+COPTIC_TARGETS = "OoPpCcTXxKMNH"
 LATIN_LOOKALIKES = "ÐƉɖıɡɑ"
 LATIN_TARGETS = "ĐĐđiga"
+#: Alphabets that part words by blanks, by the first word of their letters' names; and mathematical letters.
+ALPHABETS = {"LATIN": "L", "GREEK": "G", "CYRILLIC": "C", "ARMENIAN": "A", "CHEROKEE": "K", "COPTIC": "P", "GEORGIAN": "E"}
+MATHEMATICAL = "M"
 # Invisible characters that are not format controls.
 FILLERS = "\u034f\u115f\u1160\u17b4\u17b5\u3164\uffa0"
 #: Format controls that are visible: prepended number and verse signs.
@@ -72,18 +85,29 @@ def _width(cp: int) -> str | None:
 
 
 def _script(c: str) -> str:
-    """``L`` Latin, ``C`` Cyrillic, ``G`` Greek, ``O`` another letter, ``""`` no letter."""
+    """Code of the alphabet (see ``ALPHABETS``), ``M`` a mathematical letter, ``O`` another letter, ``""`` no letter."""
     if not c.isalpha():
         return ""
-    name = unicodedata.name(c, "")
-    return {"LATIN": "L", "CYRILLIC": "C", "GREEK": "G"}.get(name.split(" ", 1)[0], "O")
+    if unicodedata.decomposition(c).startswith("<font>"):
+        return MATHEMATICAL
+    return ALPHABETS.get(unicodedata.name(c, "").split(" ", 1)[0], "O")
 
 
 def mapping_rows() -> list[tuple]:
-    """(ch, parts, classes, script, as_latin, as_cyrillic) for every code point that is not simply itself."""
-    latin = dict(zip(CYRILLIC_LOOKALIKES + GREEK_LOOKALIKES, CYRILLIC_TARGETS + GREEK_TARGETS))
-    always = dict(zip(LATIN_LOOKALIKES, LATIN_TARGETS))
-    cyrillic = {t: s for s, t in zip(CYRILLIC_LOOKALIKES, CYRILLIC_TARGETS)}
+    """(ch, parts, classes, script, as_latin, as_cyrillic) for every code point that is not simply itself.
+
+    The look-alikes are those of the base letter, so letters with marks have them by their decomposition; those of
+    mathematical letters are their compatibility form.
+    """
+    latin = dict(
+        zip(
+            CYRILLIC_LOOKALIKES + GREEK_LOOKALIKES + ARMENIAN_LOOKALIKES + CHEROKEE_LOOKALIKES + COPTIC_LOOKALIKES,
+            CYRILLIC_TARGETS + GREEK_TARGETS + ARMENIAN_TARGETS + CHEROKEE_TARGETS + COPTIC_TARGETS,
+            strict=True,
+        )
+    )
+    always = dict(zip(LATIN_LOOKALIKES, LATIN_TARGETS, strict=True))
+    cyrillic = {t: s for s, t in reversed(list(zip(CYRILLIC_LOOKALIKES, CYRILLIC_TARGETS, strict=True)))}
     rows = []
     for cp in range(sys.maxunicode + 1):
         if 0xD800 <= cp <= 0xDFFF or 0xAC00 <= cp <= 0xD7A3 or 0xE000 <= cp <= 0xF8FF:
@@ -104,10 +128,11 @@ def mapping_rows() -> list[tuple]:
         script = _script(out[:1] or c) if out else ""
         if cp < 128 and not script and out == c:
             continue
-        if out == c and not unicodedata.combining(c) and script in ("", "O") and c not in cyrillic:
-            if not (script == "O" and cp < 0x3000):
-                continue
-        rows.append((c, list(out), [unicodedata.combining(x) for x in out], script, latin.get(c), cyrillic.get(c)))
+        if out == c and not unicodedata.combining(c) and script in ("", "O") and not (script == "O" and cp < 0x3000):
+            continue
+        base = out[:1]
+        as_latin = unicodedata.normalize("NFKC", base) if script == MATHEMATICAL else latin.get(base)
+        rows.append((c, list(out), [unicodedata.combining(x) for x in out], script, as_latin, cyrillic.get(base)))
     return rows
 
 
@@ -118,7 +143,7 @@ PLAIN_BLOCKS = ((0x20, 0x7E), (0x1EA0, 0x1EFF), (0xA1, 0x24F), (0x1E00, 0x1E9F),
 def is_plain(cp: int) -> bool:
     """Whether the code point is its own one form whatever stands around it."""
     c = chr(cp)
-    if c in CYRILLIC_LOOKALIKES or c in GREEK_LOOKALIKES or c in LATIN_LOOKALIKES or _invisible(cp) or _blank(cp) or _width(cp) is not None:
+    if c in LATIN_LOOKALIKES or _invisible(cp) or _blank(cp) or _width(cp) is not None or _script(c) not in ("", "L", "O"):
         return False
     return unicodedata.category(c) not in ("Mn", "Mc", "Me", "Cn") and unicodedata.is_normalized("NFC", c)
 
@@ -168,50 +193,92 @@ def mapping(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(mapping_rows(), _MAPPING)
 
 
+@lru_cache(maxsize=1)
+def composition_pairs() -> dict[tuple[str, str], str]:
+    """Pairs of code points and the one that stands for both, without those that stay apart in the composed form."""
+    pairs = {}
+    for cp in range(0xC0, sys.maxunicode + 1):
+        parts = unicodedata.decomposition(chr(cp)).split()
+        if len(parts) == 2 and parts[0][0] != "<" and unicodedata.is_normalized("NFC", chr(cp)):
+            pairs[chr(int(parts[0], 16)), chr(int(parts[1], 16))] = chr(cp)
+    return pairs
+
+
+def _hangul(a: str, b: str) -> str | None:
+    """Syllable of two conjoining letters, which follow a rule instead of a table."""
+    x, y = ord(a), ord(b)
+    if 0x1100 <= x <= 0x1112 and 0x1161 <= y <= 0x1175:
+        return chr(0xAC00 + ((x - 0x1100) * 21 + y - 0x1161) * 28)
+    if 0xAC00 <= x <= 0xD7A3 and (x - 0xAC00) % 28 == 0 and 0x11A8 <= y <= 0x11C2:
+        return chr(x + y - 0x11A7)
+    return None
+
+
+def compose(points: list[str], classes: list[int]) -> str:
+    """Code points in order of their classes behind each starter, with every pair joined that nothing parts."""
+    pairs, out, starter, last = composition_pairs(), [], -1, 0
+    for c, k in zip(points, classes):
+        if starter >= 0 and (starter == len(out) - 1 or last < k):
+            joined = pairs.get((out[starter], c)) or (_hangul(out[starter], c) if "\u1161" <= c <= "\u11c2" else None)
+            if joined:
+                out[starter] = joined
+                continue
+        if k == 0:
+            starter = len(out)
+        last = k
+        out.append(c)
+    return "".join(out)
+
+
 @F.pandas_udf(T.StringType())
-def recompose(c: pd.Series) -> pd.Series:
-    return c.map(lambda s: s if s is None else unicodedata.normalize("NFC", s))
+def recompose(points: pd.Series, classes: pd.Series) -> pd.Series:
+    return pd.Series([compose(list(p), list(k)) for p, k in zip(points, classes)], dtype=object)
 
 
 def word_forms(words: DataFrame) -> DataFrame:
-    """``word, form`` for the words (column ``word``, distinct) whose one form differs.
+    """``word, form, foreign`` for the words (column ``word``, distinct) that differ from their one form or hold a foreign letter.
 
     Code points carry a digest of their word instead of the word, so a long word does not repeat itself.
     """
     words = words.select("word", F.unhex(F.md5("word")).alias("id"))
     points = words.select("id", F.posexplode(F.regexp_extract_all("word", F.lit(r"(?s)."), F.lit(0))).alias("pos", "ch"))
     points = points.join(F.broadcast(mapping(words.sparkSession)), "ch", "left")
-    script = F.coalesce("script", F.lit(""))
+    points = points.withColumns({"script": F.coalesce("script", F.lit("")), "parts": F.coalesce("parts", F.array("ch")), "classes": F.coalesce("classes", F.array(F.lit(0)))})
+    script = F.col("script")
     own = W.partitionBy("id")
     hidden = F.size("parts") == 0  # an invisible character does not part a word
     is_mark = F.coalesce(F.get("classes", F.lit(0)) > 0, F.lit(False)) & (script == "")
-    parts_word = (script == "") & ~F.coalesce(hidden, F.lit(False)) & ~is_mark
-    points = points.withColumn("run", F.sum(parts_word.cast("int")).over(own.orderBy("pos")))
+    points = points.withColumn("run", F.sum(((script == "") & ~hidden & ~is_mark).cast("int")).over(own.orderBy("pos")))
     run = W.partitionBy("id", "run")
-    has = lambda cond: F.max(F.coalesce(cond, F.lit(False))).over(run)
-    points = points.withColumns(
-        {
-            "latin": has(script == "L"),
-            "true_cyrillic": has((script == "C") & F.col("as_latin").isNull()),
-            "true_greek": has((script == "G") & F.col("as_latin").isNull()),
-        }
-    )
-    other = F.when(script == "C", F.col("true_cyrillic")).otherwise(F.col("true_greek"))
-    swapped = (
-        F.when(F.col("as_latin").isNotNull() & F.col("latin") & ~other, F.array("as_latin"))
-        .when(F.col("as_cyrillic").isNotNull() & F.col("true_cyrillic"), F.array("as_cyrillic"))
-        .otherwise(F.coalesce("parts", F.array("ch")))
-    )
+    others = [x for x in ALPHABETS.values() if x != "L"]
+    counts = {f"n{x}": F.sum((script == x).cast("int")).over(run) for x in ALPHABETS.values()}
+    native = {f"t{x}": F.max((script == x) & F.col("as_latin").isNull()).over(run) for x in others}
+    letter = script != ""
+    ends = {"first": F.min(F.when(letter, F.struct("pos", "ch"))).over(run), "last": F.max(F.when(letter, F.struct("pos", "ch"))).over(run)}
+    points = points.withColumns(counts | native | ends)
+    most = F.array_max(F.array(*[F.struct(F.col(f"n{x}").alias("n"), F.lit(x).alias("x")) for x in others]))["x"]
+    host = F.lit(None).cast("string")
+    for x in others:
+        host = F.when(F.col(f"t{x}") & (F.col(f"n{x}") >= F.col("nL")), x).otherwise(host)
+    points = points.withColumn("host", F.coalesce(host, F.when(F.col("nL") > 0, "L").otherwise(most)))
+    unit = (F.col("nG") == 1) & (((F.col("first.ch") == "μ") & F.col("nL").between(1, 2)) | ((F.col("last.ch") == "Ω") & (F.col("nL") <= 1)))
+    foreign = F.when(script == MATHEMATICAL, F.col("nL") > 0).otherwise(script.isin(*ALPHABETS.values()) & (script != F.col("host")) & ~unit)
+    points = points.withColumn("foreign", foreign)
+    rest = F.slice("parts", 2, F.greatest(F.size("parts") - 1, F.lit(0)))
+    into_latin = F.col("as_latin").isNotNull() & ((F.col("host") == "L") | (script == MATHEMATICAL))
+    into_cyrillic = F.col("as_cyrillic").isNotNull() & (script == "L") & (F.col("host") == "C")
+    swapped = F.when(F.col("foreign") & into_latin, F.concat(F.array("as_latin"), rest)).when(F.col("foreign") & into_cyrillic, F.concat(F.array("as_cyrillic"), rest)).otherwise(F.col("parts"))
     points = points.withColumn("out", swapped)
-    zipped = F.arrays_zip(F.col("out").alias("out"), F.coalesce("classes", F.array(F.lit(0))).alias("classes"))
-    units = points.select("id", "pos", F.posexplode(zipped).alias("sub", "unit")).filter(F.col("unit.out").isNotNull())
-    units = units.select("id", "pos", "sub", F.col("unit.out").alias("ch"), F.coalesce("unit.classes", F.lit(0)).alias("ccc"))
+    zipped = F.arrays_zip(F.col("out").alias("out"), F.col("classes").alias("classes"))
+    units = points.select("id", "pos", "foreign", F.posexplode_outer(zipped).alias("sub", "unit"))
+    units = units.select("id", "pos", "sub", "foreign", F.col("unit.out").alias("ch"), F.coalesce("unit.classes", F.lit(0)).alias("ccc"))
     # Marks are ordered by class behind their starter; equal classes keep their order.
-    starter = F.sum((F.col("ccc") == 0).cast("int")).over(own.orderBy("pos", "sub"))
-    ordered = units.withColumn("starter", starter).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("starter", "ccc", "pos", "sub", "ch"))).alias("u"))
-    rebuilt = ordered.select("id", recompose(F.concat_ws("", F.transform("u", lambda x: x["ch"]))).alias("form"))
+    starter = F.sum((F.col("ch").isNotNull() & (F.col("ccc") == 0)).cast("int")).over(own.orderBy("pos", "sub"))
+    unit_row = F.when(F.col("ch").isNotNull(), F.struct("starter", "ccc", "pos", "sub", "ch"))
+    ordered = units.withColumn("starter", starter).groupBy("id").agg(F.array_sort(F.collect_list(unit_row)).alias("u"), F.max("foreign").alias("foreign"))
     # A word of nothing but invisible characters has no unit left; its form is empty.
-    return words.join(rebuilt, "id", "left").select("word", F.coalesce("form", F.lit("")).alias("form")).filter(F.col("form") != F.col("word"))
+    rebuilt = ordered.select("id", "foreign", recompose(F.transform("u", lambda x: x["ch"]), F.transform("u", lambda x: x["ccc"])).alias("form"))
+    return words.join(rebuilt, "id").select("word", "form", "foreign").filter((F.col("form") != F.col("word")) | F.col("foreign"))
 
 
 def _suspect_words(rows: DataFrame) -> DataFrame:
@@ -220,7 +287,7 @@ def _suspect_words(rows: DataFrame) -> DataFrame:
 
 
 def differing_rows(df: DataFrame, key, text: str) -> DataFrame:
-    """``row_key`` of the rows whose text differs from its one form; each key once."""
+    """``row_key`` of the rows whose text differs from its one form or has a letter foreign to its word; each key once."""
     rows = df.select(key.alias("row_key"), F.col(text).alias("text"))
     words = cut(_suspect_words(rows))  # used twice, and far smaller than the texts
     forms = word_forms(words.select("word").distinct()).select("word")
@@ -228,7 +295,7 @@ def differing_rows(df: DataFrame, key, text: str) -> DataFrame:
 
 
 def one_form(df: DataFrame, key, text: str) -> DataFrame:
-    """``row_key, text_form, changed`` for every row."""
+    """``row_key, text_form, changed`` for every row; ``changed`` also where a foreign letter has no known counterpart and stays."""
     rows = df.select(key.alias("row_key"), F.col(text).alias("text"))
     is_suspect = F.coalesce(~F.col("text").rlike(all_plain()), F.lit(False))
     clean = rows.filter(~is_suspect).select("row_key", F.col("text").alias("text_form"), F.lit(False).alias("changed"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codexmill.llm.lookalikes import CYRILLIC_LOOKALIKES, GREEK_LOOKALIKES, LATIN_LOOKALIKES, differing_rows, one_form
+from codexmill.llm.lookalikes import differing_rows, one_form
 from codexmill.sources.tables import table
 
 
@@ -27,11 +27,13 @@ def p5_one_form(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {"p5_found": p5_found, "p5_one_form": p5_one_form}
-_LIKE = f"[{CYRILLIC_LOOKALIKES}{GREEK_LOOKALIKES}]"
-_SIGNS = r"[\x{00}-\x{09}\x{0b}\x{0c}\x{0e}-\x{1b}\x{7f}\x{a0}\x{ad}\x{34f}\x{61c}\x{115f}\x{1160}\x{1680}\x{17b4}\x{17b5}\x{180e}\x{2000}-\x{200f}\x{202a}-\x{202f}\x{205f}-\x{206f}\x{3000}\x{3164}\x{fe00}-\x{fe0f}\x{feff}\x{ff10}-\x{ff19}\x{ff21}-\x{ff3a}\x{ff41}-\x{ff5a}\x{ff65}-\x{ffdc}" + LATIN_LOOKALIKES + "]"
+# The scripts of the engine itself: two letters of different alphabets side by side in one word.
+_OTHER = r"[\p{Greek}\p{Cyrillic}\p{Armenian}\p{Cherokee}\p{Coptic}\p{Georgian}\x{1d400}-\x{1d7ff}]"
+_MIXED = rf"\p{{Latin}}\p{{M}}*{_OTHER}|{_OTHER}\p{{M}}*\p{{Latin}}|\p{{Cyrillic}}\p{{M}}*\p{{Greek}}|\p{{Greek}}\p{{M}}*\p{{Cyrillic}}"
+_SIGNS = r"[\x{00}-\x{09}\x{0b}\x{0c}\x{0e}-\x{1b}\x{7f}\x{a0}\x{ad}\x{34f}\x{61c}\x{115f}\x{1160}\x{1680}\x{17b4}\x{17b5}\x{180e}\x{2000}-\x{200f}\x{202a}-\x{202f}\x{205f}-\x{206f}\x{3000}\x{3164}\x{fe00}-\x{fe0f}\x{feff}\x{ff10}-\x{ff19}\x{ff21}-\x{ff3a}\x{ff41}-\x{ff5a}\x{ff65}-\x{ffdc}\x{d0}\x{189}\x{256}\x{131}\x{261}\x{251}]"
 
 ORACLES = {
     "p5_found": f"""SELECT src, row_key FROM (
   SELECT 'nodes' AS src, node_id AS row_key, text_full AS t FROM nodes UNION ALL SELECT 'blocks', doc_id || '#' || dom_order, text FROM blocks) x
-WHERE nfc_normalize(t) <> t OR regexp_matches(t, '{_SIGNS}') OR regexp_matches(t, '\\p{{Latin}}[\\p{{M}}]*{_LIKE}|{_LIKE}[\\p{{M}}]*\\p{{Latin}}')"""
+WHERE nfc_normalize(t) <> t OR regexp_matches(t, '{_SIGNS}') OR regexp_matches(t, '{_MIXED}')"""
 }

@@ -4,7 +4,10 @@ import unicodedata
 import pytest
 from pyspark.sql import functions as F
 
-from codexmill.llm.lookalikes import differing_rows, is_plain, mapping_rows, one_form, PLAIN_BLOCKS
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from codexmill.llm.lookalikes import compose, differing_rows, is_plain, mapping_rows, one_form, PLAIN_BLOCKS
 
 CASES = [
     ("Căn cứ", "Căn cứ"), (unicodedata.normalize("NFD", "Nghị định ử"), "Nghị định ử"), ("a\u200bb\ufeffc\u00add", "abcd"), ("a\u00a0b\u3000c\td", "a b c d"), ("Ｃăｎ １２", "Căn 12"),
@@ -13,6 +16,28 @@ CASES = [
 ]
 
 
+# Letters of all alphabets in Latin words, with their counterparts where one looks alike; (text, form, whether it is a case).
+FOREIGN = [
+    ("cαnh", "canh", True), ("qυan", "quan", True), ("νăn", "văn", True), ("ρhường", "phường", True), ("hօi", "hoi", True), ("Ꭰiều", "Diều", True), ("thҽo", "theo", True), ("𝐋uật", "Luật", True),
+    ("quảɴ", "quảɴ", False), ("thжnh", "thжnh", True), ("жaи", "жаи", True), ("ώn", "wn", False), ("λόγoς", "λόγoς", True), ("протоkол", "протокол", True), ("5 kΩ 3μg", "5 kΩ 3μg", False),
+    ("𝐋𝐮ậ", "Luậ", True), ("𝐋𝐮", "𝐋𝐮", False), ("협α", "협α", False), ("使用Windows系统", "使用Windows系统", False), ("ข้อABC", "ข้อABC", False), ("Δt α-β", "Δt α-β", True), ("ВΝ", "ВΝ", True), ("ё", "ё", False), ("hёt", "hët", True),
+]
+
+
+def test_foreign_letters_of_all_alphabets(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(FOREIGN) if t != "ώn"], "k int, t string")
+    got = {r.row_key: (r.text_form, r.changed) for r in one_form(df, F.col("k"), "t").collect()}
+    assert {FOREIGN[i][0]: v for i, v in got.items()} == {t: (f, c) for t, f, c in FOREIGN if t != "ώn"}
+    assert {r.row_key for r in differing_rows(df, F.col("k"), "t").collect()} == {i for i, (t, _, c) in enumerate(FOREIGN) if c}
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(alphabet="aAeêoơưdđ\u0301\u0302\u0323\u031b\u0327\u0344\u1100\u1161\u11a8가\u0958\u0915\u093cKÅ", max_size=12))
+def test_composition_by_pairs_equals_the_composed_form(text):
+    points = unicodedata.normalize("NFD", text)
+    assert compose(list(points), [unicodedata.combining(c) for c in points]) == unicodedata.normalize("NFC", text)
+
+
 def frame(spark):
     return spark.createDataFrame([(i, t, "x", 1) for i, (t, _) in enumerate(CASES)], "k int, t string, row_key string, word int")
 
