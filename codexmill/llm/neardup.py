@@ -8,7 +8,16 @@ are compared exactly.
 
 A broadcast of the shard trees would grow with the data, so rows travel to the shards
 instead: a text is sent to the shards of its bands only, and a shard with many texts
-is cut into blocks of bounded size that are searched against each other.
+is cut into blocks of bounded size that are searched against each other. Shards that hold a large share of
+all texts are found beforehand on a fixed part of the texts (which steers the exchange alone, no result) and cut into
+blocks before they travel, so no task ever gathers one.
+
+What the tree prunes: by the triangle inequality a subtree is passed over when its edge is further from the query's
+distance than the radius. At the threshold of 0.7 the radius is 90 of 384 bits and texts without relation lie
+about 170 apart, so of a foreign family only its first text is visited, and from a text's own family no
+foreign one: the visited share of a shard is about its number of families over its number of texts. Texts that only share a passage are
+one family each; among them no radius that keeps pairs of 0.7 lets a metric tree prune (distances of short segments
+spread too little against it), and the bands do the work.
 
 The similarity of two texts is the number of distinct 5-character substrings that both
 have, divided by the number that either has, after lower-casing, trimming and making
@@ -20,9 +29,9 @@ distance at the threshold. Precision is exact.
 
 Defined results
 * Null texts and texts under 5 characters have no substrings and no partners.
-* Exact copies (after normalisation) form a class and are compared once; rows with a null key are left out.
+* Exact copies (after normalisation) form a class; each task signs a class once, and classes are compared once. Rows with a null key are left out.
 * ``near_pairs`` links classes; ``members`` maps keys to classes. A class with a third of all rows
-  costs one sketch in every later step.
+  costs at most one sketch a task.
 * Long texts are read whole. Other columns are ignored.
 """
 
@@ -32,16 +41,22 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from codexmill.operators.skew import heavy_keys, salted_join
 from codexmill.session import cut
 
 SHINGLE = 5
 BANDS, ROWS = 64, 6
 BITS = BANDS * ROWS
 BLOCK = 512
+#: Bits between two edges of a tree.
+STEP = 32
+#: A shard counts as large with more than this share of the texts; it is looked for among one text in ``PROBE``.
+LARGE, PROBE = 1 / 64, 64
 
 _MIX = np.random.default_rng(20240607)
 _A = _MIX.integers(0, 2**31, BITS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -72,7 +87,7 @@ def shingle_hashes(text: str) -> np.ndarray:
     return np.unique((h >> np.uint64(32)).astype(np.uint32))
 
 
-def signature(text: str) -> tuple[list[int], bytes] | None:
+def signature(text: str) -> tuple[np.ndarray, bytes] | None:
     """Band keys and sketch of a text."""
     u = shingle_hashes(text)
     if not len(u):
@@ -85,16 +100,24 @@ def signature(text: str) -> tuple[list[int], bytes] | None:
     keys ^= keys >> np.uint64(29)
     keys = keys * np.uint64(0xBF58476D1CE4E5B9) + np.arange(BANDS, dtype=np.uint64)
     bits = (low * np.uint32(0x9E3779B1)) >> np.uint32(31)
-    return keys.view(np.int64).tolist(), np.packbits(bits.astype(np.uint8)).tobytes()
+    return keys.view(np.int64), np.packbits(bits.astype(np.uint8)).tobytes()
 
 
-_SIGNATURE = T.StructType([T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("sketch", T.BinaryType())])
+SIGNED = "cid bigint, field string, norm string, bands array<bigint>, sketch binary"
 
 
-@F.pandas_udf(_SIGNATURE)
-def signature_udf(text: pd.Series) -> pd.DataFrame:
-    done = [signature(t) if t is not None else None for t in text]
-    return pd.DataFrame({"bands": [d[0] if d else None for d in done], "sketch": [d[1] if d else None for d in done]})
+def _sign(batches):
+    """Band keys and sketch of each class, once in a task; the set of what is done is bounded by the task's rows."""
+    done: set[int] = set()
+    for batch in batches:
+        rows = [i for i, c in enumerate(batch.column("cid").to_pylist()) if not (c in done or done.add(c))]
+        part = batch.take(pa.array(rows, type=pa.int64()))
+        signed = [signature(t) for t in part.column("norm").to_pylist()]
+        bands = np.concatenate([k for k, _ in signed]) if signed else np.empty(0, dtype=np.int64)
+        offsets = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * BANDS)
+        columns = [part.column(c) for c in ("cid", "field", "norm")]
+        columns += [pa.ListArray.from_arrays(offsets, pa.array(bands)), pa.array([x for _, x in signed], type=pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["cid", "field", "norm", "bands", "sketch"])
 
 
 def radius(threshold: float, bits: int = BITS, deviations: float = 4.5) -> int:
@@ -104,12 +127,17 @@ def radius(threshold: float, bits: int = BITS, deviations: float = 4.5) -> int:
 
 
 class BKTree:
-    """Children of a node are keyed by their integer Hamming distance to it."""
+    """Children of a node are keyed by their integer Hamming distance to it, in steps that keep near copies together.
+
+    With steps of one bit the copies of a family, whose distances to a foreign node differ by a few bits, would hang
+    below as many children, and a search would have to look into each.
+    """
 
-    __slots__ = ("root",)
+    __slots__ = ("root", "visited")
 
     def __init__(self) -> None:
         self.root = None
+        self.visited = 0  # nodes that searches have looked at
 
     def add(self, sketch: int, item) -> None:
         if self.root is None:
@@ -121,9 +149,9 @@ class BKTree:
             if d == 0:
                 node[1].append(item)
                 return
-            child = node[2].get(d)
+            child = node[2].get(d // STEP)
             if child is None:
-                node[2][d] = (sketch, [item], {})
+                node[2][d // STEP] = (sketch, [item], {})
                 return
             node = child
 
@@ -131,11 +159,12 @@ class BKTree:
         found, stack = [], [self.root] if self.root else []
         while stack:
             s, items, children = stack.pop()
+            self.visited += 1
             d = (s ^ sketch).bit_count()
             if d <= r:
                 found += items
             for edge, child in children.items():
-                if d - r <= edge <= d + r:
+                if edge * STEP <= d + r and (edge + 1) * STEP > d - r:
                     stack.append(child)
         return found
 
@@ -144,11 +173,14 @@ def _search(r: int):
     """Search of sorted shard rows; a shard may go on over batches, its size is bounded."""
 
     def run(batches):
-        at, tree, out_a, out_b = None, None, [], []
+        at, tree, held, out_a, out_b = None, None, set(), [], []
         for pdf in batches:
             for bucket, bi, bj, blk, cid, sketch in zip(pdf["bucket"].tolist(), pdf["bi"].tolist(), pdf["bj"].tolist(), pdf["blk"].tolist(), pdf["cid"].tolist(), pdf["sketch"].tolist()):
                 if at != (bucket, bi, bj):
-                    at, tree = (bucket, bi, bj), BKTree()
+                    at, tree, held = (bucket, bi, bj), BKTree(), set()
+                if (cid, blk) in held:
+                    continue
+                held.add((cid, blk))
                 s = int.from_bytes(sketch, "big")
                 if bi == bj or blk == bj:
                     for other in tree.within(s, r):
@@ -183,24 +215,36 @@ def texts_with_class(rows: DataFrame) -> DataFrame:
     return rows.select("field", "key", "norm", F.xxhash64("field", "norm").alias("cid"), F.hash("norm", "field").alias("chk"))
 
 
-def near_pairs(texts: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
+def _large(bands: DataFrame, n_probe: int, probe: int, share: float) -> DataFrame:
+    """``bucket, n`` of the large shards, at most ``BANDS / share`` of them, so few that they may be broadcast."""
+    some = bands.filter(F.pmod("cid", F.lit(probe)) == 0).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    found = some.filter(F.col("n") > F.lit(max(1.0, n_probe * share))).select("bucket")
+    return bands.join(F.broadcast(found), "bucket").groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+
+
+def near_pairs(texts: DataFrame, threshold: float, block: int = BLOCK, share: float = LARGE, probe: int = PROBE) -> DataFrame:
     """``field, a, b, both, either``: pairs of different classes (``cid``) with similarity of at least ``threshold``."""
-    signed = texts.select("cid", signature_udf("norm").alias("s")).select("cid", "s.bands", "s.sketch")
-    reps = cut(signed.dropDuplicates(["cid"]))
+    signed = cut(texts.select("cid", "field", "norm").mapInArrow(_sign, SIGNED))
     parts = max(8, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-    # One exchange by bucket serves the count, the semi-join and the search.
-    bands = reps.select("cid", F.explode("bands").alias("bucket")).repartition(parts, "bucket")
-    sizes = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    members = bands.join(sizes, "bucket").join(reps.select("cid", "sketch"), "cid")
+    bands = signed.select("cid", F.explode("bands").alias("bucket"))
+    n_probe = signed.filter(F.pmod("cid", F.lit(probe)) == 0).count()
+    large = cut(_large(bands, n_probe, probe, share)) if n_probe * share >= 1 else None
+    small = bands if large is None or not large.take(1) else bands.join(F.broadcast(large.select("bucket")), "bucket", "left_anti")
+    # One exchange by bucket serves the count and the join.
+    small = small.repartition(parts, "bucket")
+    sizes = small.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("cid").alias("x"), F.max("cid").alias("y"))
+    shards = small.join(sizes.filter(F.col("x") != F.col("y")).select("bucket", "n"), "bucket")
+    if small is not bands and large is not None:
+        shards = shards.unionByName(bands.join(F.broadcast(large), "bucket"))
+    members = shards.select("bucket", "cid", "n").join(signed.select("cid", "sketch").dropDuplicates(["cid"]), "cid")
     k = F.ceil(F.col("n") / block).cast("int")
     placed = members.withColumn("k", k).withColumn("blk", F.pmod(F.xxhash64("cid"), F.col("k")).cast("int"))
     placed = placed.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
     placed = placed.select("bucket", F.least("blk", "x").alias("bi"), F.greatest("blk", "x").alias("bj"), "blk", "cid", "sketch")
-    shards = placed.repartition(parts, "bucket", "bi", "bj").sortWithinPartitions("bucket", "bi", "bj", "blk")
-    pairs = cut(shards.mapInPandas(_search(radius(threshold)), "a bigint, b bigint").distinct())
+    trees = placed.repartition(parts, "bucket", "bi", "bj").sortWithinPartitions("bucket", "bi", "bj", "blk")
+    pairs = cut(trees.mapInPandas(_search(radius(threshold)), "a bigint, b bigint").distinct())
     involved = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-    wanted = texts.select("cid", "field", "norm").join(involved, "cid", "left_semi").dropDuplicates(["cid"])
-    wanted = cut(wanted)
+    wanted = cut(signed.select("cid", "field", "norm").join(involved, "cid", "left_semi").dropDuplicates(["cid"]))
     left = wanted.select(F.col("cid").alias("a"), "field", F.col("norm").alias("na"))
     right = wanted.select(F.col("cid").alias("b"), F.col("field").alias("fb"), F.col("norm").alias("nb"))
     joined = pairs.join(left, "a").join(right, "b").filter(F.col("field") == F.col("fb"))
@@ -208,24 +252,44 @@ def near_pairs(texts: DataFrame, threshold: float, block: int = BLOCK) -> DataFr
     return scored.select("field", "a", "b", "o.both", "o.either").filter(F.col("both") * 1000 >= F.col("either") * round(threshold * 1000))
 
 
+def members_of(texts: DataFrame) -> DataFrame:
+    """``field, key, cid, chk`` of every key and text, written once without the texts."""
+    return cut(texts.select("field", "key", "cid", "chk").distinct())
+
+
 def all_pairs(rows: DataFrame, threshold: float) -> DataFrame:
-    """``field, key_a, key_b``: every pair of different keys with similar texts, copies expanded."""
+    """``field, key_a, key_b``: every pair of different keys with similar texts, copies expanded.
+
+    The output of a class of copies grows with its square; ``classes`` is the form without. Keys of a large class spread over
+    tasks by salts.
+    """
     texts = texts_with_class(rows)
     links = near_pairs(texts, threshold).select("field", "a", "b")
-    members = texts.select("field", "key", "cid", "chk").distinct()
-    other = members.select(F.col("field").alias("f2"), F.col("key").alias("key2"), F.col("cid").alias("cid2"), F.col("chk").alias("chk2"))
-    copies = members.join(other, (F.col("cid") == F.col("cid2")) & (F.col("chk") == F.col("chk2")) & (F.col("field") == F.col("f2")) & (F.col("key") < F.col("key2")))
-    near = links.join(members.select(F.col("cid").alias("a"), "key"), "a").join(members.select(F.col("cid").alias("b"), F.col("key").alias("key2")), "b")
+    members = members_of(texts)
+    hot = heavy_keys(members, "cid")
+    spread = F.xxhash64("key", "field")
+    other = members.select(F.col("field").alias("f2"), F.col("key").alias("key2"), "cid", F.col("chk").alias("chk2"))
+    copies = salted_join(members, other, "cid", "inner", spread=spread, heavy=hot)
+    copies = copies.filter((F.col("chk") == F.col("chk2")) & (F.col("field") == F.col("f2")) & (F.col("key") < F.col("key2")))
+    near = salted_join(members.select("cid", "field", "key"), links.select(F.col("a").alias("cid"), "b"), "cid", "inner", spread=spread, heavy=hot)
+    near = near.select("field", "key", F.col("b").alias("cid"))
+    hot_b = heavy_keys(near, "cid") if hot else []
+    near = salted_join(near, members.select("cid", F.col("key").alias("key2")), "cid", "inner", spread=spread, heavy=hot_b)
     near = near.filter(F.col("key") != F.col("key2"))
     both = copies.select("field", "key", "key2").unionByName(near.select("field", "key", "key2"))
     return both.select("field", F.least("key", "key2").alias("key_a"), F.greatest("key", "key2").alias("key_b")).distinct()
 
 
 def classes(rows: DataFrame, threshold: float) -> DataFrame:
-    """One row for each key and text: its class, the size of the class and its links to other classes."""
+    """One row for each row with a text: its class, the size of the class and its links to other classes.
+
+    The compact form of all pairs: its size is that of the input, whatever the classes.
+    """
     texts = texts_with_class(rows)
     links = near_pairs(texts, threshold)
     degree = links.select("field", F.col("a").alias("cid")).unionByName(links.select("field", F.col("b").alias("cid"))).groupBy("field", "cid").agg(F.count(F.lit(1)).alias("n_links"))
-    size = texts.groupBy("field", "cid").agg(F.count(F.lit(1)).alias("n_copies"))
-    per_class = size.join(degree, ["field", "cid"], "left")
-    return texts.select("field", "key", "cid").join(per_class, ["field", "cid"]).select("field", "key", F.col("cid").alias("class_id"), "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    keys = cut(texts.select("field", "key", "cid"))
+    size = keys.groupBy("field", "cid").agg(F.count(F.lit(1)).alias("n_copies"))
+    per_class = size.join(degree, ["field", "cid"], "left").drop("field")
+    joined = salted_join(keys, per_class, "cid", "inner", spread=F.xxhash64("key", "field"))
+    return joined.select("field", "key", F.col("cid").alias("class_id"), "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))
