@@ -4,11 +4,11 @@ Method: word n-grams of the test items are the seeds; they join training documen
 items, and a Smith-Waterman alignment scores each pair, so partial and edited copies are
 found as well as whole ones.
 
-For exact runs, every window of ``SEED_RUN`` words of an item gives its rarest n-gram (by
-occurrences over the whole corpus) as a seed. A document that holds that many consecutive
-words of an item therefore holds one of its seeds: of longer runs nothing is missed. An edit
-can leave a copy without the rarest n-gram of any window, so for edited copies every n-gram
-of an item is a seed: each document that holds one of them is aligned.
+Every window of ``SEED_RUN`` words of an item gives its rarest n-grams (by occurrences over the
+whole corpus, of those that occur at all) as seeds. A document that holds that many consecutive
+words of an item holds the rarest of one of its windows: of longer runs nothing is missed. An edit
+can leave a copy without the rarest n-gram of a window, so for edited copies each window gives ``EDITED_SEEDS`` of them; what
+frequent phrases alone have in common with an item is not aligned.
 
 Defined results
 * Words are maximal runs of letters and digits in lower case; everything between is ignored.
@@ -35,6 +35,8 @@ N_GRAM = 5
 RUN = 20
 SEED_RUN = 10
 MAX_BROADCAST = 500_000
+#: Seeds of each window where edited copies are looked for.
+EDITED_SEEDS = 3
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -150,25 +152,30 @@ def align_udf(text: pd.Series, item: pd.Series, first: pd.Series, last: pd.Serie
     return pd.DataFrame(out, columns=["score", "longest_run", "n_words"])
 
 
-def _rarest(item_grams: DataFrame, hits: DataFrame, n: int, run: int) -> DataFrame:
-    """``__item, gram, item_pos``: the rarest n-gram of each window of ``run`` words."""
+def _rarest(item_grams: DataFrame, hits: DataFrame, n: int, run: int, per_window: int) -> DataFrame:
+    """``__item, gram, item_pos``: the rarest n-grams of each window of ``run`` words, of those that the corpus has."""
     counts = hits.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    ranked = item_grams.join(counts, "gram", "left").withColumn("rank", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "pos", "gram"))
+    # An n-gram that no document has leads nowhere, so it is no seed; its place still counts for the windows.
+    ranked = item_grams.join(counts, "gram", "left").withColumn("rank", F.when(F.col("n").isNotNull(), F.struct("n", "pos", "gram")))
     ahead = W.partitionBy("__item").orderBy("pos").rowsBetween(0, run - n)
     every = W.partitionBy("__item")
     windows = ranked.select(
-        "__item", "pos", F.min("rank").over(ahead).alias("seed"), F.count(F.lit(1)).over(ahead).alias("width"), F.max("pos").over(every).alias("last_pos")
+        "__item", "pos", F.slice(F.array_sort(F.collect_list("rank").over(ahead)), 1, per_window).alias("seeds"), F.count(F.lit(1)).over(ahead).alias("width"), F.max("pos").over(every).alias("last_pos")
     )
     # An item shorter than a window is one window.
     whole = (F.col("width") == run - n + 1) | ((F.col("last_pos") < run - n) & (F.col("pos") == 0))
-    return windows.filter(whole).select("__item", "seed.gram", F.col("seed.pos").alias("item_pos")).distinct()
+    return windows.filter(whole).select("__item", F.explode("seeds").alias("s")).select("__item", "s.gram", F.col("s.pos").alias("item_pos")).distinct()
 
 
-def leaks(corpus: DataFrame, doc_key: str, text: str, items: DataFrame, item_key: str, item_text: str, n: int = N_GRAM, run: int | None = None, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
+def leaks(
+    corpus: DataFrame, doc_key: str, text: str, items: DataFrame, item_key: str, item_text: str, n: int = N_GRAM, run: int | None = None, per_window: int = 1, whole: bool = False, max_broadcast: int = MAX_BROADCAST
+) -> DataFrame:
     """Document-item pairs that share a seed, with their alignment.
 
-    ``doc_key, item_key, score, longest_run, n_words``. Every n-gram of an item is a seed; with ``run`` only
-    the rarest of each window of so many words, which is enough for exact runs of that length. One pass over the corpus makes the n-gram hits,
+    ``doc_key, item_key, score, longest_run, n_words``. Every n-gram of an item is a seed; with ``run`` of each window of
+    so many words only the ``per_window`` rarest n-grams that the corpus has, and one is enough for exact runs of that length. The alignment reads the words around
+    the seeds: enough for exact runs, or with ``whole`` as far as any alignment through a seed can reach (each word
+    of a gap costs half of what a match brings, so twice the item on both sides). One pass over the corpus makes the n-gram hits,
     which hold only n-grams of items and are written to the shared folder; they give the corpus counts,
     the seeds and the candidates. The second pass reads only the texts of candidates.
     """
@@ -178,11 +185,11 @@ def leaks(corpus: DataFrame, doc_key: str, text: str, items: DataFrame, item_key
     hint = F.broadcast if small else (lambda df: df)
     docs = corpus.select(F.col(doc_key).alias("__doc"), F.col(text).alias("__text"))
     hits = cut(_grams(docs, "__doc", "__text", n).join(hint(item_grams.select("gram").distinct()), "gram"))
-    seeds = item_grams.select("__item", "gram", F.col("pos").alias("item_pos")) if run is None else _rarest(item_grams, hits, n, run)
+    seeds = item_grams.select("__item", "gram", F.col("pos").alias("item_pos")) if run is None else _rarest(item_grams, hits, n, run, per_window)
     near = hits.join(hint(seeds), "gram").groupBy("__doc", "__item").agg(F.min(F.col("pos") - F.col("item_pos")).alias("first"), F.max(F.col("pos") - F.col("item_pos")).alias("last"))
     sized = item_rows.withColumn("__size", F.size(words(F.col("__passage"))))
     pairs = near.join(hint(sized) if small else sized, "__item")
-    slack = F.lit(2 * SEED_RUN)
+    slack = 2 * F.col("__size") if whole else F.lit(2 * SEED_RUN)
     aligned = docs.join(pairs, "__doc").select(
         "__doc", "__item", align_udf("__text", "__passage", (F.col("first") - slack).cast("int"), (F.col("last") + F.col("__size") + slack).cast("int")).alias("a")
     )

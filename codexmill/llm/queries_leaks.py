@@ -5,21 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codexmill.llm.leaks import RUN, SEED_RUN, leaks
+from codexmill.llm.leaks import EDITED_SEEDS, RUN, SEED_RUN, leaks
 from codexmill.sources.tables import table
 
 
-def _leaks(spark: SparkSession, d: str, run: int | None = None) -> DataFrame:
-    return leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "benchmark_items"), "item_id", "text", run=run)
+def _leaks(spark: SparkSession, d: str, **how) -> DataFrame:
+    return leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "benchmark_items"), "item_id", "text", **how)
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    return _leaks(spark, d, SEED_RUN).filter(F.col("longest_run") >= RUN).select("doc_id", "item_id").distinct()
+    return _leaks(spark, d, run=SEED_RUN).filter(F.col("longest_run") >= RUN).select("doc_id", "item_id").distinct()
 
 
 def p8_leak_report(spark: SparkSession, d: str) -> DataFrame:
     """For each item the documents that hold it, whole or in part, with the best similarity."""
-    scored = _leaks(spark, d).withColumn("similarity", F.col("score") / (2 * F.col("n_words")))
+    scored = _leaks(spark, d, run=SEED_RUN, per_window=EDITED_SEEDS, whole=True).withColumn("similarity", F.col("score") / (2 * F.col("n_words")))
     return scored.groupBy("item_id").agg(
         F.count_if(F.col("longest_run") >= RUN).alias("n_exact"),
         F.count_if((F.col("longest_run") < RUN) & (F.col("similarity") >= 0.5)).alias("n_edited"),

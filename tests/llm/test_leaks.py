@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from codexmill.llm.leaks import align, align_many, leaks, words_of
+from codexmill.llm.leaks import EDITED_SEEDS, SEED_RUN, align, align_many, leaks, words_of
 
 
 def case():
@@ -68,6 +68,38 @@ def test_edited_copies_without_a_rarest_seed_are_scored(spark):
         assert set(got) == {k for k, _ in docs} and all(s == align(words_of(dict(docs)[k]), w)[0] >= 54 for k, s in got.items())
 
 
+def test_recall_of_edited_copies(spark):
+    """Copies with words changed, dropped, put in and moved at several rates, in a corpus that has the items' phrases too."""
+    r = random.Random(17)
+    vocab = [f"từ{i}" for i in range(400)]
+    phrases = [[r.choice(vocab) for _ in range(6)] for _ in range(30)]
+    passage = lambda n: [w for _ in range(n // 8) for w in (*r.choice(phrases), r.choice(vocab), r.choice(vocab))]
+    items = [(f"i{k:02}", passage(64)) for k in range(20)]
+    docs, want = [(k, " ".join(passage(160))) for k in range(300)], {}
+    for rate in (0.05, 0.10, 0.15, 0.20):
+        for k, w in items:
+            copy = []
+            for x in w:
+                kind = r.random()
+                if kind < rate / 3:
+                    copy.append(r.choice(vocab))
+                elif kind < rate * 2 / 3:
+                    copy += [x, r.choice(vocab)]
+                elif kind > rate:
+                    copy.append(x)
+            cut = r.randrange(len(copy))
+            want[len(docs), k] = rate
+            docs.append((len(docs), " ".join([*passage(40), *copy[cut:], *passage(24), *copy[:cut], *passage(40)] if rate == 0.10 else [*passage(40), *copy, *passage(40)])))
+    d, i = frames(spark, docs, [(k, " ".join(w)) for k, w in items])
+    got = {(x.doc_id, x.item_id): x.score for x in leaks(d, "doc_id", "text", i, "item_id", "text", run=SEED_RUN, per_window=EDITED_SEEDS, whole=True).collect()}
+    full = {p: align(words_of(dict(docs)[p[0]]), dict(items)[p[1]])[0] for p in want}
+    for rate in (0.05, 0.10, 0.15, 0.20):
+        held = [p for p, x in want.items() if x == rate]
+        assert sum(p in got for p in held) >= 0.9 * len(held)
+    # What is aligned is aligned in full.
+    assert all(got[p] == full[p] for p in want if p in got)
+
+
 def test_alignment_of_many_equals_one_by_one():
     r = random.Random(5)
     text = lambda n: [r.randrange(6) for _ in range(n)]
