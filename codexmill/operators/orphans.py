@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codexmill.operators.skew import heavy_keys, salted_join
-from codexmill.session import cut
+from codexmill.session import cut, release
 
 
 @dataclass(frozen=True)
@@ -163,7 +163,8 @@ def orphan_cascade(entities: list[Entity], foreign_keys: list[ForeignKey]) -> Da
             break
         known.append(frontier)
         if len(known) > COMPACT:  # a long chain: what is known becomes one table again
-            known = [cut(reduce(DataFrame.unionByName, known))]
+            replaced, known = known, [cut(reduce(DataFrame.unionByName, known))]
+            release(*replaced[:-1])  # the last one is the frontier of the next round
     return reduce(DataFrame.unionByName, known or [frontier]).drop("own")
 
 

@@ -37,6 +37,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(*frames: DataFrame) -> None:
+    """Delete what ``cut`` has written for frames that nothing reads any more, as in loops that replace them."""
+    for df in frames:
+        plan = df._jdf.queryExecution().analyzed()
+        file = plan.rdd().getCheckpointFile() if plan.getClass().getSimpleName() == "LogicalRDD" else None
+        if file is not None and file.isDefined():
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file.get())
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ship(spark: SparkSession) -> None:
     """Let Python workers import this package, wherever the driver was started.
 

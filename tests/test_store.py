@@ -121,3 +121,15 @@ def test_judge_answers_and_settings(tmp_path, monkeypatch):
     monkeypatch.delenv("A_TEST_KEY", raising=False)
     assert load_env(str(path)) == {"A_TEST_KEY": "v"} and load_env(str(tmp_path / "none")) == {}
     monkeypatch.delenv("A_TEST_KEY", raising=False)
+
+
+def test_release_deletes_what_a_cut_has_written(spark):
+    import os
+
+    from codexmill.session import cut, release
+
+    df = cut(spark.range(10))
+    path = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile().get().removeprefix("file:")
+    assert df.count() == 10 and os.path.isdir(path)
+    release(df, spark.range(3))
+    assert not os.path.exists(path)
