@@ -44,7 +44,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from codexmill.session import cut
+from codexmill.session import cut, release
 
 #: Cosine of words: a rare one beside an established one; two rare ones; two rare ones of four letters or more.
 NEAR_KNOWN, NEAR_RARE, NEAR_LONG = 0.1, 0.35, 0.12
@@ -255,14 +255,16 @@ def components(links: DataFrame, keys: DataFrame) -> DataFrame:
     halve in each round; every round is written to the shared folder.
     """
     both = cut(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    label = cut(keys.select("key", F.col("key").alias("comp")))
+    label = written = cut(keys.select("key", F.col("key").alias("comp")))
     while True:
         seen = both.join(label, both["b"] == label["key"]).groupBy("a").agg(F.min("comp").alias("near"))
         step = label.join(seen, label["key"] == seen["a"], "left").select("key", "comp", F.least("comp", F.coalesce("near", "comp")).alias("new"))
         jump = step.select(F.col("key").alias("k2"), F.col("new").alias("c2"))
-        step = cut(step.join(jump, step["new"] == jump["k2"], "left").select("key", "comp", F.least("new", F.coalesce("c2", "new")).alias("new")))
-        label = step.select("key", F.col("new").alias("comp"))
+        before, step = written, cut(step.join(jump, step["new"] == jump["k2"], "left").select("key", "comp", F.least("new", F.coalesce("c2", "new")).alias("new")))
+        release(before)
+        label, written = step.select("key", F.col("new").alias("comp")), step
         if not step.filter(F.col("new") != F.col("comp")).take(1):
+            release(both)
             return label
 
 

@@ -281,7 +281,7 @@ def all_pairs(rows: DataFrame, threshold: float) -> DataFrame:
 
 
 def classes(rows: DataFrame, threshold: float) -> DataFrame:
-    """One row for each row with a text: its class, the size of the class and its links to other classes.
+    """One row for each row with a text: its class (named by its smallest key), the size of the class and its links to other classes.
 
     The compact form of all pairs: its size is that of the input, whatever the classes.
     """
@@ -289,7 +289,7 @@ def classes(rows: DataFrame, threshold: float) -> DataFrame:
     links = near_pairs(texts, threshold)
     degree = links.select("field", F.col("a").alias("cid")).unionByName(links.select("field", F.col("b").alias("cid"))).groupBy("field", "cid").agg(F.count(F.lit(1)).alias("n_links"))
     keys = cut(texts.select("field", "key", "cid"))
-    size = keys.groupBy("field", "cid").agg(F.count(F.lit(1)).alias("n_copies"))
+    size = keys.groupBy("field", "cid").agg(F.count(F.lit(1)).alias("n_copies"), F.min("key").alias("class_id"))
     per_class = size.join(degree, ["field", "cid"], "left").drop("field")
     joined = salted_join(keys, per_class, "cid", "inner", spread=F.xxhash64("key", "field"))
-    return joined.select("field", "key", F.col("cid").alias("class_id"), "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return joined.select("field", "key", "class_id", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))

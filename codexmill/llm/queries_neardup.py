@@ -38,5 +38,18 @@ c AS (SELECT r, count(*) AS n FROM g GROUP BY 1),
 b AS (SELECT a.r AS x, b.r AS y, count(*) AS shared FROM g a JOIN g b ON a.h = b.h AND a.r < b.r GROUP BY 1, 2)
 SELECT DISTINCT n1.field, least(n1.k, n2.k) AS key_a, greatest(n1.k, n2.k) AS key_b
 FROM b JOIN c c1 ON c1.r = x JOIN c c2 ON c2.r = y JOIN n n1 ON n1.r = x JOIN n n2 ON n2.r = y
-WHERE shared * 10 >= 7 * (c1.n + c2.n - shared) AND n1.field = n2.field AND n1.k <> n2.k"""
+WHERE shared * 10 >= 7 * (c1.n + c2.n - shared) AND n1.field = n2.field AND n1.k <> n2.k""",
+    # Classes of equal texts, compared once each.
+    "p1_classes": r"""WITH t AS (
+  SELECT 'nodes.text_full' AS field, node_id AS k, text_full AS t FROM nodes WHERE node_type = 'dieu' AND length(text_full) >= 300
+  UNION ALL SELECT 'documents.title', id, title FROM documents WHERE title IS NOT NULL AND id IS NOT NULL
+), n AS (SELECT field, k, trim(regexp_replace(lower(t), '[\s\p{Z}\x{85}]+', ' ', 'g')) AS t FROM t),
+m AS (SELECT * FROM n WHERE length(t) >= 5),
+k AS (SELECT row_number() OVER () AS r, field, t, min(k) AS class_id, count(*) AS n_copies FROM m GROUP BY field, t),
+g AS (SELECT DISTINCT r, hash(field, substr(t, p, 5)) AS h FROM (SELECT r, field, t, unnest(range(1, length(t) - 3)) AS p FROM k) x),
+c AS (SELECT r, count(*) AS n FROM g GROUP BY 1),
+b AS (SELECT a.r AS x, b.r AS y, count(*) AS shared FROM g a JOIN g b ON a.h = b.h AND a.r < b.r GROUP BY 1, 2),
+l AS (SELECT x, y FROM b JOIN c c1 ON c1.r = x JOIN c c2 ON c2.r = y JOIN k k1 ON k1.r = x JOIN k k2 ON k2.r = y WHERE shared * 10 >= 7 * (c1.n + c2.n - shared) AND k1.field = k2.field),
+d AS (SELECT r, count(*) AS n_links FROM (SELECT x AS r FROM l UNION ALL SELECT y FROM l) s GROUP BY 1)
+SELECT m.field, m.k AS key, k.class_id, k.n_copies, coalesce(d.n_links, 0) AS n_links FROM m JOIN k ON m.field = k.field AND m.t = k.t LEFT JOIN d ON d.r = k.r""",
 }
