@@ -71,3 +71,9 @@ def write_profile(profile: CorpusProfile, folder: str) -> None:
     """The profile as JSON, one folder for each part."""
     for name in ("classes", "class_map", "samples", "indents", "families", "summary"):
         getattr(profile, name)().write.mode("overwrite").json(f"{folder}/{name}")
+
+
+def write_samples(samples: DataFrame, folder: str) -> None:
+    """The ids of the two samples (``doc_id, sample``) as JSON, one folder for each: ``dev`` and ``golden``."""
+    for name in ("dev", "golden"):
+        samples.filter(F.col("sample") == name).select("doc_id").write.mode("overwrite").json(f"{folder}/{name}")

@@ -231,6 +231,41 @@ def test_quality_of_empty_and_lossy_documents(spark):
     assert {(r.doc_id, r.loai_van_ban, r.decade) for r in enrich(q, meta).collect()} == {("a", "unknown", "unknown"), ("b", "Luật", "unknown"), ("c", "unknown", "unknown")}
 
 
+def quality_of(spark, html, class_map=None):
+    (r,) = parse_documents(spark.createDataFrame([("d", html)], "id string, html string"), "id", "html", class_map=class_map)[1].collect()
+    return r
+
+
+def test_quality_of_tables_and_coverage(spark):
+    r = quality_of(spark, "<p>Điều 1. a</p><table><tr><td>x<table><tr><td>y</td></tr></table></td></tr></table>")
+    assert (r.table_preserved, r.verdict, r.issues) == (False, "warn", "table_preserved")  # a table in a table is no block of its own
+    assert quality_of(spark, "<p>Điều 1. a</p><table><tr><td>x</td></tr></table>").issues == ""
+    r = quality_of(spark, "<p class='b a'>Điều 1. " + "x" * 93 + "</p>lost")
+    assert abs(r.char_coverage - 99 / 103) < 1e-9 and (r.verdict, r.issues, r.template_family) == ("warn", "char_coverage", "a|b")
+    assert quality_of(spark, "<p>" + "x" * 80 + "</p>" + "y" * 20).verdict == "failed"
+
+
+def test_quality_of_conflicts_counts_masked_blocks_too(spark):
+    """A class whose type contradicts the text is a conflict; quotations hide blocks from the tree, not from the rate."""
+    cm = spark.createDataFrame([("art", "dieu", 0.9)], "class string, type string, purity double")
+    html = "<p class='art'>1. a \"b</p><p class='art'>2. c</p><p>3. d</p><p>x</p>"
+    r = quality_of(spark, html, cm)
+    assert r.conflict_rate == 2 / 3 and "conflict_rate" in r.issues.split(",") and r.n_nodes == 1
+    assert quality_of(spark, html).conflict_rate == 0.0
+
+
+def test_writers_of_samples_and_profile(spark, tmp_path):
+    from codexmill.plans.profiling import CorpusProfile, write_profile, write_samples
+
+    samples = spark.createDataFrame([("a", "dev"), ("b", "dev"), ("c", "golden")], "doc_id string, sample string")
+    write_samples(samples, str(tmp_path))
+    read = lambda name: {r.doc_id for r in spark.read.json(f"{tmp_path}/{name}").collect()}
+    assert read("dev") == {"a", "b"} and read("golden") == {"c"}
+    content = spark.createDataFrame([("a", "<p class='k'>Điều 1. x</p>"), ("b", "<p class='k'>1. x</p>")], "id string, html string")
+    write_profile(CorpusProfile(content, "id", "html"), str(tmp_path))
+    assert [(r["class"], r.n, r.purity) for r in spark.read.json(f"{tmp_path}/class_map").collect()] == [("k", 2, 0.5)]
+
+
 def test_judge_changes_only_ambiguous_blocks_and_survives_failures(spark):
     def provider(before, text, after):
         if text == "boom":
