@@ -32,6 +32,7 @@ from __future__ import annotations
 import sys
 import unicodedata
 from functools import lru_cache
+from itertools import chain
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -93,6 +94,11 @@ def _script(c: str) -> str:
     return ALPHABETS.get(unicodedata.name(c, "").split(" ", 1)[0], "O")
 
 
+#: Ranges whose code points are all themselves: ideographs, Hangul syllables, surrogates, private use, unassigned planes.
+THEMSELVES = ((0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xAC00, 0xD7A3), (0xD800, 0xF8FF), (0x20000, 0x2F7FF), (0x30000, 0xDFFFF), (0xE0200, sys.maxunicode))
+
+
+@lru_cache(maxsize=1)
 def mapping_rows() -> list[tuple]:
     """(ch, parts, classes, script, as_latin, as_cyrillic) for every code point that is not simply itself.
 
@@ -109,9 +115,8 @@ def mapping_rows() -> list[tuple]:
     always = dict(zip(LATIN_LOOKALIKES, LATIN_TARGETS, strict=True))
     cyrillic = {t: s for s, t in reversed(list(zip(CYRILLIC_LOOKALIKES, CYRILLIC_TARGETS, strict=True)))}
     rows = []
-    for cp in range(sys.maxunicode + 1):
-        if 0xD800 <= cp <= 0xDFFF or 0xAC00 <= cp <= 0xD7A3 or 0xE000 <= cp <= 0xF8FF:
-            continue
+    edges = [0, *(x for a, b in THEMSELVES for x in (a, b + 1)), sys.maxunicode + 1]
+    for cp in chain.from_iterable(range(a, b) for a, b in zip(edges[::2], edges[1::2])):
         c = chr(cp)
         kind = unicodedata.category(c)
         if kind in ("Cn", "Co"):

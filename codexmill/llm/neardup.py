@@ -215,11 +215,75 @@ def texts_with_class(rows: DataFrame) -> DataFrame:
     return rows.select("field", "key", "norm", F.xxhash64("field", "norm").alias("cid"), F.hash("norm", "field").alias("chk"))
 
 
-def _large(bands: DataFrame, n_probe: int, probe: int, share: float) -> DataFrame:
-    """``bucket, n`` of the large shards, at most ``BANDS / share`` of them, so few that they may be broadcast."""
+def _large(bands: DataFrame, n_probe: int, probe: int, share: float) -> DataFrame | None:
+    """``bucket, n`` of the large shards, at most ``BANDS / share`` of them, so few that they may be broadcast; None if there are none."""
+    if n_probe * share < 1:
+        return None
     some = bands.filter(F.pmod("cid", F.lit(probe)) == 0).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-    found = some.filter(F.col("n") > F.lit(max(1.0, n_probe * share))).select("bucket")
-    return bands.join(F.broadcast(found), "bucket").groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    found = cut(some.filter(F.col("n") > F.lit(n_probe * share)).select("bucket"))
+    if not found.take(1):
+        return None
+    return cut(bands.join(F.broadcast(found), "bucket").groupBy("bucket").agg(F.count(F.lit(1)).alias("n")))
+
+
+_PACKED = np.dtype([("bucket", np.uint8, 6), ("cid", "<i8")])
+
+
+def _pack(homes: int, without: list[int]):
+    """Band entries of a batch, gathered by the place they travel to: 14 bytes each, of the key its lower 48 bits.
+
+    A row for each entry would cost more than twice that. Keys that meet by their lower bits alone are told apart by the search.
+    """
+    large = np.array(sorted(without), dtype=np.int64)
+
+    def run(batches):
+        for batch in batches:
+            keys = batch.column("bands").flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            cid = np.repeat(batch.column("cid").to_numpy(zero_copy_only=False).astype(np.int64), BANDS)
+            if len(large):
+                stays = ~np.isin(keys, large)
+                keys, cid = keys[stays], cid[stays]
+            home = ((keys.view(np.uint64) & np.uint64((1 << 48) - 1)) % np.uint64(homes)).astype(np.int64)
+            order = np.argsort(home, kind="stable")
+            entries = np.empty(len(keys), dtype=_PACKED)
+            entries["bucket"] = keys[order].astype("<i8").view(np.uint8).reshape(-1, 8)[:, :6]
+            entries["cid"] = cid[order]
+            edges = np.searchsorted(home[order], np.arange(homes + 1))
+            used = [h for h in range(homes) if edges[h] < edges[h + 1]]
+            blobs = [entries[edges[h] : edges[h + 1]].tobytes() for h in used]
+            yield pa.RecordBatch.from_arrays([pa.array(used, type=pa.int32()), pa.array(blobs, type=pa.binary())], names=["home", "entries"])
+
+    return run
+
+
+def _shards(batches):
+    """``bucket, cid, n`` of the shards with more than one class; rows come sorted by home, one of which is held at a time."""
+
+    def of(blobs: list[bytes]) -> pa.RecordBatch:
+        entries = np.frombuffer(b"".join(blobs), dtype=_PACKED)
+        wide = np.zeros((len(entries), 8), dtype=np.uint8)
+        wide[:, :6] = entries["bucket"]
+        bucket, cid = wide.view("<i8").reshape(-1), entries["cid"].astype(np.int64)
+        order = np.lexsort((cid, bucket))
+        bucket, cid = bucket[order], cid[order]
+        fresh = np.ones(len(bucket), dtype=bool)
+        fresh[1:] = (bucket[1:] != bucket[:-1]) | (cid[1:] != cid[:-1])
+        bucket, cid = bucket[fresh], cid[fresh]
+        _, place, count = np.unique(bucket, return_inverse=True, return_counts=True)
+        n = count[place]
+        several = n > 1
+        return pa.RecordBatch.from_arrays([pa.array(x[several]) for x in (bucket, cid, n.astype(np.int64))], names=["bucket", "cid", "n"])
+
+    at, blobs = None, []
+    for batch in batches:
+        for home, blob in zip(batch.column("home").to_pylist(), batch.column("entries").to_pylist()):
+            if home != at and blobs:
+                yield of(blobs)
+                blobs = []
+            at = home
+            blobs.append(blob)
+    if blobs:
+        yield of(blobs)
 
 
 def near_pairs(texts: DataFrame, threshold: float, block: int = BLOCK, share: float = LARGE, probe: int = PROBE) -> DataFrame:
@@ -227,14 +291,12 @@ def near_pairs(texts: DataFrame, threshold: float, block: int = BLOCK, share: fl
     signed = cut(texts.select("cid", "field", "norm").mapInArrow(_sign, SIGNED))
     parts = max(8, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
     bands = signed.select("cid", F.explode("bands").alias("bucket"))
-    n_probe = signed.filter(F.pmod("cid", F.lit(probe)) == 0).count()
-    large = cut(_large(bands, n_probe, probe, share)) if n_probe * share >= 1 else None
-    small = bands if large is None or not large.take(1) else bands.join(F.broadcast(large.select("bucket")), "bucket", "left_anti")
-    # One exchange by bucket serves the count and the join.
-    small = small.repartition(parts, "bucket")
-    sizes = small.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("cid").alias("x"), F.max("cid").alias("y"))
-    shards = small.join(sizes.filter(F.col("x") != F.col("y")).select("bucket", "n"), "bucket")
-    if small is not bands and large is not None:
+    large = _large(bands, signed.filter(F.pmod("cid", F.lit(probe)) == 0).count(), probe, share)
+    apart = [] if large is None else [r["bucket"] for r in large.select("bucket").collect()]
+    homes = 4 * parts  # more places than tasks, so tasks get like shares
+    packed = signed.select("cid", "bands").mapInArrow(_pack(homes, apart), "home int, entries binary")
+    shards = packed.repartition(parts, "home").sortWithinPartitions("home").mapInArrow(_shards, "bucket bigint, cid bigint, n bigint")
+    if large is not None:
         shards = shards.unionByName(bands.join(F.broadcast(large), "bucket"))
     members = shards.select("bucket", "cid", "n").join(signed.select("cid", "sketch").dropDuplicates(["cid"]), "cid")
     k = F.ceil(F.col("n") / block).cast("int")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codexmill.llm.packing import pack_items, token_counts
+from codexmill.llm.packing import VOCABULARY, pack_items, token_counts
 from codexmill.sources.tables import table
 
 
@@ -17,7 +17,8 @@ def _capacities(spark: SparkSession, d: str) -> list[int]:
 
 def p7_pack(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
-    packed = pack_items(token_counts(docs, "doc_id", "text"), "doc_id", "n_tokens", _capacities(spark, d))
+    vocabulary = spark.conf.get("spark.codexmill.vocabulary", VOCABULARY)  # a path that every executor has
+    packed = pack_items(token_counts(docs, "doc_id", "text", vocabulary), "doc_id", "n_tokens", _capacities(spark, d))
     return packed.withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
