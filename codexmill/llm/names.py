@@ -55,7 +55,7 @@ SOFT, LINK, LINKAGE = 0.5, 0.6, 0.6
 #: Weight of a word's set of letters against that of each form with a letter left out.
 SET_WEIGHT = 4 / 3
 
-# Titles before a person's name, ordinals that make a nickname, administrative levels.
+# Ordinals that make a nickname, administrative levels.
 ORDINALS = frozenset("hai ba tu nam sau bay tam chin muoi ut ca".split())
 LEVELS = {"tinh": "tinh", "huyen": "huyen", "thanh pho": "tp", "thi xa": "tx", "thi tran": "tt", "phuong": "phuong", "xa": "xa", "quan": "quan"}
 LEVEL_LETTERS = {"t": "tinh", "h": "huyen", "x": "xa", "p": "phuong", "q": "quan", "tp": "tp", "tx": "tx", "tt": "tt"}
@@ -345,7 +345,7 @@ def alike(keys: DataFrame, turn: bool, top_n: int | None = None) -> DataFrame:
     return joined.select("a", "b", _similarity(turn)("va", "vb").alias("sim")).filter(F.col("sim") > 0)
 
 
-def _given(df: DataFrame) -> Column:
+def _given() -> Column:
     return F.element_at("words", -1)
 
 
@@ -373,13 +373,13 @@ def _short_names(short: DataFrame, clusters: DataFrame) -> DataFrame:
     initials = lambda c: F.array_join(F.transform(c, lambda w: F.substring(w, 1, 1)), "")
     full = clusters.filter(F.size("words") >= 2)
     value = F.struct("words", "accents")
-    whole = full.select(_given(full).alias("given"), initials(F.col("words")).alias("initials"), value.alias("v"), "cluster")
-    left_out = F.array(F.get("words", F.lit(0)), F.get("words", F.lit(1)), _given(full))
-    less = full.filter(F.size("words") > 3).select(_given(full).alias("given"), initials(left_out).alias("initials"), value.alias("v"), "cluster")
-    abbr = short.filter(F.col("shape") == "abbr").select("key", _given(short).alias("given"), initials(F.col("words")).alias("initials"), value.alias("s"))
+    whole = full.select(_given().alias("given"), initials(F.col("words")).alias("initials"), value.alias("v"), "cluster")
+    left_out = F.array(F.get("words", F.lit(0)), F.get("words", F.lit(1)), _given())
+    less = full.filter(F.size("words") > 3).select(_given().alias("given"), initials(left_out).alias("initials"), value.alias("v"), "cluster")
+    abbr = short.filter(F.col("shape") == "abbr").select("key", _given().alias("given"), initials(F.col("words")).alias("initials"), value.alias("s"))
     fits = abbr.join(whole.unionByName(less), ["given", "initials"]).filter(_fits("s", "v")).select("key", F.col("cluster").alias("lo"), F.col("cluster").alias("hi"))
-    long = full.filter(F.size("words") >= 3).groupBy(_given(full).alias("given"), F.element_at("accents", -1).alias("accent")).agg(F.min("cluster").alias("lo"), F.max("cluster").alias("hi"))
-    nick = short.filter(F.col("shape") == "nick").select("key", _given(short).alias("given"), F.element_at("accents", -1).alias("own"))
+    long = full.filter(F.size("words") >= 3).groupBy(_given().alias("given"), F.element_at("accents", -1).alias("accent")).agg(F.min("cluster").alias("lo"), F.max("cluster").alias("hi"))
+    nick = short.filter(F.col("shape") == "nick").select("key", _given().alias("given"), F.element_at("accents", -1).alias("own"))
     called = nick.join(long, "given").filter(_agree("own", "accent")).select("key", "lo", "hi")
     one = fits.unionByName(called).groupBy("key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     return one.filter(F.col("lo") == F.col("hi")).select("key", F.col("lo").alias("target"))
