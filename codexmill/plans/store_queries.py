@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codexmill.config import SAMPLE_DEV, SAMPLE_GOLDEN
@@ -201,10 +202,16 @@ LOADED = {
 }
 
 
+def _whole_sum(value: Column) -> Column:
+    """Sum of non-negative longs, as a long. Past the largest long it goes on from the smallest (the sum modulo 2^64), so it depends on every row and never fails."""
+    total = F.sum(value.cast("decimal(28,0)"))
+    return ((total + Decimal(2**63)) % Decimal(2**64) - Decimal(2**63)).cast("bigint")
+
+
 def _digest(df: DataFrame, name: str) -> DataFrame:
-    """Rows of a table and the sum of the digests of their contents."""
+    """Rows of a table and the sum of the digests of their contents; of about 65,000 rows or more the sum no longer fits a long, see ``_whole_sum``."""
     row = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in LOADED[name]])
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.conv(F.substring(F.md5(row), 1, 12), 16, 10).cast("bigint")).alias("contents")).select(F.lit(name).alias("table"), "n_rows", "contents")
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), _whole_sum(F.conv(F.substring(F.md5(row), 1, 12), 16, 10).cast("bigint")).alias("contents")).select(F.lit(name).alias("table"), "n_rows", "contents")
 
 
 def store_load(spark, d):

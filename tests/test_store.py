@@ -133,3 +133,44 @@ def test_release_deletes_what_a_cut_has_written(spark):
     assert df.count() == 10 and os.path.isdir(path)
     release(df, spark.range(3))
     assert not os.path.exists(path)
+
+
+def test_digest_of_more_rows_than_a_long_can_sum(spark):
+    import hashlib
+
+    from codexmill.plans.store_queries import _digest
+
+    for n in (3, 70_000):
+        want = sum(int(hashlib.md5(f"{i}\x1f\x00\x1fx".encode()).hexdigest()[:12], 16) for i in range(n))
+        assert (want > 2**63 - 1) == (n > 3)
+        df = spark.range(n).select(F.col("id").cast("string").alias("doc_id"), F.lit(None).cast("string").alias("other_doc_id"), F.lit("x").alias("relationship"))
+        (r,) = _digest(df, "document_relationships").collect()
+        assert (r.n_rows, r.contents) == (n, (want + 2**63) % 2**64 - 2**63)
+        assert _digest(df, "document_relationships").schema["contents"].dataType.typeName() == "long"
+    (r,) = _digest(df.limit(0), "document_relationships").collect()
+    assert (r.n_rows, r.contents) == (0, None)
+
+
+def test_store_load_of_a_larger_table(spark, data, tmp_path):
+    """Against the query's own SQL with its last cast widened: past the largest long that cast fails."""
+    import os
+
+    import duckdb
+
+    from codexmill.plans import registry
+
+    for t in ("documents", "nodes", "parse_quality"):
+        os.symlink(f"{data}/{t}.parquet", tmp_path / f"{t}.parquet")
+    rel = spark.read.parquet(f"{data}/document_relationships.parquet")
+    copies = spark.range(70_000 // rel.count() + 1).select(F.col("id").cast("string").alias("copy"))
+    rel.crossJoin(copies).withColumn("doc_id", F.concat("doc_id", F.lit("-"), "copy")).drop("copy").write.parquet(str(tmp_path / "document_relationships.parquet"))
+    con = duckdb.connect()
+    for t in ("documents", "nodes", "parse_quality", "document_relationships"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet{'/*.parquet' if t == 'document_relationships' else ''}')")
+    sql = registry.oracles()["store_load"]
+    wide = sql.replace(")::bigint AS contents", ")::hugeint AS contents")
+    assert wide != sql
+    want = {t: (n, c) for t, n, c in con.execute(wide).fetchall()}
+    assert want["document_relationships"][1] > 2**63 - 1
+    got = {r.table: (r.n_rows, r.contents) for r in registry.queries()["store_load"](spark, str(tmp_path)).collect()}
+    assert got == {t: (n, (int(c) + 2**63) % 2**64 - 2**63) for t, (n, c) in want.items()}
