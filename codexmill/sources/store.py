@@ -65,7 +65,11 @@ class Store:
         fresh.write.mode(mode).parquet(self.path("loaded"))
 
     def complete_nodes(self) -> DataFrame:
-        return self.read("nodes").join(self.read("loaded").distinct(), "doc_id", "left_semi").dropDuplicates(["node_id"])
+        """Nodes of the complete documents, each once.
+
+        What a repeated batch has left is sought within each document, where the join has gathered it: no second exchange.
+        """
+        return self.read("nodes").join(self.read("loaded").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id", "node_id"])
 
 
 def load_documents(metadata: DataFrame) -> DataFrame:

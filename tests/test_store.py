@@ -174,3 +174,26 @@ def test_store_load_of_a_larger_table(spark, data, tmp_path):
     assert want["document_relationships"][1] > 2**63 - 1
     got = {r.table: (r.n_rows, r.contents) for r in registry.queries()["store_load"](spark, str(tmp_path)).collect()}
     assert got == {t: (n, (int(c) + 2**63) % 2**64 - 2**63) for t, (n, c) in want.items()}
+
+
+def test_repeats_are_sought_within_a_document(spark, tmp_path):
+    """Rows of a batch that was repeated count once; a node of another document is no repeat, whatever its id, and needs no exchange of its own."""
+    from codexmill.sources.store import DDL
+
+    store = Store(spark, str(tmp_path))
+    store.create()
+    names = [c.split(" ")[0] for c in DDL["nodes"].split(", ")]
+    node = lambda i, d: tuple({"node_id": i, "doc_id": d}.get(c) for c in names)
+    nodes = spark.createDataFrame([node("n", "a"), node("m", "a"), node("n", "b"), node("n", "unmarked")], DDL["nodes"])
+    nodes.write.mode("append").parquet(store.path("nodes"))  # a run that ended before its marker
+    store.load_nodes(nodes, spark.createDataFrame([("a",), ("b",)], "doc_id string"))
+    assert sorted((r.doc_id, r.node_id) for r in store.complete_nodes().collect()) == [("a", "m"), ("a", "n"), ("b", "n")]
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        plan = store.complete_nodes()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert plan.count("Exchange hashpartitioning(doc_id") == 2 and "hashpartitioning(node_id" not in plan
